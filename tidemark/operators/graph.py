@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.skew import hot_among, salted_join
+
 
 def friend_pairs(links: DataFrame) -> DataFrame:
     """Distinct pairs u1 < u2; one-sided links count as friendship, self links are dropped."""
@@ -31,13 +33,12 @@ def triangles(pairs: DataFrame) -> DataFrame:
     first = ends.select(F.col("user").alias("u1"), F.col("deg").alias("d1"))
     second = ends.select(F.col("user").alias("u2"), F.col("deg").alias("d2"))
     upward = F.struct(F.col("d1"), F.col("u1")) < F.struct(F.col("d2"), F.col("u2"))
-    directed = (
-        pairs.join(first, "u1")
-        .join(second, "u2")
-        .select(
-            F.when(upward, F.col("u1")).otherwise(F.col("u2")).alias("low"),
-            F.when(upward, F.col("u2")).otherwise(F.col("u1")).alias("high"),
-        )
+    hubs = hot_among(ends, "user", "deg")
+    with_first = salted_join(pairs, first, "u1", F.col("u2"), hot=hubs.withColumnRenamed("user", "u1"))
+    with_both = salted_join(with_first, second, "u2", F.col("u1"), hot=hubs.withColumnRenamed("user", "u2"))
+    directed = with_both.select(
+        F.when(upward, F.col("u1")).otherwise(F.col("u2")).alias("low"),
+        F.when(upward, F.col("u2")).otherwise(F.col("u1")).alias("high"),
     )
     one = directed.select(F.col("low").alias("x"), F.col("high").alias("y"))
     two = directed.select(F.col("low").alias("x"), F.col("high").alias("z"))

@@ -19,10 +19,9 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def table_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """The same table as an unbounded source."""
-    path = f"{folder}/{name}.parquet"
-    schema = spark.read.parquet(path).schema
-    return with_event_time(spark.readStream.schema(schema).parquet(path))
+    """The same table as an unbounded source (written as a pattern: a stream takes no single file)."""
+    schema = spark.read.parquet(f"{folder}/{name}.parquet").schema
+    return with_event_time(spark.readStream.schema(schema).parquet(f"{folder}/{name}[.]parquet"))
 
 
 def rating_value(quantity) -> F.Column:
