@@ -9,7 +9,7 @@ from tidemark.catalog.registry import query
 from tidemark.catalog.text import NB_PREDICT_SQL
 from tidemark.functions import text
 from tidemark.plans import textmodel
-from tidemark.session import shared_path, via_table
+from tidemark.session import shared_path
 from tidemark.sources.tables import POSTS_SQL, posts, posts_stream, table, table_stream
 from tidemark.streaming import sinks, windows
 
@@ -142,7 +142,7 @@ def stream_topk_messages(spark, folder):
 def stream_score_text(spark, folder):
     """Score documents as they arrive with a model trained beforehand and kept as tables."""
     train = table(spark, folder, "documents").select("doc_id", "text", "lang")
-    train_terms = via_table(textmodel.term_frequency(train, keep=("lang",)), "train-terms")
+    model = textmodel.nb_fit(train, textmodel.term_frequency(train, keep=("lang",)), "lang")
     path = shared_path(spark, "scored")
     schema = T.StructType(
         [
@@ -155,7 +155,7 @@ def stream_score_text(spark, folder):
 
     def score(batch, batch_id):
         terms = textmodel.term_frequency(batch)
-        scores = textmodel.nb_scores(terms, batch, train, train_terms, "lang")
+        scores = textmodel.nb_scores(model, terms, batch)
         named = textmodel.nb_predict(scores).join(batch.select("doc_id", F.col("lang").alias("label")), "doc_id")
         named.select([f.name for f in schema]).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 

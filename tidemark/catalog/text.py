@@ -9,6 +9,7 @@ from tidemark.functions import text
 from tidemark.functions.stopwords import ENGLISH
 from tidemark.operators.relational import stratified_folds
 from tidemark.plans import textmodel
+from tidemark.session import via_table
 from tidemark.sources.tables import POSTS_SQL, posts, table
 
 
@@ -118,7 +119,7 @@ def idf_weights(spark, folder):
 @query("tfidf", IDF_SQL + " SELECT doc_id, token, tf, round(tf * idf, 6) AS weight FROM terms JOIN idf USING (token)")
 def tfidf(spark, folder):
     docs = documents(spark, folder)
-    terms = textmodel.term_frequency(docs)
+    terms = via_table(textmodel.term_frequency(docs), "terms")
     return textmodel.tfidf(terms, weights(docs, terms)).select(
         "doc_id", "token", "tf", F.round("weight", 6).alias("weight")
     )
@@ -150,7 +151,7 @@ v AS (SELECT count(DISTINCT token) AS v FROM c)"""
 )
 def nb_theta(spark, folder):
     terms = textmodel.term_frequency(documents(spark, folder, "lang"), keep=("lang",))
-    theta = textmodel.nb_theta(textmodel.nb_counts(terms, "lang"), "lang")
+    theta = textmodel.nb_theta(via_table(textmodel.nb_counts(terms, "lang"), "token-counts"), "lang")
     return theta.select("lang", "token", "n", F.round("theta", 6).alias("theta"))
 
 
@@ -170,8 +171,8 @@ NB_PREDICT_SQL = (
 @query("nb_predict", NB_PREDICT_SQL)
 def nb_predict(spark, folder):
     docs = documents(spark, folder, "lang")
-    terms = textmodel.term_frequency(docs, keep=("lang",))
-    scores = textmodel.nb_scores(terms.drop("lang"), docs, docs, terms, "lang")
+    terms = via_table(textmodel.term_frequency(docs, keep=("lang",)), "terms")
+    scores = textmodel.nb_scores(textmodel.nb_fit(docs, terms, "lang"), terms.drop("lang"), docs)
     return textmodel.nb_predict(scores).join(docs.select("doc_id", F.col("lang").alias("label")), "doc_id").select(
         "doc_id", "label", "prediction", F.round("score", 3).alias("score")
     )

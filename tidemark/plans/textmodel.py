@@ -6,6 +6,8 @@ driver with the number of words. `hashed_classifier` is the fixed-width variant.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import NaiveBayes
 from pyspark.ml.feature import IDF, HashingTF, IndexToString, StringIndexer
@@ -15,6 +17,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import scalar
 from tidemark.functions.text import words
 from tidemark.operators.skew import hot_among, salted_join
+from tidemark.session import via_table
 
 
 def term_frequency(docs: DataFrame, doc: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -60,46 +63,51 @@ def nb_theta(counts: DataFrame, label: str, smoothing: float = 1.0) -> DataFrame
     )
 
 
-def nb_scores(
-    terms: DataFrame, docs: DataFrame, train_docs: DataFrame, train_terms: DataFrame, label: str, smoothing: float = 1.0
-) -> DataFrame:
+@dataclass
+class TokenBayes:
+    """A fitted model: one table row per token, and one (class, log prior, mass) per class."""
+
+    tokens: DataFrame
+    classes: list[tuple[str, float, float]]
+    smoothing: float
+
+
+def nb_fit(docs: DataFrame, terms: DataFrame, label: str, smoothing: float = 1.0) -> TokenBayes:
+    """Count tokens per class. The token table is written once; only the class rows reach the driver."""
+    per_class = F.map_from_entries(F.collect_list(F.struct(label, "n"))).alias("counts")
+    tokens = via_table(
+        nb_counts(terms, label).groupBy("token").agg(per_class, F.sum("n").alias("uses")), "token-model"
+    )
+    vocabulary = tokens.count()
+    totals = tokens.select(F.explode("counts").alias("cls", "n")).groupBy("cls").agg(F.sum("n").alias("total"))
+    priors = nb_priors(docs, label, smoothing).join(totals, F.col(label) == F.col("cls"), "left")
+    classes = [
+        (row[label], row.log_prior, (row.total or 0) + smoothing * vocabulary) for row in priors.orderBy(label).collect()
+    ]
+    return TokenBayes(tokens, classes, smoothing)
+
+
+def nb_scores(model: TokenBayes, terms: DataFrame, docs: DataFrame) -> DataFrame:
     """(doc, class, score): log prior plus the summed log likelihoods of the known tokens.
 
-    Each token of the model carries its counts per class in one map (as wide as the class
-    list), so scoring is one equi-join on the token and one sum per document and class.
-    Tokens the model never saw are ignored.
+    Scoring is one equi-join on the token, then one sum per document that carries a
+    column for each class. Tokens the model never saw are ignored.
     """
-    priors = nb_priors(train_docs, label, smoothing)
-    counts = nb_counts(train_terms, label)
-    totals = counts.groupBy(label).agg(F.sum("n").alias("_total"))
-    vocabulary = counts.agg(F.count_distinct("token")).scalar()
-    classes = (
-        priors.join(totals, label, "left")
-        .select(
-            F.col(label).alias("cls"),
-            "log_prior",
-            (F.coalesce("_total", F.lit(0)) + smoothing * vocabulary).alias("_mass"),
-        )
-    )
-    per_token = counts.groupBy("token").agg(
-        F.map_from_entries(F.collect_list(F.struct(label, "n"))).alias("_n"), F.sum("n").alias("_uses")
-    )
-    frequent = hot_among(per_token, "token", "_uses")
-    known = salted_join(terms, per_token.drop("_uses"), "token", F.col("doc_id"), hot=frequent)
-    class_list = classes.agg(F.collect_list(F.struct("cls", "log_prior", "_mass"))).scalar()
-    gain = known.withColumn("_c", F.explode(class_list)).select(
-        "doc_id",
-        F.col("_c.cls").alias("cls"),
-        (
-            F.col("tf")
-            * F.log((F.coalesce(F.try_element_at("_n", F.col("_c.cls")), F.lit(0)) + smoothing) / F.col("_c._mass"))
-        ).alias("_gain"),
-    )
+    frequent = hot_among(model.tokens, "token", "uses")
+    known = salted_join(terms, model.tokens.drop("uses"), "token", F.col("doc_id"), hot=frequent)
+
+    def gain(cls, mass):
+        seen = F.coalesce(F.try_element_at("counts", F.lit(cls)), F.lit(0)) + model.smoothing
+        return F.sum(F.col("tf") * F.log(seen / mass))
+
+    sums = known.groupBy("doc_id").agg(*[gain(c, mass).alias(f"_s{i}") for i, (c, _, mass) in enumerate(model.classes)])
     # A document without any known token still gets its priors.
-    base = docs.select("doc_id").withColumn("_c", F.explode(class_list)).select(
-        "doc_id", F.col("_c.cls").alias("cls"), F.col("_c.log_prior").alias("_gain")
-    )
-    return gain.unionByName(base).groupBy("doc_id", "cls").agg(F.sum("_gain").alias("score"))
+    every = docs.select("doc_id").join(sums, "doc_id", "left")
+    rows = [
+        F.struct(F.lit(c).alias("cls"), (F.coalesce(f"_s{i}", F.lit(0.0)) + prior).alias("score"))
+        for i, (c, prior, _) in enumerate(model.classes)
+    ]
+    return every.select("doc_id", F.explode(F.array(*rows)).alias("_r")).select("doc_id", "_r.cls", "_r.score")
 
 
 def nb_predict(scores: DataFrame) -> DataFrame:
