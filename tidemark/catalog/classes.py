@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
 
 from tidemark.catalog.registry import query
 from tidemark.functions import scalar
 from tidemark.operators import evaluate
 from tidemark.operators.relational import stratified_folds
-from tidemark.plans import classify
+from tidemark.plans import classify, cluster
 from tidemark.session import shared_path, via_table
-from tidemark.sources.tables import table
+from tidemark.sources.tables import descriptors, table
 
 WIDTH = len(classify.LETTERS)
 
@@ -69,8 +69,8 @@ def cv_report(spark, folder):
     mean = classify.cross_validated(dealt, classify.gaussian_bayes()).avgMetrics[0]
     report = []
     for fold in range(4):
-        model = classify.discretized_bayes(dealt.filter(F.col("fold") != fold), WIDTH)
-        scored = classify.score_columns(model, dealt.filter(F.col("fold") == fold), WIDTH)
+        model = classify.discretized_bayes(dealt.filter(F.col("fold") != fold))
+        scored = model.transform(dealt.filter(F.col("fold") == fold))
         report.append((fold, float(mean), float(evaluate.error_rate(scored).first()["accuracy"])))
     return spark.createDataFrame(report, "fold int, gaussian_mean double, discretized double")
 
@@ -79,8 +79,7 @@ def cv_report(spark, folder):
 def tree_classify(spark, folder):
     rows, _ = prepared(spark, folder)
     train, test = parts(rows)
-    model = classify.discretized_tree(train, WIDTH)
-    scored = classify.score_columns(model, test, WIDTH)
+    scored = classify.discretized_tree(train).transform(test)
     return evaluate.confusion_counts(scored.select("label", "prediction"))
 
 
@@ -117,11 +116,23 @@ def rf_evaluate(spark, folder):
 def model_roundtrip(spark, folder):
     """A saved and re-loaded model scores every row as the fitted one does."""
     rows, _ = prepared(spark, folder)
-    model = classify.discretized_tree(rows, WIDTH)
+    model = Pipeline(stages=[classify.forest()]).fit(rows)
     path = shared_path(spark, "model")
     model.write().overwrite().save(path)
     again = PipelineModel.load(path)
-    first = classify.score_columns(model, rows, WIDTH).select("doc_id", F.col("prediction").alias("a"))
-    second = classify.score_columns(again, rows, WIDTH).select("doc_id", F.col("prediction").alias("b"))
+    first = model.transform(rows).select("doc_id", F.col("prediction").alias("a"))
+    second = again.transform(rows).select("doc_id", F.col("prediction").alias("b"))
     different = F.sum((F.col("a") != F.col("b")).cast("bigint"))
     return first.join(second, "doc_id").agg(F.count("*").alias("n_rows"), different.alias("n_different"))
+
+
+@query("image_forest")
+def image_forest(spark, folder):
+    """Images from descriptors to classes: codebook, word histograms, forest, score of every image."""
+    rows = via_table(descriptors(spark, folder), "descriptors")
+    codebook = [list(map(float, c)) for c in cluster.fit_kmeans(rows.select("vec"), 20).clusterCenters()]
+    counts = rows.groupBy("image_id", "label").agg(F.count("*").alias("n"))
+    labels = counts.groupBy("image_id").agg(F.min_by("label", F.struct(-F.col("n"), "label")).alias("label"))
+    images = cluster.features(cluster.histogram_vectors(rows, codebook).join(labels, "image_id"))
+    data = via_table(images.withColumn("label", F.col("label").cast("double")), "histograms")
+    return classify.forest().fit(data).transform(data).select("image_id", "label", "prediction")

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.vectors import dot, total
+from tidemark.functions.vectors import bound, dot, total
 
 ROLLOFF = 0.85
 PEAK_SHARE = 0.1
@@ -50,25 +50,25 @@ def bins(values) -> Column:
 
 
 def centroid(mags) -> Column:
-    power = powers(mags)
-    return F.try_divide(dot(bins(power), power), total(power))
+    return bound(powers(mags), lambda power: F.try_divide(dot(bins(power), power), total(power)))
 
 
 def rolloff(mags) -> Column:
     """Smallest bin at which the cumulated power reaches 85 percent of all power."""
-    power = powers(mags)
-    limit = total(power) * ROLLOFF
     start = F.struct(F.lit(0.0).alias("sum"), F.lit(-1).alias("bin"), F.lit(0).alias("i"))
-    done = F.aggregate(
-        power,
-        start,
-        lambda s, p: F.struct(
-            (s["sum"] + p).alias("sum"),
-            F.when((s["bin"] < 0) & (s["sum"] + p >= limit), s["i"]).otherwise(s["bin"]).alias("bin"),
-            (s["i"] + 1).alias("i"),
-        ),
-    )
-    return done["bin"]
+
+    def first_reaching(limit):
+        return F.aggregate(
+            powers(mags),
+            start,
+            lambda s, p: F.struct(
+                (s["sum"] + p).alias("sum"),
+                F.when((s["bin"] < 0) & (s["sum"] + p >= limit), s["i"]).otherwise(s["bin"]).alias("bin"),
+                (s["i"] + 1).alias("i"),
+            ),
+        )["bin"]
+
+    return bound(total(powers(mags)) * ROLLOFF, first_reaching)
 
 
 def inner_bins(values) -> Column:
@@ -83,11 +83,13 @@ def at(values, i) -> Column:
 
 def compactness(mags) -> Column:
     """Summed distance of each log magnitude from the mean of itself and its neighbors, in decibels."""
-    logs = F.transform(mags, lambda m: 20 * F.log10(F.greatest(m, F.lit(FLOOR))))
-    return F.aggregate(
-        inner_bins(mags),
-        F.lit(0.0),
-        lambda s, i: s + F.abs(at(logs, i) - (at(logs, i - 1) + at(logs, i) + at(logs, i + 1)) / 3),
+    return bound(
+        F.transform(mags, lambda m: 20 * F.log10(F.greatest(m, F.lit(FLOOR)))),
+        lambda logs: F.aggregate(
+            inner_bins(logs),
+            F.lit(0.0),
+            lambda s, i: s + F.abs(at(logs, i) - (at(logs, i - 1) + at(logs, i) + at(logs, i + 1)) / 3),
+        ),
     )
 
 
@@ -96,9 +98,10 @@ def mean(values) -> Column:
 
 
 def central_moment(values, order: int) -> Column:
-    m = mean(values)
-    return F.try_divide(
-        F.aggregate(values, F.lit(0.0), lambda s, x: s + F.pow(x - m, F.lit(float(order)))), F.size(values)
+    power = F.lit(float(order))
+    return bound(
+        mean(values),
+        lambda m: F.try_divide(F.aggregate(values, F.lit(0.0), lambda s, x: s + F.pow(x - m, power)), F.size(values)),
     )
 
 
@@ -119,31 +122,41 @@ def zero_crossings(samples) -> Column:
     return F.aggregate(changes, F.lit(0).cast("bigint"), lambda s, x: s + x)
 
 
+def frame_energy(samples, size: int) -> Column:
+    """Root mean square of every frame."""
+    return F.transform(frames(samples, size), root_mean_square)
+
+
+def centred(values) -> Column:
+    return bound(mean(values), lambda m: F.transform(values, lambda x: x - m))
+
+
 def low_energy_share(samples, size: int) -> Column:
     """Share of frames whose energy lies below the mean frame energy."""
-    energy = F.transform(frames(samples, size), root_mean_square)
-    average = mean(energy)
-    return F.try_divide(F.size(F.filter(energy, lambda e: e < average)), F.size(energy))
+    return bound(
+        frame_energy(samples, size),
+        lambda energy: bound(
+            mean(energy),
+            lambda average: F.try_divide(F.size(F.filter(energy, lambda e: e < average)), F.size(energy)),
+        ),
+    )
 
 
-def autocorrelation(values, lags: int, first: int = 1) -> Column:
-    """Mean product of the values with themselves, shifted by first .. lags positions."""
-    n = F.size(values)
-    shifts = F.array(*[F.lit(lag) for lag in range(first, lags + 1)])
+def autocorrelation(values, lags: int) -> Column:
+    """Mean product of the values with themselves, shifted by 1 .. lags positions."""
+    shifts = F.array(*[F.lit(lag) for lag in range(1, lags + 1)])
 
-    def one(lag):
-        left = F.slice(values, F.lit(1), F.greatest(n - lag, F.lit(0)))
-        right = F.slice(values, lag + 1, F.greatest(n - lag, F.lit(0)))
-        return F.try_divide(dot(left, right), n)
+    def one(x, lag):
+        length = F.greatest(F.size(x) - lag, F.lit(0))
+        return F.try_divide(dot(F.slice(x, F.lit(1), length), F.slice(x, lag + 1, length)), F.size(x))
 
-    return F.transform(shifts, one)
+    return bound(values, lambda x: F.transform(shifts, lambda lag: one(x, lag)))
 
 
 def beat_histogram(samples, frame: int, lags: int) -> Column:
     """Autocorrelation of the centred frame energies: strength of each beat period, in frames."""
-    energy = F.transform(frames(samples, frame), root_mean_square)
-    centred = F.transform(energy, lambda e: e - mean(energy))
-    return F.transform(autocorrelation(centred, lags), lambda x: F.greatest(x, F.lit(0.0)))
+    energy = bound(frame_energy(samples, frame), centred)
+    return F.transform(autocorrelation(energy, lags), lambda x: F.greatest(x, F.lit(0.0)))
 
 
 def strongest_beat(histogram) -> Column:
@@ -185,7 +198,7 @@ def constant_q_kernel(n_bins: int, low: float, per_octave: int, count: int) -> l
 def times(matrix: list[list[float]], vec) -> Column:
     """Constant matrix times a vector column."""
     rows = F.array(*[F.array(*[F.lit(float(x)) for x in row]) for row in matrix])
-    return F.transform(rows, lambda row: dot(row, vec))
+    return bound(vec, lambda v: F.transform(rows, lambda row: dot(row, v)))
 
 
 def mfcc(mags, n_bins: int, rate: float, filters: int = 13, count: int = 5) -> Column:
@@ -201,44 +214,49 @@ def constant_q(mags, n_bins: int, low: float = 2.0, per_octave: int = 3, count:
 
 def linear_prediction(samples, order: int) -> Column:
     """Coefficients that predict a sample from the `order` before it (autocorrelation method)."""
+    lag = np.abs(np.subtract.outer(np.arange(order), np.arange(order)))
 
-    @F.pandas_udf("array<double>")
-    def solve(correlations: pd.Series) -> pd.Series:
-        def one(r):
-            r = np.asarray(r, dtype=float)
-            if len(r) <= order or not r[0] > 0:
-                return np.zeros(order)
-            shifted = r[np.abs(np.subtract.outer(np.arange(order), np.arange(order)))]
-            return np.linalg.lstsq(shifted, r[1 : order + 1], rcond=None)[0]
+    def one(x):
+        x = np.asarray(x, dtype=float)
+        if len(x) <= order or not x.any():
+            return np.zeros(order)
+        r = np.array([x[: len(x) - shift] @ x[shift:] for shift in range(order + 1)])
+        return np.linalg.lstsq(r[lag], r[1:], rcond=None)[0]
 
-        return correlations.map(one)
+    @F.pandas_udf(T.ArrayType(T.DoubleType()))
+    def solve(batch: pd.Series) -> pd.Series:
+        return batch.map(one)
 
-    return solve(autocorrelation(samples, order, first=0))
+    return solve(samples)
 
 
 def spectrum_moments(mags) -> Column:
     """Sum, mean bin, spread, skewness and kurtosis of the magnitudes as weights over the bins."""
     weight = total(mags)
-    center = F.try_divide(dot(bins(mags), mags), weight)
 
-    def moment(order):
+    def moment(center, order):
         offsets = F.transform(bins(mags), lambda b: F.pow(b - center, F.lit(float(order))))
         return F.try_divide(dot(offsets, mags), weight)
 
-    spread = moment(2)
-    return F.array(
-        weight,
-        center,
-        spread,
-        F.try_divide(moment(3), F.pow(spread, F.lit(1.5))),
-        F.try_divide(moment(4), spread * spread),
-    )
+    def around(center):
+        spread = moment(center, 2)
+        return F.array(
+            weight,
+            center,
+            spread,
+            F.try_divide(moment(center, 3), F.pow(spread, F.lit(1.5))),
+            F.try_divide(moment(center, 4), spread * spread),
+        )
+
+    return bound(F.try_divide(dot(bins(mags), mags), weight), around)
 
 
 def peaks(mags) -> Column:
     """Bins larger than both neighbors and at least a tenth of the largest magnitude."""
-    limit = F.array_max(mags) * PEAK_SHARE
-    return F.filter(
-        inner_bins(mags),
-        lambda i: (at(mags, i) > at(mags, i - 1)) & (at(mags, i) > at(mags, i + 1)) & (at(mags, i) >= limit),
+    return bound(
+        F.array_max(mags) * PEAK_SHARE,
+        lambda limit: F.filter(
+            inner_bins(mags),
+            lambda i: (at(mags, i) > at(mags, i - 1)) & (at(mags, i) > at(mags, i + 1)) & (at(mags, i) >= limit),
+        ),
     )

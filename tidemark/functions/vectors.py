@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
@@ -10,6 +10,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def bound(value, body: Callable[[Column], Column]) -> Column:
+    """`body(value)` with `value` computed once, even where `body` uses it for every array element."""
+    return F.transform(F.array(value), body)[0]
+
+
 def dot(a, b) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
 
@@ -23,8 +28,7 @@ def l2_norm(a) -> Column:
 
 
 def l2_normalized(a) -> Column:
-    norm = l2_norm(a)
-    return F.when(norm > 0, F.transform(a, lambda x: x / norm)).otherwise(a)
+    return bound(l2_norm(a), lambda norm: F.when(norm > 0, F.transform(a, lambda x: x / norm)).otherwise(a))
 
 
 def to_text(a) -> Column:

@@ -3,16 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, NaiveBayes, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import OneHotEncoder, QuantileDiscretizer, VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.vectors import bound, total
 from tidemark.operators import evaluate
 from tidemark.operators.relational import best_trial
 
@@ -30,17 +30,19 @@ LETTERS = "abcdefghijklmnopqrstuvwxyzäöüßñéèç"
 
 def letter_shares(text) -> Column:
     """Share of each letter among the counted letters of a text, as array<double>."""
-    lowered = F.lower(text)
-    counts = F.transform(
-        F.array(*[F.lit(c) for c in LETTERS]), lambda c: F.length(lowered) - F.length(F.replace(lowered, c))
+    letters = F.array(*[F.lit(c) for c in LETTERS])
+    counts = bound(
+        F.lower(text),
+        lambda lowered: F.transform(letters, lambda c: F.length(lowered) - F.length(F.replace(lowered, c))),
+    )
+    return bound(
+        counts,
+        lambda n: bound(F.greatest(total(n), F.lit(1.0)), lambda all_: F.transform(n, lambda x: x / all_)),
     )
-    return counts.cast("array<double>")
 
 
 def with_letter_shares(docs: DataFrame, text: str = "text", out: str = "vec") -> DataFrame:
-    counted = docs.withColumn("_c", letter_shares(F.col(text)))
-    total = F.greatest(F.aggregate("_c", F.lit(0.0), lambda s, x: s + x), F.lit(1.0))
-    return counted.withColumn("_t", total).withColumn(out, F.transform("_c", lambda x: x / F.col("_t"))).drop("_c", "_t", text)
+    return docs.withColumn(out, letter_shares(F.col(text))).drop(text)
 
 
 def labelled(df: DataFrame, label: str, classes: list[str], vec: str = "vec") -> DataFrame:
@@ -90,44 +92,55 @@ def gaussian_bayes() -> NaiveBayes:
     return NaiveBayes(modelType="gaussian")
 
 
-def _columns(df: DataFrame, vec: str, width: int) -> DataFrame:
-    return df.select("*", *[F.col(vec)[i].alias(f"x{i}") for i in range(width)])
+def quantile_cuts(df: DataFrame, bins: int = 5, vec: str = "vec") -> list[list[float]]:
+    """Cut points of every coordinate, from one mergeable sketch each."""
+    at = [i / bins for i in range(1, bins)]
+    long = df.select(F.posexplode(vec).alias("i", "x"))
+    rows = long.groupBy("i").agg(F.percentile_approx("x", at, 10000).alias("cuts")).orderBy("i").collect()
+    return [list(row.cuts) for row in rows]
 
 
-def binned(df: DataFrame, width: int, bins: int = 5, vec: str = "vec"):
-    """Quantile bins per coordinate, fitted in one pass over the table."""
-    binner = QuantileDiscretizer(
-        numBuckets=bins,
-        inputCols=[f"x{i}" for i in range(width)],
-        outputCols=[f"b{i}" for i in range(width)],
-        handleInvalid="keep",
-    )
-    flat = _columns(df, vec, width)
-    return binner.fit(flat), flat
+def binned(vec, cuts: list[list[float]]) -> Column:
+    """Bin number of every coordinate, as array<double>."""
+    edges = F.array(*[F.array(*map(F.lit, c)) for c in cuts])
+    return F.zip_with(vec, edges, lambda x, e: F.size(F.filter(e, lambda cut: cut < x)).cast("double"))
 
 
-def discretized_bayes(train: DataFrame, width: int, bins: int = 5, smoothing: float = 1.0) -> PipelineModel:
-    """Discretise every coordinate, one-hot encode the bins, then multinomial naive Bayes."""
-    binner, flat = binned(train, width, bins)
-    encode = OneHotEncoder(
-        inputCols=[f"b{i}" for i in range(width)], outputCols=[f"h{i}" for i in range(width)], dropLast=False,
-        handleInvalid="keep",
-    )
-    gather = VectorAssembler(inputCols=[f"h{i}" for i in range(width)], outputCol="features")
-    data = flat.drop("features")
-    return Pipeline(stages=[binner, encode, gather, NaiveBayes(smoothing=smoothing)]).fit(data)
+def one_hot(numbers, bins: int) -> Column:
+    slots = F.sequence(F.lit(0), F.lit(bins - 1))
+    return F.flatten(F.transform(numbers, lambda b: F.transform(slots, lambda j: (j == b).cast("double"))))
 
 
-def discretized_tree(train: DataFrame, width: int, bins: int = 5, depth: int = 5) -> PipelineModel:
-    """The default tree learner over discretised coordinates."""
-    binner, flat = binned(train, width, bins)
-    gather = VectorAssembler(inputCols=[f"b{i}" for i in range(width)], outputCol="features")
-    tree = DecisionTreeClassifier(impurity="entropy", maxDepth=depth, maxBins=max(32, bins + 1), seed=1)
-    return Pipeline(stages=[binner, gather, tree]).fit(flat.drop("features"))
+@dataclass
+class Discretized:
+    """A classifier behind a quantile discretiser; the cuts are part of the model."""
+
+    cuts: list[list[float]]
+    bins: int
+    hot: bool
+    model: object = None
 
+    def prepare(self, df: DataFrame, vec: str = "vec") -> DataFrame:
+        numbers = binned(F.col(vec), self.cuts)
+        return df.withColumn("features", array_to_vector(one_hot(numbers, self.bins) if self.hot else numbers))
 
-def score_columns(model: PipelineModel, df: DataFrame, width: int, vec: str = "vec") -> DataFrame:
-    return model.transform(_columns(df, vec, width).drop("features"))
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self.model.transform(self.prepare(df))
+
+
+def discretized_bayes(train: DataFrame, bins: int = 5, smoothing: float = 1.0) -> Discretized:
+    """Discretise every coordinate, one-hot encode the bins, then multinomial naive Bayes."""
+    out = Discretized(quantile_cuts(train, bins), bins, hot=True)
+    out.model = NaiveBayes(smoothing=smoothing).fit(out.prepare(train))
+    return out
+
+
+def discretized_tree(train: DataFrame, bins: int = 5, depth: int = 5) -> Discretized:
+    """The default tree learner over discretised coordinates."""
+    out = Discretized(quantile_cuts(train, bins), bins, hot=False)
+    tree = DecisionTreeClassifier(impurity="entropy", maxDepth=depth, seed=1)
+    out.model = tree.fit(out.prepare(train))
+    return out
 
 
 def cross_validated(df: DataFrame, estimator, folds: int = 4, fold: str = "fold"):
