@@ -179,7 +179,15 @@ def sig_constant_q(spark, folder):
     return rows.select("rec_id", *spread(F.col("c"), 12, "q"))
 
 
-@query("sig_lpc1")
+LPC_SQL = f"""WITH RECURSIVE {REC_SQL}, c AS (SELECT rec_id, list_transform(range(0, 11),
+  lambda g: list_sum(list_transform(range(1, 65 - g), lambda i: s[i] * s[i + g]))) AS r FROM r),
+lev AS (SELECT rec_id, r, 0 AS n, CAST([] AS DOUBLE[]) AS a, r[1] AS e FROM c
+  UNION ALL SELECT rec_id, r, n + 1, list_append(list_transform(range(1, n + 1), lambda j: a[j] - k * a[n + 1 - j]), k), e * (1 - k * k)
+  FROM (SELECT *, (r[n + 2] - coalesce(list_sum(list_transform(range(1, n + 1), lambda j: a[j] * r[n + 2 - j])), 0)) / e AS k
+    FROM lev WHERE n < 10))"""
+
+
+@query("sig_lpc1", LPC_SQL + f" SELECT rec_id, {spread_sql('a', 10, 'lpc')} FROM lev WHERE n = 10")
 def sig_lpc1(spark, folder):
     solved = signals.linear_prediction(F.col("samples"), 10)
     return recordings(spark, folder).select("rec_id", solved.alias("c")).select("rec_id", *spread(F.col("c"), 10, "lpc"))
@@ -224,6 +232,14 @@ def sig_area_moments(spark, folder):
     return rows.select("rec_id", *[F.round(c, 5).alias(c) for c in ("area", "x_mean", "y_mean", "xy")])
 
 
-@query("sig_feature_rows")
+@query(
+    "sig_feature_rows",
+    LPC_SQL
+    + """ SELECT rec_id, CAST(list_sum(list_transform(range(1, 64), lambda i: CAST((s[i] >= 0) != (s[i + 1] >= 0) AS INT))) AS BIGINT)
+      AS zero_crossings, round(a[1], 5) AS lpc1, CASE WHEN label < 9 THEN label END AS label_index
+    FROM lev JOIN r USING (rec_id) WHERE n = 10""",
+)
 def sig_feature_rows(spark, folder):
-    return across.feature_rows(recordings(spark, folder), list(range(9)))
+    """Label 9 stands for a recording of unknown class."""
+    rows = across.feature_rows(recordings(spark, folder), list(range(9)))
+    return rows.withColumn("lpc1", F.round("lpc1", 5))
