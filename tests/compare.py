@@ -45,10 +45,13 @@ def duck(folder):
     return con
 
 
-def compare(spark, con, name, folder):
+def compare(spark, con, name, folder, sql=True):
     """(rows, seconds, problem or None); a query without SQL only has to give rows."""
     start = time.time()
     df = QUERIES[name](spark, folder)
+    if not sql:
+        df.write.format("noop").mode("overwrite").save()
+        return 0, time.time() - start, None
     got = df.collect()
     spent = time.time() - start
     if name not in SQL:
@@ -76,6 +79,7 @@ def compare(spark, con, name, folder):
 def main():
     args = argparse.ArgumentParser()
     args.add_argument("--sf", default="/root/testdata/sf0.01")
+    args.add_argument("--time-only", action="store_true", help="run without the SQL side")
     args.add_argument("names", nargs="*")
     args = args.parse_args()
     spark = session("compare", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "16g"})
@@ -84,7 +88,7 @@ def main():
     bad = 0
     for name in args.names or QUERIES:
         try:
-            n, spent, problem = compare(spark, con, name, args.sf)
+            n, spent, problem = compare(spark, con, name, args.sf, not args.time_only)
         except Exception as error:  # report and go on with the next query
             n, spent, problem = 0, 0.0, f"{type(error).__name__}: {str(error)[:1500]}"
         bad += problem is not None

@@ -11,14 +11,14 @@ from tidemark.operators import evaluate
 from tidemark.operators.relational import stratified_folds
 from tidemark.plans import classify, cluster
 from tidemark.session import shared_path, via_table
-from tidemark.sources.tables import descriptors, table
+from tidemark.sources.tables import descriptors, documents, table
 
 WIDTH = len(classify.LETTERS)
 
 
 def shares(spark, folder):
     """(doc_id, lang, vec), computed once from the whole texts."""
-    docs = table(spark, folder, "documents").select("doc_id", "lang", "text")
+    docs = documents(spark, folder, "lang")
     return via_table(classify.with_letter_shares(docs), "letter-shares")
 
 
@@ -44,7 +44,7 @@ s AS (SELECT doc_id, lang, i, n / greatest(sum(n) OVER (PARTITION BY doc_id), 1)
     + " SELECT lang, CAST(i AS INT) AS i, round(avg(x), 8) AS mean, round(var_pop(x), 8) AS variance FROM s GROUP BY ALL",
 )
 def gaussian_nb(spark, folder):
-    docs = table(spark, folder, "documents").select("doc_id", "lang", "text")
+    docs = documents(spark, folder, "lang")
     learned = classify.gaussian_parameters(classify.with_letter_shares(docs), "lang")
     return learned.withColumns({"mean": F.round("mean", 8), "variance": F.round("variance", 8)})
 

@@ -10,11 +10,7 @@ from tidemark.functions.stopwords import ENGLISH
 from tidemark.operators.relational import stratified_folds
 from tidemark.plans import textmodel
 from tidemark.session import via_table
-from tidemark.sources.tables import POSTS_SQL, posts, table
-
-
-def documents(spark, folder, *columns):
-    return table(spark, folder, "documents").select("doc_id", "text", *columns)
+from tidemark.sources.tables import POSTS_SQL, documents, posts, table
 
 
 @query(

@@ -12,7 +12,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-QUANTILES = 64
+from tidemark.session import via_table
+
+QUANTILES = 64  # a power of two
 
 
 def running_sum(
@@ -79,8 +81,13 @@ def value_buckets(df: DataFrame, keys: Sequence[str], value: str, out: str = "_s
     keys = list(keys)
     points = [i / QUANTILES for i in range(1, QUANTILES)]
     cuts = df.groupBy(*keys).agg(F.percentile_approx(value, points, 10000).alias("_cuts"))
-    joined = df.join(cuts, keys) if keys else df.withColumn("_cuts", cuts.scalar())
-    return joined.withColumn(out, F.size(F.filter("_cuts", lambda cut: cut < F.col(value)))).drop("_cuts")
+    found = (df.join(cuts, keys) if keys else df.withColumn("_cuts", cuts.scalar())).withColumn(out, F.lit(0))
+    step = QUANTILES // 2
+    while step:  # binary search for the number of cut points below the value
+        below = F.get("_cuts", F.col(out) + step - 1) < F.col(value)
+        found = found.withColumn(out, F.col(out) + F.when(below, step).otherwise(0))
+        step //= 2
+    return found.drop("_cuts")
 
 
 def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "median") -> DataFrame:
@@ -90,11 +97,12 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "med
     cumulative weights are built bucket by bucket, so no task holds a whole group.
     """
     keys = list(keys)
-    weighted = df.groupBy(*keys, value).agg(F.count("*").alias("_n"))
+    counts = df.dropna(subset=[value]).groupBy(*keys, value).agg(F.count("*").alias("_n"))
+    weighted = via_table(counts, "weighted")  # read four times below
     cumulative = running_sum(
         value_buckets(weighted, keys, value), keys, [value], F.col("_slot"), F.col("_n"), "_upto"
     )
-    sizes = df.groupBy(*keys).agg(F.count(value).alias("_size"))
+    sizes = weighted.groupBy(*keys).agg(F.sum("_n").alias("_size"))
     low = F.floor((F.col("_size") + 1) / 2)
     high = F.floor((F.col("_size") + 2) / 2)
 

@@ -40,11 +40,17 @@ def cluster_report(model, vectors: DataFrame) -> DataFrame:
 
 def fit_bisecting(vectors: DataFrame, k: int = 4, seed: int = 1):
     """Divisive hierarchy: each level splits the clusters of the level above."""
-    return BisectingKMeans(k=k, seed=seed).fit(features(vectors))
+    data = features(vectors).persist()
+    model = BisectingKMeans(k=k, seed=seed).fit(data)
+    data.unpersist()
+    return model
 
 
 def fit_mixture(vectors: DataFrame, k: int = 10, seed: int = 1, iters: int = 100):
-    return GaussianMixture(k=k, seed=seed, maxIter=iters).fit(features(vectors))
+    data = features(vectors).persist()
+    model = GaussianMixture(k=k, seed=seed, maxIter=iters).fit(data)
+    data.unpersist()
+    return model
 
 
 def mixture_report(model, vectors: DataFrame) -> DataFrame:

@@ -70,6 +70,18 @@ def via_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows to all cores where the input comes in fewer splits than there are cores.
+
+    Meant for small inputs before work that is heavy per row. A large input has more
+    splits than that already and is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.isStreaming or df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether `path` exists on whatever file system it names."""
     jvm = spark.sparkContext._jvm

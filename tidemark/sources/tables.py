@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.session import spread
+
 
 def with_event_time(df: DataFrame) -> DataFrame:
     """Cast zone-less timestamps to UTC timestamps; a watermark accepts no other type."""
@@ -81,6 +83,11 @@ def friend_links(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def documents(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    """(doc_id, text, columns): spread over the cores, since all work on texts is heavy per row."""
+    return spread(table(spark, folder, "documents").select("doc_id", "text", *columns))
+
+
 def descriptors(spark: SparkSession, folder: str) -> DataFrame:
     """(vec_id, image_id, label, vec): ten consecutive vectors make one image."""
     return table(spark, folder, "embeddings").select(
