@@ -72,7 +72,10 @@ def read_whole_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def list_files(spark: SparkSession, path: str) -> DataFrame:
-    """(path, name, parent, length) of all files below a folder; their content is not read."""
+    """(path, name, parent, length) of all files below a folder; their content is not read.
+
+    Files without content do not appear, as in every Spark file scan.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     return files.select("path", path_id(F.col("path")).alias("name"), path_label(F.col("path")).alias("parent"), "length")
 
