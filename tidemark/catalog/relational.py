@@ -8,6 +8,7 @@ from tidemark.catalog.registry import query
 from tidemark.functions import scalar
 from tidemark.functions.text import path_id, path_label
 from tidemark.operators import evaluate, graph, ordered, relational
+from tidemark.session import via_table
 from tidemark.sources.tables import RATINGS_SQL, friend_links, rating_value, ratings, table
 
 # --- ratings and their split ------------------------------------------------
@@ -284,13 +285,13 @@ def topn_titles(spark, folder):
         .groupBy("item_id")
         .agg(F.count("*").alias("n"), (F.sum("rating") / F.count("*")).alias("score"))
     )
-    top = relational.top_rows(scores, [F.col("score").desc(), F.col("n").desc(), F.col("item_id")], 50)
+    best = relational.top_rows(scores, [F.col("score").desc(), F.col("n").desc(), F.col("item_id")], 50)
+    top = via_table(best, "top-items")
     titles = table(spark, folder, "part").select(F.col("p_partkey").alias("item_id"), F.col("p_name").alias("title"))
-    # The 50 rows are the broadcast side: a right join keeps each of them.
-    return (
-        titles.join(F.broadcast(top), "item_id", "right")
-        .select("rank", "item_id", "title", F.round("score", 6).alias("score"))
-    )
+    # Both broadcasts hold at most 50 rows; the titles are filtered where they are scanned.
+    needed = titles.join(F.broadcast(top.select("item_id")), "item_id", "left_semi")
+    named = top.join(F.broadcast(needed), "item_id", "left")
+    return named.select("rank", "item_id", "title", F.round("score", 6).alias("score"))
 
 
 @query("user_items", f"WITH {RATINGS_SQL} SELECT item_id, rating FROM ratings WHERE user_id = 1")

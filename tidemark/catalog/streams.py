@@ -154,10 +154,12 @@ def stream_score_text(spark, folder):
     )
 
     def score(batch, batch_id):
+        batch = batch.persist()
         terms = textmodel.term_frequency(batch)
         scores = textmodel.nb_scores(model, terms, batch)
         named = textmodel.nb_predict(scores).join(batch.select("doc_id", F.col("lang").alias("label")), "doc_id")
         named.select([f.name for f in schema]).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        batch.unpersist()
 
     arriving = table_stream(spark, folder, "documents").select("doc_id", "text", "lang")
     sinks.run_batches(arriving, score, "score-text")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.session import via_table
 
-QUANTILES = 64  # a power of two
+SLICES = 1024  # a power of two
 
 
 def running_sum(
@@ -72,17 +72,19 @@ def last_known(
     )
 
 
-def value_buckets(df: DataFrame, keys: Sequence[str], value: str, out: str = "_slot") -> DataFrame:
+def value_buckets(
+    df: DataFrame, keys: Sequence[str], value: str, out: str = "_slot", slices: int = SLICES
+) -> DataFrame:
     """Add an equi-depth bucket number per group, following `value`.
 
-    The cut points come from a mergeable quantile sketch of fixed size, so each
-    bucket holds about 1/64 of its group however the values are spread.
+    The cut points come from a mergeable quantile sketch of fixed size, so each bucket
+    holds about one slice of its group however the values are spread.
     """
     keys = list(keys)
-    points = [i / QUANTILES for i in range(1, QUANTILES)]
+    points = [i / slices for i in range(1, slices)]
     cuts = df.groupBy(*keys).agg(F.percentile_approx(value, points, 10000).alias("_cuts"))
     found = (df.join(cuts, keys) if keys else df.withColumn("_cuts", cuts.scalar())).withColumn(out, F.lit(0))
-    step = QUANTILES // 2
+    step = slices // 2
     while step:  # binary search for the number of cut points below the value
         below = F.get("_cuts", F.col(out) + step - 1) < F.col(value)
         found = found.withColumn(out, F.col(out) + F.when(below, step).otherwise(0))

@@ -8,14 +8,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.ordered import running_rank, value_buckets
+from tidemark.operators.skew import salted_join
 
 BROADCAST_ROWS = 100_000
 
 
 def lookup(rows: DataFrame, dictionary: DataFrame, key: str, how: str = "left") -> DataFrame:
-    """Join a dictionary; it is broadcast only after its row count was checked."""
-    small = dictionary.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    return rows.join(F.broadcast(dictionary) if small else dictionary, key, how)
+    """Join a dictionary that has one row per key.
+
+    It is broadcast only after its row count was checked; a larger one is joined by a
+    shuffle that spreads frequent keys.
+    """
+    if dictionary.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(dictionary), key, how)
+    return salted_join(rows, dictionary, key, F.monotonically_increasing_id(), how)
 
 
 def not_rated(items: DataFrame, rated: DataFrame, key: str) -> DataFrame:
@@ -37,7 +43,8 @@ def matching_names(recommended: DataFrame, predicted: DataFrame, name: str, dist
 
 def row_numbers(df: DataFrame, order: str, out: str) -> DataFrame:
     """1-based position of every row along a unique numeric column, over the whole table."""
-    return running_rank(value_buckets(df, [], order), [], [order], F.col("_slot"), out).drop("_slot")
+    slots = value_buckets(df, [], order, slices=4096)
+    return running_rank(slots, [], [order], F.col("_slot"), out).drop("_slot")
 
 
 def zipped(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:

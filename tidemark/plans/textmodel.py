@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import scalar
 from tidemark.functions.text import words
+from tidemark.operators.relational import lookup
 from tidemark.operators.skew import hot_among, salted_join
 from tidemark.session import via_table
 
@@ -142,7 +143,7 @@ def sentence_scores(parts: DataFrame, key: list[str], lexicon: DataFrame) -> Dat
     """Sentence rows with a class 0..4: neutral plus the polarity of its words."""
     spread = words(parts.select(*key, "pos", "sentence"), "sentence")
     counted = spread.groupBy(*key, "pos", "token").agg(F.count("*").alias("_n"))
-    polar = salted_join(counted, lexicon, "token", F.struct(*key, "pos"))
+    polar = lookup(counted, lexicon, "token", "inner")
     sums = polar.groupBy(*key, "pos").agg(F.sum(F.col("_n") * F.col("polarity")).alias("_s"))
     score = F.greatest(F.lit(0), F.least(F.lit(4), 2 + F.coalesce("_s", F.lit(0)))).cast("int")
     return parts.join(sums, [*key, "pos"], "left").withColumn("score", score).drop("_s", "sentence")
