@@ -81,8 +81,10 @@ def value_buckets(
     holds about one slice of its group however the values are spread.
     """
     keys = list(keys)
-    points = [i / slices for i in range(1, slices)]
-    cuts = df.groupBy(*keys).agg(F.percentile_approx(value, points, 10000).alias("_cuts"))
+    # One SQL text: thousands of literals would each cost a call into the JVM.
+    points = ", ".join(f"{i / slices!r}D" for i in range(1, slices))
+    sketch = F.expr(f"percentile_approx(`{value}`, array({points}), 10000)").alias("_cuts")
+    cuts = via_table(df.groupBy(*keys).agg(sketch), "cuts")  # one small row per group
     found = (df.join(cuts, keys) if keys else df.withColumn("_cuts", cuts.scalar())).withColumn(out, F.lit(0))
     step = slices // 2
     while step:  # binary search for the number of cut points below the value

@@ -43,7 +43,7 @@ def matching_names(recommended: DataFrame, predicted: DataFrame, name: str, dist
 
 def row_numbers(df: DataFrame, order: str, out: str) -> DataFrame:
     """1-based position of every row along a unique numeric column, over the whole table."""
-    slots = value_buckets(df, [], order, slices=4096)
+    slots = value_buckets(df, [], order)
     return running_rank(slots, [], [order], F.col("_slot"), out).drop("_slot")
 
 
