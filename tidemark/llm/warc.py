@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tidemark.session import shared_path
 
-ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"  # of base32, for the SQL
 DATE = "2024-01-01T00:00:00Z"
 
 
@@ -31,31 +31,22 @@ class DigestMismatch(ValueError):
     """A stored payload does not match its digest or length."""
 
 
-def base32_of_hex(digest: Column) -> Column:
-    """Base32 of a SHA-1 given in hex: five hex digits are four base32 letters."""
-
-    def letters(text):
-        out = []
-        for group in range(8):
-            number = F.conv(F.substring(text, 5 * group + 1, 5), 16, 10).cast("int")
-            out += [
-                F.substring(F.lit(ALPHABET), F.shiftright(number, shift).bitwiseAND(31) + 1, F.lit(1))
-                for shift in (15, 10, 5, 0)
-            ]
-        return F.concat(*out)
-
-    return F.transform(F.array(digest), letters)[0]  # bound once, so the digest is computed once
+def base32(body: bytes) -> str:
+    return base64.b32encode(hashlib.sha1(body).digest()).decode()
 
 
-def facts(pages: DataFrame, key: str, url: str, payload: str) -> DataFrame:
-    body = F.coalesce(F.col(payload).cast("binary"), F.lit(b""))
-    return pages.select(
-        F.col(key).cast("long").alias("record_id"),
-        F.regexp_replace(F.col(url).cast("string"), "[\r\n]", "%0A").alias("uri"),
-        F.unhex(F.sha2(body, 256)).alias("digest"),
-        F.octet_length(body).cast("long").alias("n_bytes"),
-        base32_of_hex(F.sha1(body)).alias("sha1"),
-    )
+def describe(batches):
+    for batch in batches:
+        bodies = [b or b"" for b in batch.column("body").to_pylist()]
+        yield pa.RecordBatch.from_pydict(
+            {
+                "record_id": batch.column("record_id"),
+                "uri": batch.column("uri"),
+                "digest": pa.array([hashlib.sha256(b).digest() for b in bodies], pa.binary()),
+                "n_bytes": pa.array(map(len, bodies), pa.int64()),
+                "sha1": pa.array(map(base32, bodies), pa.string()),
+            }
+        )
 
 
 def header_bytes(revisit: Column) -> Column:
@@ -100,7 +91,15 @@ def write_archive(
     are still stored once.
     """
     spark = pages.sparkSession
-    known = facts(pages, key, url, payload)
+    records = pages.select(
+        F.col(key).cast("long").alias("record_id"),
+        F.regexp_replace(F.col(url).cast("string"), "[\r\n]", "%0A").alias("uri"),
+        F.col(payload).cast("binary").alias("body"),
+    )
+    records.mapInArrow(describe, "record_id long, uri string, digest binary, n_bytes long, sha1 string").write.parquet(
+        f"{path}/facts"
+    )
+    known = spark.read.parquet(f"{path}/facts")  # narrow; read twice below
     owners_path = f"{path}/owners"
     known.groupBy("digest").agg(F.max("record_id").alias("owner")).write.parquet(owners_path)
     owners = spark.read.parquet(owners_path)
@@ -108,9 +107,7 @@ def write_archive(
     known.join(owners, "digest").select(
         "record_id", "digest", header_bytes(revisit).alias("header")
     ).write.parquet(f"{path}/headers")
-    packed = pages.select(
-        F.col(key).cast("long").alias("record_id"), F.col(payload).cast("binary").alias("body")
-    ).mapInArrow(pack, "record_id long, digest binary, packed binary")
+    packed = records.select("record_id", "body").mapInArrow(pack, "record_id long, digest binary, packed binary")
     held = owners.select(F.col("digest").alias("own_digest"), "owner")
     (
         packed.join(held, F.col("record_id").eqNullSafe(F.col("owner")) & (F.col("digest") == F.col("own_digest")), "semi")
@@ -173,7 +170,7 @@ def page_digests(records: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             payloads = batch.column("payload").to_pylist()
-            sums = [base64.b32encode(hashlib.sha1(p).digest()).decode() for p in payloads]
+            sums = list(map(base32, payloads))
             if sums != batch.column("stated_digest").to_pylist():
                 raise DigestMismatch("a header states another digest")
             yield pa.RecordBatch.from_pydict(
