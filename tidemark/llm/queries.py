@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from tidemark.llm import bpe, quality, tokencount, tokenfiles, warc
-from tidemark.llm.common import table
+from tidemark.llm import bpe, langid, quality, tokencount, tokenfiles, toxicity, warc
+from tidemark.llm.common import is_remainder, is_training, table
 
 QUERIES = {}
 SQL = {}
@@ -37,6 +37,12 @@ def op3_token_files(spark, sf_dir):
     return tokenfiles.token_files(table(spark, sf_dir, "documents"), tokenizer, end_id=2)
 
 
+@query("op4_language")
+def op4_language(spark, sf_dir):
+    found = langid.languages(table(spark, sf_dir, "documents"), is_training("doc_id", 5, 0))
+    return found.withColumn("held_out", is_remainder("doc_id", 5, 0))
+
+
 @query("op6_token_counts")
 def op6_token_counts(spark, sf_dir):
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
@@ -47,3 +53,10 @@ def op6_token_counts(spark, sf_dir):
 def op9_bpe(spark, sf_dir):
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return bpe.bpe(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
+@query("op10_toxicity")
+def op10_toxicity(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    found = toxicity.score(docs, toxicity.fit(docs, labels, is_training("doc_id", 5, 0)))
+    return found.withColumn("held_out", is_remainder("doc_id", 5, 0))
