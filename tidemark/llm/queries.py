@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from tidemark.llm import bpe, langid, quality, tokencount, tokenfiles, toxicity, warc
+from tidemark.llm import bpe, decontam, langid, neardup, quality, tokencount, tokenfiles, toxicity, warc
 from tidemark.llm.common import is_remainder, is_training, table
 
 QUERIES = {}
@@ -43,12 +43,22 @@ def op4_language(spark, sf_dir):
     return found.withColumn("held_out", is_remainder("doc_id", 5, 0))
 
 
+@query("op5_decontamination")
+def op5_decontamination(spark, sf_dir):
+    return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op6_token_counts")
 def op6_token_counts(spark, sf_dir):
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     return tokencount.token_counts(table(spark, sf_dir, "documents"), tokenizer, limit=512)
 
 
+@query("op7_near_duplicates")
+def op7_near_duplicates(spark, sf_dir):
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query("op9_bpe")
 def op9_bpe(spark, sf_dir):
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
