@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from tidemark.llm import bpe, decontam, langid, neardup, quality, tokencount, tokenfiles, toxicity, warc
+from tidemark.llm import bpe, decontam, hmm, langid, neardup, quality, tokencount, tokenfiles, toxicity, warc
 from tidemark.llm.common import is_remainder, is_training, table
 
 QUERIES = {}
@@ -59,6 +59,12 @@ def op7_near_duplicates(spark, sf_dir):
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("op8_hmm")
+def op8_hmm(spark, sf_dir):
+    scores = hmm.language_model(table(spark, sf_dir, "documents"), is_training("doc_id", 7, 2))
+    return scores.withColumn("held_out", is_remainder("doc_id", 7, 2))
+
+
 @query("op9_bpe")
 def op9_bpe(spark, sf_dir):
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
