@@ -1,4 +1,9 @@
-"""Documents to token ids in stages, each written as Parquet and read again by the next."""
+"""Documents to token ids in stages, each written as Parquet and read again by the next.
+
+Every stage works on all rows its predecessor kept and all but the last return the columns of
+documents. Rows with a null id or text are handled as each operator states; an empty table passes
+through as an empty table.
+"""
 
 from __future__ import annotations
 
@@ -6,19 +11,37 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, quality
-from tidemark.llm.common import table
+from tidemark.llm import bpe, decontam, langid, neardup, quality
+from tidemark.llm.common import is_training, table, without_ids
 from tidemark.session import shared_path
 
-COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+KINDS = "text string, lang string, source string, n_chars long"
+LEAST_SCORE = 0.5  # of the language found; und is below it
 ORACLE_SQL = None
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the repetition limits."""
-    others = "text string, lang string, source string, n_chars long"
-    judged = quality.quality(docs, extra=others)
-    return judged.where("kept").select("doc_id", "text", "lang", "source", "n_chars")
+    return quality.quality(docs, extra=KINDS).where("kept").select(*COLUMNS)
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language the network has learned, found with a fair score."""
+    found = langid.languages(docs, is_training("doc_id", 5, 0), extra=KINDS)
+    return found.where(F.col("score") >= LEAST_SCORE).select(*COLUMNS)
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the least id of every near-duplicate class; a repeated row stays once."""
+    others = neardup.near_duplicates(docs).where("doc_id <> class_id").select("doc_id")
+    return without_ids(docs.select(*COLUMNS), others, once=True)
+
+
+def without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that no benchmark item leaks into."""
+    found = decontam.leaks(docs, table(spark, sf_dir, "benchmark"))
+    return without_ids(docs.select(*COLUMNS), found.select("doc_id"))
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,7 +50,13 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.bpe(docs, ranks, public_tokenizers.PATTERN, keep_ids=True)
 
 
-STAGES = [("quality", quality_rules), ("encode", encoded)]
+STAGES = [
+    ("quality", quality_rules),
+    ("language", language),
+    ("near_duplicates", one_of_each),
+    ("decontamination", without_leaks),
+    ("encoding", encoded),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -113,6 +113,30 @@ def in_bitmap(words: np.ndarray, values: np.ndarray) -> np.ndarray:
     return (words[slot // 64] >> (slot % 64)) & 1 == 1
 
 
+def without_ids(docs: DataFrame, ids: DataFrame, once: bool = False) -> DataFrame:
+    """Rows of `docs` whose doc_id is not in `ids`; rows with a null id stay.
+
+    With `once`, a doc_id that several rows share stays in one of them. A bit table of fixed size
+    tells which rows cannot be concerned; only the others are shuffled.
+    """
+    concerned = ids.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id IS NOT NULL")
+    again = docs.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").select("doc_id") if once else None
+    bits = bitmap(concerned.unionAll(again) if once else concerned, "doc_id")
+
+    def part(wanted: bool):
+        def run(batches):
+            for batch in batches:
+                column = batch.column("doc_id")
+                hit = in_bitmap(bits, column.fill_null(0).to_numpy(zero_copy_only=False))
+                hit &= ~np.asarray(column.is_null())
+                yield batch.filter(pa.array(hit == wanted))
+
+        return docs.mapInArrow(run, docs.schema)
+
+    unsure = part(True).join(concerned.distinct(), "doc_id", "anti").select(*docs.columns)
+    return part(False).unionAll(unsure.dropDuplicates(["doc_id"]) if once else unsure)
+
+
 def like(batch: pa.RecordBatch, **columns) -> pa.RecordBatch:
     """A batch from `batch`'s doc_id and further columns."""
     return pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), **columns})
