@@ -43,9 +43,7 @@ def timeline(spark):
 
 def test_running_sum_and_last_known(spark):
     rows, df = timeline(spark)
-    bucket = F.floor(F.col("t") / 37)
-    sums = ordered.running_sum(df, ["k"], ["t", "id"], bucket, F.col("id"), "s")
-    both = ordered.last_known(sums, ["k"], ["t", "id"], bucket, F.col("v"), "last")
+    both = ordered.running(df, ["k"], ["t", "id"], sums={"s": F.col("id")}, lasts={"last": F.col("v")})
     got = {r.id: (r.s, r.last) for r in both.collect()}
     assert len(got) == len(rows)
     for k in {r[1] for r in rows}:
@@ -55,6 +53,36 @@ def test_running_sum_and_last_known(spark):
             assert got[i] == (total, last)
 
 
+def test_running_keeps_null_groups_orders_and_values(spark):
+    rows = [(1, None, 3, 5), (2, None, None, 1), (3, "a", 2, None), (4, "a", None, None), (5, "a", 9, 4), (6, None, 1, None)]
+    df = spark.createDataFrame(rows, "id int, k string, t int, v int")
+    df.createOrReplaceTempView("timeline")
+    over = "OVER (PARTITION BY k ORDER BY t, id ROWS UNBOUNDED PRECEDING)"
+    want = spark.sql(f"SELECT id, k, t, v, sum(v) {over} AS s, last_value(v, true) {over} AS l FROM timeline")
+    got = ordered.running(df, ["k"], ["t", "id"], sums={"s": F.col("v")}, lasts={"l": F.col("v")})
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.count() == 6
+    ranked = ordered.running_rank(df, ["k"], ["t", "id"], "n").collect()
+    assert {r.id: r.n for r in ranked} == {2: 1, 6: 2, 1: 3, 4: 1, 3: 2, 5: 3}
+    medians = ordered.exact_median(df, ["k"], "v").collect()
+    assert {r.k: r.median for r in medians} == {None: 3.0, "a": 4.0}
+
+
+@pytest.fixture
+def uncoalesced(spark):
+    """Small shuffle slices stay apart, as large ones do."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_one_group_at_one_time_spans_several_slices(spark, uncoalesced):
+    df = spark.range(20_000).select(F.lit(1).alias("k"), F.lit(7).alias("t"), "id")
+    slices = ordered.sliced(df.repartition(8), ["k"], ["t", "id"]).groupBy("_slice").count().collect()
+    assert len(slices) > 1 and max(r["count"] for r in slices) < 15_000
+    got = ordered.running_sum(df, ["k"], ["t", "id"], F.col("id"), "s").agg(F.max("s")).first()[0]
+    assert got == 20_000 * 19_999 // 2
+
+
 def test_row_numbers(spark):
     df = spark.range(0, 5000, 7).select((F.col("id") * F.col("id")).alias("x"))
     got = sorted((r.x, r.n) for r in relational.row_numbers(df, "x", "n").collect())
@@ -209,11 +237,25 @@ def test_matching_names_keep_or_drop_multiplicity(spark):
     assert relational.matching_names(left, right, "tag", distinct=True).first().n_matches == 1
 
 
-def test_lookup_beyond_the_broadcast_bound(spark, monkeypatch):
+def test_lookup_keeps_unknown_rows(spark):
     rows, names = spark.range(20), spark.range(10).withColumn("name", F.lit("x"))
-    want = sorted(map(str, relational.lookup(rows, names, "id").collect()))
-    monkeypatch.setattr(relational, "BROADCAST_ROWS", 3)
-    assert sorted(map(str, relational.lookup(rows, names, "id").collect())) == want
+    found = relational.lookup(rows, names, "id").collect()
+    assert sum(r.name == "x" for r in found) == 10 and len(found) == 20
+
+
+def test_large_ids_are_split_and_dealt(spark):
+    df = spark.createDataFrame([(2 * 10**15 + k, "x") for k in range(40)], "id long, label string")
+    sizes = relational.stratified_folds(df, "label", "id", 4).groupBy("fold").count().collect()
+    assert [r["count"] for r in sizes] == [10] * 4
+    names = df.select(scalar.random_split_name(F.col("id"), {"train": 0.7, "test": 0.3}).alias("s")).distinct().collect()
+    assert {r.s for r in names} == {"train", "test"}
+
+
+def test_squared_error_of_equal_large_numbers_is_zero(spark):
+    rows = spark.createDataFrame([(1, 1, 1000.1)] * 3, "user_id int, item_id int, rating double")
+    same = rows.withColumnRenamed("rating", "prediction")
+    found = evaluate.rmse_over(rows, same).first()
+    assert found.n_pairs == 9 and 0 <= found.rmse < 1e-9
 
 
 # --- text and scalars -------------------------------------------------------------------

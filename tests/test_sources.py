@@ -70,9 +70,9 @@ def test_whole_files_and_listing(spark, tmp_path):
     written(tmp_path, "docs/bad/empty.txt", "")
     rows = {r.id: r for r in files.read_whole_files(spark, str(tmp_path / "docs")).collect()}
     assert rows["a.txt"].label == "good" and rows["a.txt"].text == "line 1\nline 2"
-    assert rows["b.txt"].label == "deep"
+    assert rows["b.txt"].label == "deep" and rows["empty.txt"].text == "" and len(rows) == 3
     listed = {(r.parent, r.name): r.length for r in files.list_files(spark, str(tmp_path / "docs")).collect()}
-    assert listed == {("good", "a.txt"): 13, ("deep", "b.txt"): 1}
+    assert listed == {("good", "a.txt"): 13, ("deep", "b.txt"): 1, ("bad", "empty.txt"): 0}
 
 
 def test_personal_ratings(spark, tmp_path):
@@ -88,34 +88,45 @@ def test_stop_words(spark, tmp_path):
     assert sorted(r.word for r in words.collect()) == ["a", "can't", "ours"]
 
 
-TYPED = """@relation r
+TYPED = '''@relation harbour
 
-@attribute att1 numeric
-@attribute att2 {x,y}
-@attribute att3 string
-@attribute att4 date yyyy-MM-dd
-@attribute att5 relational
-@attribute att5.1 numeric
-@attribute att5.2 {p,q}
-@end att5
+@attribute ship string
+@attribute built date yyyy-MM-dd
+@attribute flag {north,south,east}
+@attribute crew integer
+@attribute cargo relational
+@attribute cargo.good {grain,ore}
+@attribute cargo.tons numeric
+@end cargo
+@attribute draught real
 
 @data
-% a comment
-1.5,x,'one, two',2001-11-09,'4.5,p\\n5.5,q'
-2.5,y,'three',2000-12-01,'6.5,q'
-"""
+% arrivals of one morning
+'Old Tern',1987-03-02,north,14,'grain,120.5\\nore,80',6.25
+
+'% Gull, the third',2011-08-30,east,9,'ore,33.3',4.5
+@crane,1999-12-31,south,3,'grain,1',1.0
+'''
 
 
 def test_header_typed_table(spark, tmp_path):
-    rows = files.read_header_typed(spark, written(tmp_path, "t.arff", TYPED)).orderBy("att1").collect()
-    assert rows[0].att3 == "one, two" and rows[0].att4 == datetime.date(2001, 11, 9)
-    assert [tuple(p) for p in rows[0].att5] == [(4.5, "p"), (5.5, "q")]
-    assert [tuple(p) for p in rows[1].att5] == [(6.5, "q")]
+    rows = files.read_header_typed(spark, written(tmp_path, "t.arff", TYPED)).orderBy("draught").collect()
+    assert [r.ship for r in rows] == ["@crane", "% Gull, the third", "Old Tern"]
+    assert rows[2].built == datetime.date(1987, 3, 2) and [r.crew for r in rows] == [3, 9, 14]
+    assert [tuple(p) for p in rows[2].cargo] == [("grain", 120.5), ("ore", 80.0)]
+    assert [tuple(p) for p in rows[1].cargo] == [("ore", 33.3)]
 
 
 def test_header_typed_table_checks_nominals(spark, tmp_path):
     with pytest.raises(Exception, match="not declared"):
-        files.read_header_typed(spark, written(tmp_path, "t.arff", TYPED.replace("1.5,x", "1.5,z"))).collect()
+        files.read_header_typed(spark, written(tmp_path, "t.arff", TYPED.replace(",east,", ",west,"))).collect()
+
+
+def test_separate_header_takes_every_data_line(spark, tmp_path):
+    head = "@attribute who string\n@attribute n numeric\n@data\n"
+    body = "@alice,1\n'%50 off',2\n@data,3\n"
+    found = files.read_header_typed(spark, written(tmp_path, "b.csv", body), written(tmp_path, "h.arff", head)).collect()
+    assert {(r.who, r.n) for r in found} == {("@alice", 1.0), ("%50 off", 2.0), ("@data", 3.0)}
 
 
 def test_materialize_once(spark, tmp_path):

@@ -98,10 +98,10 @@ RECORD_END = "\x1e"
 
 
 def documents_by_folder(spark, folder):
-    """One folder per language, files of at most 50 whole documents each."""
+    """One folder per language; a task writes one file of whole documents into each."""
     path = shared_path(spark, "documents")
     docs = table(spark, folder, "documents").select("text", "lang")
-    docs.write.partitionBy("lang").option("lineSep", RECORD_END).option("maxRecordsPerFile", 50).text(path)
+    docs.write.partitionBy("lang").option("lineSep", RECORD_END).text(path)
     return path
 
 
@@ -117,12 +117,15 @@ def scan_whole_files(spark, folder):
     )
 
 
-@query("list_files", "SELECT DISTINCT 'lang=' || lang AS parent, true AS all_filled FROM documents")
+@query(
+    "list_files",
+    """SELECT 'lang=' || lang AS parent, CAST(sum(octet_length(encode(text)) + 1) AS BIGINT) AS n_bytes
+    FROM documents GROUP BY 1""",
+)
 def list_files(spark, folder):
+    """Bytes per folder from the listing alone; every document ends with one mark of a byte."""
     listed = files.list_files(spark, documents_by_folder(spark, folder))
-    return listed.filter(F.col("name").endswith(".txt")).groupBy("parent").agg(
-        F.bool_and(F.col("length") > 0).alias("all_filled")
-    )
+    return listed.filter(F.col("name").endswith(".txt")).groupBy("parent").agg(F.sum("length").alias("n_bytes"))
 
 
 @query(

@@ -41,8 +41,12 @@ def json_threshold(text, path: str, threshold: float) -> Column:
 
 
 def hashed_percent(key) -> Column:
-    """A repeatable digit 0..99 from a numeric id (multiplicative hash)."""
-    return F.pmod(key * 7919, F.lit(100))
+    """A repeatable number 0..99 from a numeric id (multiplicative hash modulo a large prime).
+
+    The remainder comes first: a large id times the factor would not fit 64 bits.
+    """
+    prime = F.lit(1_000_003)
+    return F.pmod(F.pmod(F.pmod(key, prime) * 7919, prime), F.lit(100))
 
 
 def random_split_name(key, shares: dict[str, float]) -> Column:

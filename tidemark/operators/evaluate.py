@@ -19,10 +19,10 @@ def rating_profile(ratings: DataFrame) -> DataFrame:
 
 
 def rating_moments(df: DataFrame, value: str, prefix: str) -> DataFrame:
-    """Count, sum and sum of squares per (user, item): all that squared errors need."""
+    """Count, mean and summed squared deviation per (user, item): all that squared errors need."""
     x = F.col(value)
     return df.groupBy(*PAIR).agg(
-        F.count(x).alias(f"{prefix}_n"), F.sum(x).alias(f"{prefix}_s"), F.sum(x * x).alias(f"{prefix}_ss")
+        F.count(x).alias(f"{prefix}_n"), F.avg(x).alias(f"{prefix}_m"), (F.var_pop(x) * F.count(x)).alias(f"{prefix}_d")
     )
 
 
@@ -30,10 +30,12 @@ def squared_error(ratings: DataFrame, predictions: DataFrame) -> DataFrame:
     """(n_pairs, sse) over the inner join of ratings and predictions on (user, item).
 
     Repeated pairs multiply as in a join, but both sides are reduced to one row per
-    pair first, so a pair holding a large share of the rows costs one row.
+    pair first, so a pair holding a large share of the rows costs one row. The error is
+    a sum of terms that are never negative, so equal large numbers do not cancel.
     """
     joined = rating_moments(ratings, "rating", "r").join(rating_moments(predictions, "prediction", "p"), PAIR)
-    sse = F.col("p_n") * F.col("r_ss") - 2 * F.col("r_s") * F.col("p_s") + F.col("r_n") * F.col("p_ss")
+    apart = F.col("r_m") - F.col("p_m")
+    sse = F.col("p_n") * F.col("r_d") + F.col("r_n") * F.col("p_d") + F.col("r_n") * F.col("p_n") * apart * apart
     return joined.agg(F.sum(F.col("r_n") * F.col("p_n")).alias("n_pairs"), F.sum(sse).alias("sse"))
 
 
@@ -123,11 +125,11 @@ def roc_area(scored: DataFrame, label: str, score: str) -> DataFrame:
     Rows collapse to one per distinct score first; the running count of negatives over
     the ordered scores is built bucket by bucket.
     """
-    from tidemark.operators.ordered import running_sum, value_buckets
+    from tidemark.operators.ordered import running_sum
 
     steps = scored.groupBy(score).agg(
         F.sum(F.col(label)).cast("double").alias("_pos"), F.sum(1 - F.col(label)).cast("double").alias("_neg")
     )
-    summed = running_sum(value_buckets(steps, [], score), [], [score], F.col("_slot"), F.col("_neg"), "_upto")
+    summed = running_sum(steps, [], [score], F.col("_neg"), "_upto")
     wins = F.col("_pos") * (F.col("_upto") - F.col("_neg") / 2)
     return summed.agg((F.sum(wins) / (F.sum("_pos") * F.sum("_neg"))).alias("roc_area"))

@@ -7,21 +7,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.ordered import running_rank, value_buckets
-from tidemark.operators.skew import salted_join
+from tidemark.operators.ordered import running_rank
 
-BROADCAST_ROWS = 100_000
+SHUFFLE_PRIME = 1_000_003
 
 
 def lookup(rows: DataFrame, dictionary: DataFrame, key: str, how: str = "left") -> DataFrame:
     """Join a dictionary that has one row per key.
 
-    It is broadcast only after its row count was checked; a larger one is joined by a
-    shuffle that spreads frequent keys.
+    Adaptive execution decides by the measured bytes whether the dictionary is broadcast, and
+    splits the slices of frequent keys where it is not.
     """
-    if dictionary.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        return rows.join(F.broadcast(dictionary), key, how)
-    return salted_join(rows, dictionary, key, F.monotonically_increasing_id(), how)
+    return rows.join(dictionary, key, how)
 
 
 def not_rated(items: DataFrame, rated: DataFrame, key: str) -> DataFrame:
@@ -43,8 +40,7 @@ def matching_names(recommended: DataFrame, predicted: DataFrame, name: str, dist
 
 def row_numbers(df: DataFrame, order: str, out: str) -> DataFrame:
     """1-based position of every row along a unique numeric column, over the whole table."""
-    slots = value_buckets(df, [], order)
-    return running_rank(slots, [], [order], F.col("_slot"), out).drop("_slot")
+    return running_rank(df, [], [order], out)
 
 
 def zipped(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
@@ -93,8 +89,7 @@ def best_trial(trials: DataFrame, error: str, number: str) -> DataFrame:
 
 def stratified_folds(df: DataFrame, label: str, key: str, folds: int, out: str = "fold") -> DataFrame:
     """Deal the rows of each label to folds in a repeatable shuffled order, sizes equal to within one."""
-    modulus = 1_000_003
-    shuffled = df.withColumn("_h", F.pmod(F.col(key) * 7919, F.lit(modulus)))
-    bucket = F.floor(F.col("_h") / (modulus // 256))
-    numbered = running_rank(shuffled, [label], ["_h", key], bucket, "_rank")
+    # The remainder comes first: a large id times the factor would not fit 64 bits.
+    shuffled = df.withColumn("_h", F.pmod(F.pmod(key, F.lit(SHUFFLE_PRIME)) * 7919, F.lit(SHUFFLE_PRIME)))
+    numbered = running_rank(shuffled, [label], ["_h", key], "_rank")
     return numbered.withColumn(out, F.pmod(F.col("_rank") - 1, F.lit(folds))).drop("_h", "_rank")

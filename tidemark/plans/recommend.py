@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
+from typing import NamedTuple
 
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import evaluate, relational
-from tidemark.session import shared_root
+from tidemark.operators.ordered import running_rank
+from tidemark.session import shared_root, via_table
 
 # The parameter grid of the movie recommender.
 GRID = [(rank, reg, iters) for rank in (8, 12) for reg in (0.1, 10.0) for iters in (10, 20)]
@@ -20,62 +23,98 @@ def one_per_pair(ratings: DataFrame) -> DataFrame:
     return ratings.groupBy("user_id", "item_id").agg(F.avg("rating").alias("rating"))
 
 
-def fit_als(ratings: DataFrame, rank: int = 10, iters: int = 20, reg: float = 0.01, seed: int = 42) -> ALSModel:
-    """Explicit-feedback factors; unknown users and items get no prediction."""
-    context = ratings.sparkSession.sparkContext
+class Recommender(NamedTuple):
+    """Fitted factors, and the tables that number users and items (ALS only takes 32-bit numbers)."""
+
+    model: ALSModel
+    users: DataFrame
+    items: DataFrame
+
+
+def numbered(ratings: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Ratings by dense numbers, and the two tables (id, number); ids may be any 64-bit integers."""
+
+    def index(key):
+        dense = running_rank(ratings.select(key).dropna().distinct(), [], [key], "_rank")
+        return via_table(dense.select(key, (F.col("_rank") - 1).cast("int").alias(f"{key}_no")), f"{key}-numbers")
+
+    users, items = index("user_id"), index("item_id")
+    coded = ratings.join(users, "user_id").join(items, "item_id")
+    return via_table(coded.select("user_id_no", "item_id_no", "rating"), "coded"), users, items
+
+
+def _fit(coded: DataFrame, rank: int, iters: int, reg: float, seed: int) -> ALSModel:
+    context = coded.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         # Factor blocks are checkpointed every few iterations where executors can reach them.
-        context.setCheckpointDir(shared_root(ratings.sparkSession))
+        context.setCheckpointDir(shared_root(coded.sparkSession))
     als = ALS(
         rank=rank,
         maxIter=iters,
         regParam=reg,
         seed=seed,
-        userCol="user_id",
-        itemCol="item_id",
+        userCol="user_id_no",
+        itemCol="item_id_no",
         ratingCol="rating",
         coldStartStrategy="drop",
         checkpointInterval=5,
     )
-    return als.fit(ratings)
+    return als.fit(coded)
+
 
+def fit_als(ratings: DataFrame, rank: int = 10, iters: int = 20, reg: float = 0.01, seed: int = 42) -> Recommender:
+    """Explicit-feedback factors; unknown users and items get no prediction."""
+    coded, users, items = numbered(ratings)
+    return Recommender(_fit(coded, rank, iters, reg, seed), users, items)
+
+
+def scored(fitted: Recommender, pairs: DataFrame) -> DataFrame:
+    """`pairs` with a prediction where the model knows both sides; other rows drop out."""
+    coded = pairs.join(fitted.users, "user_id").join(fitted.items, "item_id")
+    found = fitted.model.transform(coded).withColumn("prediction", F.col("prediction").cast("double"))
+    return found.select(*pairs.columns, "prediction")
 
-def predict(model: ALSModel, pairs: DataFrame) -> DataFrame:
+
+def predict(fitted: Recommender, pairs: DataFrame) -> DataFrame:
     """(user_id, item_id, prediction) for every pair the model knows both sides of."""
-    scored = model.transform(pairs.select("user_id", "item_id"))
-    return scored.select("user_id", "item_id", F.col("prediction").cast("double").alias("prediction"))
+    return scored(fitted, pairs.select("user_id", "item_id"))
 
 
-def pair_predictions(model: ALSModel, ratings: DataFrame) -> DataFrame:
-    return predict(model, ratings.select("user_id", "item_id").distinct())
+def pair_predictions(fitted: Recommender, ratings: DataFrame) -> DataFrame:
+    return predict(fitted, ratings.select("user_id", "item_id").distinct())
 
 
 def grid_search(
-    train: DataFrame, validation: DataFrame, grid: Iterable[tuple[int, float, int]] = GRID, seed: int = 42
-) -> tuple[DataFrame, ALSModel]:
-    """One row per trial (trial, rank, reg, iters, rmse) and the model of the best trial, the first on ties."""
-    spark = train.sparkSession
-    train = train.persist()
-    trials, best, best_error = [], None, float("inf")
-    for number, (rank, reg, iters) in enumerate(grid, 1):
-        model = fit_als(train, rank, iters, reg, seed)
-        error = evaluate.rmse_over(validation, pair_predictions(model, validation)).first()["rmse"]
-        trials.append((number, rank, float(reg), iters, error))
-        if error < best_error:
-            best, best_error = model, error
-    train.unpersist()
-    rows = spark.createDataFrame(trials, "trial int, rank int, reg double, iters int, rmse double")
-    return rows, best
-
-
-def user_scores(model: ALSModel, ratings: DataFrame, user: int) -> DataFrame:
+    train: DataFrame, validation: DataFrame, grid: Iterable[tuple[int, float, int]] = GRID, seed: int = 42, at_once: int = 4
+) -> tuple[DataFrame, Recommender]:
+    """One row per trial (trial, rank, reg, iters, rmse) and the model of the best trial, the first on ties.
+
+    The trials share one numbered table; `at_once` of them run at the same time.
+    """
+    coded, users, items = numbered(train)
+
+    def trial(setting):
+        rank, reg, iters = setting
+        fitted = Recommender(_fit(coded, rank, iters, reg, seed), users, items)
+        return fitted, evaluate.rmse_over(validation, pair_predictions(fitted, validation)).first()["rmse"]
+
+    grid = list(grid)
+    with ThreadPoolExecutor(at_once) as pool:
+        found = list(pool.map(trial, grid))
+    best = min(range(len(grid)), key=lambda k: found[k][1])
+    trials = [(k + 1, grid[k][0], float(grid[k][1]), grid[k][2], found[k][1]) for k in range(len(grid))]
+    rows = train.sparkSession.createDataFrame(trials, "trial int, rank int, reg double, iters int, rmse double")
+    return rows, found[best][0]
+
+
+def user_scores(model: Recommender, ratings: DataFrame, user: int) -> DataFrame:
     """Predicted score of every item the user has rated; repeated ratings stay repeated."""
     return predict(model, ratings.filter(F.col("user_id") == user))
 
 
-def top_unrated(model: ALSModel, items: DataFrame, ratings: DataFrame, user: int, n: int = 50) -> DataFrame:
+def top_unrated(model: Recommender, items: DataFrame, ratings: DataFrame, user: int, n: int = 50) -> DataFrame:
     """(rank, item_id, title, prediction): the best items the user has not rated yet."""
     rated = ratings.filter(F.col("user_id") == user)
-    candidates = relational.not_rated(items, rated, "item_id").withColumn("user_id", F.lit(user))
-    scored = model.transform(candidates).select("item_id", "title", F.col("prediction").cast("double").alias("prediction"))
-    return relational.top_rows(scored, [F.col("prediction").desc(), F.col("item_id")], n)
+    candidates = relational.not_rated(items, rated, "item_id").withColumn("user_id", F.lit(user).cast("bigint"))
+    found = scored(model, candidates.select("user_id", "item_id", "title")).drop("user_id")
+    return relational.top_rows(found, [F.col("prediction").desc(), F.col("item_id")], n)

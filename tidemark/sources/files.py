@@ -61,23 +61,32 @@ def read_labelled_vectors(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _with_empty(scanned: DataFrame) -> DataFrame:
+    """Every file of the scan's listing: Spark lists empty files but hands out no row for them."""
+    plain = lambda path: F.regexp_replace(path, "^([a-z]+:)/+", "$1/")  # noqa: E731  file:/x and file:///x are one
+    listed = scanned.sparkSession.createDataFrame([(p,) for p in scanned.inputFiles()], "path string")
+    found = scanned.withColumn("_found", plain("path")).drop("path")
+    return listed.join(found, plain("path") == F.col("_found"), "left").drop("_found")
+
+
 def read_whole_files(spark: SparkSession, path: str) -> DataFrame:
-    """(path, label, id, text): one row per file, labelled by the folder it lies in."""
+    """(path, label, id, text): one row per file, labelled by the folder it lies in; an empty file has empty text."""
     rows = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
-    location = F.col("_metadata.file_path")
-    return rows.select(
-        location.alias("path"), path_label(location).alias("label"), path_id(location).alias("id"),
-        F.col("value").alias("text"),
+    found = _with_empty(rows.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text")))
+    return found.select(
+        "path", path_label(F.col("path")).alias("label"), path_id(F.col("path")).alias("id"),
+        F.coalesce("text", F.lit("")).alias("text"),
     )
 
 
 def list_files(spark: SparkSession, path: str) -> DataFrame:
-    """(path, name, parent, length) of all files below a folder; their content is not read.
-
-    Files without content do not appear, as in every Spark file scan.
-    """
+    """(path, name, parent, length) of all files below a folder; their content is not read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return files.select("path", path_id(F.col("path")).alias("name"), path_label(F.col("path")).alias("parent"), "length")
+    found = _with_empty(files.select(F.col("_metadata.file_path").alias("path"), "length"))
+    return found.select(
+        "path", path_id(F.col("path")).alias("name"), path_label(F.col("path")).alias("parent"),
+        F.coalesce("length", F.lit(0)).alias("length"),
+    )
 
 
 def load_personal_ratings(spark: SparkSession, path: str) -> DataFrame:
@@ -126,16 +135,34 @@ def _checked(value: Column, name: str, allowed: list[str] | None) -> Column:
     return F.when(value.isNull() | value.isin(*allowed), value).otherwise(bad)
 
 
+def _header_lines(spark: SparkSession, path: str) -> list[str]:
+    """The lines up to and with `@data`, read from the start of the file until it is found."""
+    n = 64
+    while True:
+        lines = [r.value for r in spark.read.text(path).head(n)]
+        ends = [k for k, line in enumerate(lines) if line.strip().lower() == "@data"]
+        if ends or len(lines) < n:
+            return lines[: ends[0] + 1] if ends else lines
+        n *= 4
+
+
 def read_header_typed(spark: SparkSession, path: str, header: str | None = None) -> DataFrame:
     """Text table whose header declares numeric, nominal, string, date and relational attributes.
 
     The header is read on the driver and becomes the schema; the data lines are parsed
     where they lie. A relational cell holds lines of its own and becomes an array of structs.
+    With the header in a file of its own, every non-blank line of `path` is data. Otherwise the
+    lines above and with `@data` are the header, and a data line that begins with an unquoted `%`
+    is a comment, as the format has it.
     """
-    declared = _declared([r.value for r in spark.read.text(header or path).filter("value LIKE '@%'").collect()])
+    lines = _header_lines(spark, header or path)
+    declared = _declared([line for line in lines if line.lstrip().startswith("@")])
     options = {"quote": "'", "escape": "", "mode": "FAILFAST", "dateFormat": "yyyy-MM-dd"}
     columns = [f"{n} {'string' if nested else _attribute_type(d)[0]}" for n, d, nested in declared]
-    body = spark.read.text(path).filter((F.length(F.trim("value")) > 0) & ~F.col("value").rlike("^[@%]"))
+    body = spark.read.text(path).filter(F.length(F.trim("value")) > 0)
+    if header is None:  # header lines can only stand in the file's first block
+        above = (F.col("_metadata.file_block_start") == 0) & F.col("value").isin(lines)
+        body = body.filter(~above & ~F.col("value").startswith("%"))
     row = body.select(F.from_csv("value", ", ".join(columns), options).alias("r"))
 
     def cell(name, declaration, nested):
