@@ -32,7 +32,7 @@ def test_time_domain(recordings):
         assert rms[i] == pytest.approx(np.sqrt(np.mean(np.square(x))))
         assert crossings[i] == sum((a >= 0) != (b >= 0) for a, b in zip(x, x[1:]))
     low = values(recordings, signals.low_energy_share(F.col("samples"), 8))
-    assert low[2] == 0 and low[4] is None
+    assert low[2] == 0 and low[4] == 0  # one frame, filled up with zeros
 
 
 def test_spectra(recordings):
@@ -76,7 +76,7 @@ def test_across_frames(recordings):
     frames = np.abs(np.fft.rfft(np.array(ROWS[1]).reshape(4, 16)))
     flux = values(across.flux(spectra, "rec_id"), "flux")
     assert flux[1] == pytest.approx(np.square(np.diff(frames, axis=0)).sum(axis=1).mean())
-    assert 4 not in flux  # shorter than a frame
+    assert flux[4] is None  # one frame has no successor
     area = {r.rec_id: r for r in across.area_moments(spectra, "rec_id").collect()}[1]
     assert area.x_mean == pytest.approx((np.arange(4)[:, None] * frames).sum() / frames.sum())
     assert area.y_mean == pytest.approx((np.arange(9)[None, :] * frames).sum() / frames.sum())
@@ -93,3 +93,28 @@ def test_feature_rows(recordings):
     rows = {r.rec_id: r for r in across.feature_rows(recordings, ["a", "b"]).collect()}
     assert rows[1].label_index == 0 and rows[5].label_index is None
     assert rows[3].zero_crossings == 63
+
+
+def test_last_frame_is_filled_up(spark):
+    x = RNG.normal(size=40)
+    rows = spark.createDataFrame([(1, x.tolist()), (2, []), (3, None)], "rec_id bigint, samples array<double>")
+    found = across.frame_spectra(rows, "rec_id", "samples", 32).orderBy("rec_id", "frame").collect()
+    frames = np.abs(np.fft.rfft(np.append(x, np.zeros(24)).reshape(2, 32)))
+    assert [r.rec_id for r in found] == [1, 1, 2, 3]
+    assert np.allclose([r.mags for r in found[:2]], frames)
+    flux = values(across.flux(across.frame_spectra(rows, "rec_id", "samples", 32), "rec_id"), "flux")
+    assert flux[1] == pytest.approx(np.square(frames[1] - frames[0]).sum()) and flux[2] is None and flux[3] is None
+    area = {r.rec_id: r.area for r in across.area_moments(across.frame_spectra(rows, "rec_id", "samples", 32), "rec_id").collect()}
+    assert area[1] == pytest.approx(frames.sum()) and set(area) == {1, 2, 3}
+
+
+def test_banks_follow_length_and_rate(spark):
+    data = [(k, rate, RNG.normal(size=n).tolist()) for k, (n, rate) in enumerate([(64, 64.0), (40, 64.0), (64, 100.0), (40, 8000.0)])]
+    rows = spark.createDataFrame(data, "rec_id bigint, sample_rate double, samples array<double>")
+    spectra = rows.withColumn("mags", signals.magnitudes("samples"))
+    got = values(spectra, across.by_shape(spectra, "mags", "sample_rate", signals.mfcc))
+    for k, rate, x in data:
+        mags = np.abs(np.fft.rfft(x))
+        bank = np.array(signals.mel_bank(len(mags), rate, 13))
+        want = np.array(signals.cosine_rows(5, 13)) @ np.log(np.maximum(bank @ mags**2, 1e-12))
+        assert got[k] == pytest.approx(list(want))

@@ -9,7 +9,7 @@ from tidemark.functions import signals
 from tidemark.operators import signals as across
 from tidemark.sources.tables import recordings
 
-RATE, BINS, FRAME = 64.0, 33, 32
+FRAME = 32
 
 REC_SQL = "r AS (SELECT vec_id AS rec_id, CAST(label AS BIGINT) AS label, CAST(embedding AS DOUBLE[]) AS s FROM embeddings)"
 
@@ -24,10 +24,23 @@ def spectrum_sql(n: int, samples: str) -> str:
 
 
 MAGS_SQL = f"WITH {REC_SQL}, m AS (SELECT rec_id, {spectrum_sql(64, 's')} AS m FROM r)"
-FRAMES_SQL = f"""WITH {REC_SQL}, f AS (SELECT rec_id, f AS frame, s[f * 32 + 1:f * 32 + 32] AS s FROM r, (SELECT unnest([0, 1]) AS f)),
+FRAMES_SQL = f"""WITH r AS (SELECT vec_id AS rec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN embedding[1:20]
+  WHEN vec_id % 5 = 0 THEN embedding[1:40] ELSE embedding END AS DOUBLE[]) AS s FROM embeddings),
+f AS (SELECT rec_id, f AS frame, list_concat(s, list_transform(range(0, 64), lambda i: 0.0))[f * 32 + 1:f * 32 + 32] AS s
+  FROM r, (SELECT unnest([0, 1]) AS f) WHERE f * 32 < len(s)),
 m AS (SELECT rec_id, frame, {spectrum_sql(32, 's')} AS m FROM f)"""
 
 
+def cut_recordings(spark, folder):
+    """Some recordings cut to 40 samples, which fill their last frame in part, and some to 20, less than a frame."""
+    length = F.when(F.col("rec_id") % 7 == 0, 20).when(F.col("rec_id") % 5 == 0, 40).otherwise(F.size("samples"))
+    return recordings(spark, folder).withColumn("samples", F.slice("samples", F.lit(1), length))
+
+
+def shaped_spectra(spark, folder):
+    return recordings(spark, folder).select("rec_id", "sample_rate", signals.magnitudes("samples").alias("mags"))
+
+
 def spectra(spark, folder):
     return recordings(spark, folder).select("rec_id", signals.magnitudes("samples").alias("mags"))
 
@@ -78,10 +91,10 @@ feature(
     "sig_flux",
     FRAMES_SQL
     + """ SELECT a.rec_id, round(list_sum(list_transform(range(1, 18), lambda k: pow(b.m[k] - a.m[k], 2))), 6) AS flux
-    FROM m a JOIN m b ON a.rec_id = b.rec_id AND a.frame = 0 AND b.frame = 1""",
+    FROM m a LEFT JOIN m b ON a.rec_id = b.rec_id AND b.frame = 1 WHERE a.frame = 0""",
 )
 def sig_flux(spark, folder):
-    frames = across.frame_spectra(recordings(spark, folder), "rec_id", "samples", FRAME)
+    frames = across.frame_spectra(cut_recordings(spark, folder), "rec_id", "samples", FRAME)
     return across.flux(frames, "rec_id").withColumn("flux", F.round("flux", 6))
 
 
@@ -162,7 +175,8 @@ SELECT rec_id, {', '.join(f'round(max(v) FILTER (c = {i}), 5) AS mfcc{i}' for i
 
 @query("sig_mfcc", MEL_SQL)
 def sig_mfcc(spark, folder):
-    rows = spectra(spark, folder).select("rec_id", signals.mfcc(F.col("mags"), BINS, RATE).alias("c"))
+    found = shaped_spectra(spark, folder)
+    rows = found.select("rec_id", across.by_shape(found, "mags", "sample_rate", signals.mfcc).alias("c"))
     return rows.select("rec_id", *spread(F.col("c"), 5, "mfcc"))
 
 
@@ -175,7 +189,9 @@ def sig_mfcc(spark, folder):
     SELECT rec_id, {', '.join(f'round(max(v) FILTER (i = {i}), 5) AS q{i}' for i in range(12))} FROM v GROUP BY 1""",
 )
 def sig_constant_q(spark, folder):
-    rows = spectra(spark, folder).select("rec_id", signals.constant_q(F.col("mags"), BINS).alias("c"))
+    found = shaped_spectra(spark, folder)
+    bank = across.by_shape(found, "mags", "sample_rate", lambda mags, n_bins, rate: signals.constant_q(mags, n_bins))
+    rows = found.select("rec_id", bank.alias("c"))
     return rows.select("rec_id", *spread(F.col("c"), 12, "q"))
 
 
@@ -227,7 +243,7 @@ def sig_peaks(spark, folder):
       round(sum(x * y) / sum(m), 5) AS xy FROM t GROUP BY 1""",
 )
 def sig_area_moments(spark, folder):
-    frames = across.frame_spectra(recordings(spark, folder), "rec_id", "samples", FRAME)
+    frames = across.frame_spectra(cut_recordings(spark, folder), "rec_id", "samples", FRAME)
     rows = across.area_moments(frames, "rec_id")
     return rows.select("rec_id", *[F.round(c, 5).alias(c) for c in ("area", "x_mean", "y_mean", "xy")])
 

@@ -22,22 +22,39 @@ PEAK_SHARE = 0.1
 FLOOR = 1e-12
 
 
+def by_length(batch: pd.Series, one) -> pd.Series:
+    """`one` on stacks of equally long rows: a matrix in, a row of results per row out."""
+    out = pd.Series([np.array([])] * len(batch), index=batch.index, dtype=object)
+    lengths = batch.map(lambda x: -1 if x is None else len(x))
+    for length, rows in batch.groupby(lengths):
+        if length > 0:
+            out.loc[rows.index] = pd.Series(list(one(np.stack(rows.to_list()).astype(float))), index=rows.index)
+        elif length < 0:
+            out.loc[rows.index] = None
+    return out
+
+
 @F.pandas_udf(T.ArrayType(T.DoubleType()))
 def magnitudes(samples: pd.Series) -> pd.Series:
     """Magnitude spectrum of each row; rows may differ in length."""
-    return samples.map(lambda x: np.abs(np.fft.rfft(np.asarray(x, dtype=float))) if len(x) else np.array([]))
+    return by_length(samples, lambda rows: np.abs(np.fft.rfft(rows, axis=1)))
 
 
 def frames(samples, size: int) -> Column:
-    """array<array<double>>: consecutive full frames of `size` samples."""
-    count = F.floor(F.size(samples) / size).cast("int")
+    """array<array<double>>: consecutive frames of `size` samples; the last is filled up with zeros."""
+    count = F.ceil(F.size(samples) / size).cast("int")
     starts = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.slice(samples, i * size + 1, F.lit(size)))
+
+    def frame(i):
+        own = F.slice(samples, i * size + 1, F.lit(size))
+        return F.concat(own, F.array_repeat(F.lit(0.0), size - F.size(own)))
+
+    return F.transform(starts, frame)
 
 
 def framed(df: DataFrame, key: str, samples: str, size: int) -> DataFrame:
-    """(key, frame, samples): one row per frame."""
-    return df.select(key, F.posexplode(frames(F.col(samples), size)).alias("frame", samples))
+    """(key, frame, samples): one row per frame; a recording without samples has one row of nulls."""
+    return df.select(key, F.posexplode_outer(frames(F.col(samples), size)).alias("frame", samples))
 
 
 def powers(mags) -> Column:
@@ -202,7 +219,7 @@ def times(matrix: list[list[float]], vec) -> Column:
 
 
 def mfcc(mags, n_bins: int, rate: float, filters: int = 13, count: int = 5) -> Column:
-    """Cosine transform of the log mel energies."""
+    """Cosine transform of the log mel energies, for spectra of `n_bins` at one sample rate."""
     energies = times(mel_bank(n_bins, rate, filters), powers(mags))
     logs = F.transform(energies, lambda e: F.log(F.greatest(e, F.lit(FLOOR))))
     return times(cosine_rows(count, filters), logs)
@@ -216,16 +233,18 @@ def linear_prediction(samples, order: int) -> Column:
     """Coefficients that predict a sample from the `order` before it (autocorrelation method)."""
     lag = np.abs(np.subtract.outer(np.arange(order), np.arange(order)))
 
-    def one(x):
-        x = np.asarray(x, dtype=float)
-        if len(x) <= order or not x.any():
-            return np.zeros(order)
-        r = np.array([x[: len(x) - shift] @ x[shift:] for shift in range(order + 1)])
-        return np.linalg.lstsq(r[lag], r[1:], rcond=None)[0]
+    def stacked(rows):
+        n = rows.shape[1]
+        if n <= order:
+            return np.zeros((len(rows), order))
+        r = np.stack([np.einsum("ij,ij->i", rows[:, : n - shift], rows[:, shift:]) for shift in range(order + 1)], 1)
+        inverse = np.linalg.pinv(r[:, lag], rcond=np.finfo(float).eps * order)  # least squares where singular
+        return np.einsum("ijk,ik->ij", inverse, r[:, 1:])
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def solve(batch: pd.Series) -> pd.Series:
-        return batch.map(one)
+        found = by_length(batch, stacked)
+        return found.map(lambda x: np.zeros(order) if x is not None and not len(x) else x)
 
     return solve(samples)
 

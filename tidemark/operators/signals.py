@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import signals
+from tidemark.session import via_table
 
 
 def frame_spectra(recordings: DataFrame, key: str, samples: str, size: int) -> DataFrame:
@@ -19,15 +20,36 @@ def flux(spectra: DataFrame, key: str) -> DataFrame:
     """(key, flux): squared change of the spectrum from frame to frame, averaged over a recording.
 
     Each frame meets its successor through an equi-join on its number, so a long
-    recording is not gathered into one task.
+    recording is not gathered into one task; a recording of one frame has a null flux.
+    The spectra are written once, since both sides of the join read them.
     """
-    later = spectra.select(key, (F.col("frame") - 1).alias("frame"), F.col("mags").alias("_next"))
+    known = via_table(spectra, "spectra")
+    later = known.select(key, (F.col("frame") - 1).alias("frame"), F.col("mags").alias("_next"))
     change = F.zip_with("mags", "_next", lambda a, b: (b - a) * (b - a))
-    return spectra.join(later, [key, "frame"]).groupBy(key).agg(F.avg(signals.total(change)).alias("flux"))
+    met = known.join(later, [key, "frame"], "left")
+    return met.groupBy(key).agg(F.avg(F.when(F.col("_next").isNotNull(), signals.total(change))).alias("flux"))
+
+
+MAX_SHAPES = 256
+
+
+def by_shape(df: DataFrame, mags: str, rate: str, make) -> Column:
+    """An array made by `make(mags, n_bins, rate)` with constants fitting each row's length and sample rate.
+
+    Recordings come in few shapes; more than MAX_SHAPES of them are an error rather than a wrong constant.
+    """
+    shapes = df.select(F.size(mags).alias("n"), rate).distinct().limit(MAX_SHAPES + 1).collect()
+    if len(shapes) > MAX_SHAPES:
+        raise ValueError(f"more than {MAX_SHAPES} combinations of length and sample rate")
+    out = F.lit(None).cast("array<double>")
+    for n, hertz in sorted((r["n"], r[rate]) for r in shapes if r[rate] is not None and r["n"] > 1):
+        fits = (F.size(mags) == n) & (F.col(rate) == hertz)
+        out = F.when(fits, make(F.col(mags), n, hertz)).otherwise(out)
+    return out
 
 
 def area_moments(spectra: DataFrame, key: str) -> DataFrame:
-    """(key, area, x_mean, y_mean, xy): moments of the frame-by-bin magnitude picture."""
+    """(key, area, x_mean, y_mean, xy): moments of the frame-by-bin magnitude picture; null without samples."""
     bins = signals.bins(F.col("mags"))
     per_frame = spectra.select(
         key,
