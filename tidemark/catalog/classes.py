@@ -66,16 +66,26 @@ def cv_folds(spark, folder):
 
 @query("cv_report")
 def cv_report(spark, folder):
-    """Mean accuracy of 4-fold cross validation, Gaussian and discretised naive Bayes beside each other."""
+    """Rates per class over the pooled held-out folds, Gaussian and discretised naive Bayes beside each other."""
+    rows, classes = prepared(spark, folder)
+    dealt = via_table(stratified_folds(rows, "lang", "doc_id", 4), "folds")
+    pooled = classify.pooled_folds(
+        dealt, 4, {"gaussian": lambda train: classify.gaussian_bayes().fit(train), "discretized": classify.discretized_bayes}
+    )
+    reports = [
+        evaluate.class_report(pooled.filter(F.col("model") == m)).withColumn("model", F.lit(m))
+        for m in ("gaussian", "discretized")
+    ]
+    return reports[0].unionByName(reports[1]).withColumn("cls", scalar.category_name(F.col("cls"), classes))
+
+
+@query("cv_confusion")
+def cv_confusion(spark, folder):
+    """Pooled confusion counts of the 4-fold cross validation."""
     rows, _ = prepared(spark, folder)
     dealt = via_table(stratified_folds(rows, "lang", "doc_id", 4), "folds")
-    mean = classify.cross_validated(dealt, classify.gaussian_bayes()).avgMetrics[0]
-    report = []
-    for fold in range(4):
-        model = classify.discretized_bayes(dealt.filter(F.col("fold") != fold))
-        scored = model.transform(dealt.filter(F.col("fold") == fold))
-        report.append((fold, float(mean), float(evaluate.error_rate(scored).first()["accuracy"])))
-    return spark.createDataFrame(report, "fold int, gaussian_mean double, discretized double")
+    pooled = classify.pooled_folds(dealt, 4, {"gaussian": lambda train: classify.gaussian_bayes().fit(train)})
+    return evaluate.confusion_counts(pooled)
 
 
 @query("tree_classify")
@@ -88,19 +98,21 @@ def tree_classify(spark, folder):
 
 @query("rf_grid")
 def rf_grid(spark, folder):
+    """All trials with error and confusion counts; the best one's parameters are fitted again and tested."""
     rows, _ = prepared(spark, folder)
     train, test = parts(rows)
-    grid = [(t, "sqrt", i, d) for t in (4, 10) for i in ("gini", "entropy") for d in (3, 5)]
-    return classify.forest_grid(train, test, grid)[0]
+    trials, best = classify.forest_grid(train, test)
+    again = classify.forest(*best).fit(train).transform(test)
+    return trials.withColumn("best_error", F.lit(evaluate.error_rate(again).first()["error_rate"]))
 
 
 @query("rf_score")
 def rf_score(spark, folder):
-    """Language guessed for every document by a forest trained on the training split."""
+    """Language guessed for the held-out documents by a forest trained on the training split."""
     rows, classes = prepared(spark, folder)
-    model = classify.forest().fit(parts(rows)[0])
+    train, test = parts(rows)
     name = scalar.category_name(F.col("prediction"), classes)
-    return model.transform(rows).select("doc_id", "lang", name.alias("predicted_lang"))
+    return classify.forest().fit(train).transform(test).select("doc_id", "lang", name.alias("predicted_lang"))
 
 
 @query("rf_evaluate")
@@ -129,13 +141,20 @@ def model_roundtrip(spark, folder):
     return first.join(second, "doc_id").agg(F.count("*").alias("n_rows"), different.alias("n_different"))
 
 
+CODEBOOK = 400
+
+
 @query("image_forest")
 def image_forest(spark, folder):
-    """Images from descriptors to classes: codebook, word histograms, forest, score of every image."""
-    rows = via_table(descriptors(spark, folder), "descriptors")
-    codebook = [list(map(float, c)) for c in cluster.fit_kmeans(rows.select("vec"), 20).clusterCenters()]
-    counts = rows.groupBy("image_id", "label").agg(F.count("*").alias("n"))
-    labels = counts.groupBy("image_id").agg(F.min_by("label", F.struct(-F.col("n"), "label")).alias("label"))
+    """Images from descriptors to classes: codebook and forest from training images, score of the held-out ones."""
+    tagged = descriptors(spark, folder).withColumn(
+        "split", scalar.random_split_name(F.col("image_id"), {"train": 0.7, "test": 0.3})
+    )
+    rows = via_table(tagged, "descriptors")
+    fitted = cluster.fit_kmeans(rows.filter(F.col("split") == "train").select("vec"), CODEBOOK)
+    codebook = [list(map(float, c)) for c in fitted.clusterCenters()]
+    counts = rows.groupBy("image_id", "split", "label").agg(F.count("*").alias("n"))
+    labels = counts.groupBy("image_id", "split").agg(F.min_by("label", F.struct(-F.col("n"), "label")).alias("label"))
     images = cluster.features(cluster.histogram_vectors(rows, codebook).join(labels, "image_id"))
-    data = via_table(images.withColumn("label", F.col("label").cast("double")), "histograms")
-    return classify.forest().fit(data).transform(data).select("image_id", "label", "prediction")
+    train, test = parts(via_table(images.withColumn("label", F.col("label").cast("double")), "histograms"))
+    return classify.forest().fit(train).transform(test).select("image_id", "label", "prediction")

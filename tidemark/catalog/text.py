@@ -179,7 +179,7 @@ def nb_hashed(spark, folder):
     """Fixed-width classifier: accuracy per language on the held-out third of the folds."""
     docs = stratified_folds(documents(spark, folder, "lang"), "lang", "doc_id", 3)
     listed = docs.select("doc_id", "lang", "fold", text.letter_words(F.col("text")).alias("tokens"))
-    model = textmodel.hashed_classifier("lang", features=1 << 18).fit(listed.filter(F.col("fold") != 0))
+    model = textmodel.hashed_classifier("lang", features=1 << 20).fit(listed.filter(F.col("fold") != 0))
     scored = model.transform(listed.filter(F.col("fold") == 0))
     return scored.groupBy("lang").agg(
         F.count("*").alias("n"), F.avg((F.col("label") == F.col("prediction")).cast("int")).alias("accuracy")

@@ -141,10 +141,10 @@ def wssse(spark, folder):
 
 
 @query("kmeans_vocab")
-def kmeans_vocab(spark, folder):
-    """A codebook of 100 words, or 400 where there are enough descriptors."""
+def kmeans_vocab(spark, folder, k=400):
+    """A codebook of `k` words; fewer only where there are fewer distinct descriptors."""
     rows = via_table(descriptors(spark, folder).select("vec"), "descriptors")
-    return cluster.cluster_report(cluster.fit_kmeans(rows, 400 if rows.count() > 100_000 else 100, 20), rows)
+    return cluster.cluster_report(cluster.fit_kmeans(rows, k, 20), rows)
 
 
 def measures(spark, folder):
@@ -166,7 +166,7 @@ def bisecting_hierarchy(spark, folder):
 @query("gmm_features")
 def gmm_features(spark, folder):
     rows = measures(spark, folder)
-    return cluster.mixture_report(cluster.fit_mixture(rows, 10, iters=10), rows)
+    return cluster.mixture_report(cluster.fit_mixture(rows, 10, iters=100), rows)
 
 
 def flag_centers(spark, folder):
@@ -204,7 +204,7 @@ def kmedians(spark, folder):
     lines = table(spark, folder, "lineitem")
     keyed = lines.withColumn("k", F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
     rows = via_table(cluster.points(keyed, COLUMNS, "k"), "points")
-    centers = cluster.fit_kmedians(rows, "k", 4, iters=5)
+    centers = cluster.fit_kmedians(rows, "k", 4, iters=25)
     sizes = cluster.assigned(rows.select("vec"), centers, "l1").groupBy("word").agg(
         F.count("*").alias("size"), F.sum("dist").alias("cost")
     )

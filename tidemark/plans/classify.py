@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml.classification import DecisionTreeClassifier, NaiveBayes, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
@@ -14,7 +16,6 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.vectors import bound, total
 from tidemark.operators import evaluate
-from tidemark.operators.relational import best_trial
 
 # The forest grid of the image classifier (224 fits).
 FOREST_GRID = [
@@ -63,29 +64,49 @@ def forest(trees: int = 10, subset: str = "auto", impurity: str = "gini", depth:
 
 
 def forest_grid(
-    train: DataFrame, test: DataFrame, grid: Iterable[tuple[int, str, str, int]] = FOREST_GRID, seed: int = 1
+    train: DataFrame,
+    test: DataFrame,
+    grid: Iterable[tuple[int, str, str, int]] = FOREST_GRID,
+    seed: int = 1,
+    at_once: int = 8,
 ) -> tuple[DataFrame, tuple[int, str, str, int]]:
-    """One row per trial with its test error, and the parameters of the best trial, the first on ties."""
+    """One row per trial with its test error and confusion counts, and the parameters of the best, the first on ties.
+
+    Both tables are persisted once; `at_once` trials run at the same time.
+    """
     spark = train.sparkSession
     train, test = train.persist(), test.persist()
-    grid, rows = list(grid), []
-    for number, (trees, subset, impurity, depth) in enumerate(grid, 1):
-        scored = forest(trees, subset, impurity, depth, seed).fit(train).transform(test)
-        rows.append((number, trees, subset, impurity, depth, evaluate.error_rate(scored).first()["error_rate"]))
+    grid = list(grid)
+
+    def trial(setting):
+        scored = forest(*setting, seed).fit(train).transform(test)
+        cells = evaluate.confusion_counts(scored).orderBy("label", "prediction").collect()  # classes x classes rows
+        wrong = sum(c["n"] for c in cells if c["label"] != c["prediction"])
+        return wrong / max(1, sum(c["n"] for c in cells)), [tuple(c) for c in cells]
+
+    with ThreadPoolExecutor(at_once) as pool:
+        found = list(pool.map(trial, grid))
     train.unpersist()
     test.unpersist()
-    schema = "trial int, trees int, subset string, impurity string, depth int, error double"
-    trials = spark.createDataFrame(rows, schema)
-    return trials, grid[best_trial(trials, "error", "trial").first()["trial"] - 1]
+    rows = [(number, *setting, *result) for number, (setting, result) in enumerate(zip(grid, found, strict=True), 1)]
+    schema = (
+        "trial int, trees int, subset string, impurity string, depth int, error double, "
+        "confusion array<struct<label: double, prediction: double, n: bigint>>"
+    )
+    best = min(range(len(grid)), key=lambda k: found[k][0])
+    return spark.createDataFrame(rows, schema), grid[best]
 
 
 def gaussian_parameters(df: DataFrame, label: str, vec: str = "vec") -> DataFrame:
     """(label, i, mean, variance): what Gaussian naive Bayes learns, as one grouped aggregate."""
-    return (
-        df.select(label, F.posexplode(vec).alias("i", "x"))
-        .groupBy(label, "i")
-        .agg(F.avg("x").alias("mean"), F.var_pop("x").alias("variance"))
-    )
+    width = df.agg(F.max(F.size(vec))).first()[0] or 0
+    cells = [
+        F.struct(F.lit(i).alias("i"), F.avg(F.get(vec, i)).alias("mean"), F.var_pop(F.get(vec, i)).alias("variance"))
+        for i in range(width)
+    ]
+    if not cells:
+        return df.select(label, F.lit(0).alias("i"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("variance")).limit(0)
+    return df.groupBy(label).agg(F.array(*cells).alias("_c")).select(label, F.inline("_c"))
 
 
 def gaussian_bayes() -> NaiveBayes:
@@ -143,6 +164,21 @@ def discretized_tree(train: DataFrame, bins: int = 5, depth: int = 5) -> Discret
     return out
 
 
+def pooled_folds(df: DataFrame, folds: int, learners: dict, fold: str = "fold") -> DataFrame:
+    """(model, label, prediction) of every row, scored by the model that did not see its fold.
+
+    A row without a label or fold is scored by nothing and left out.
+    """
+    usable = df.dropna(subset=["label", fold])
+    scored = []
+    for name, fit in learners.items():
+        for k in range(folds):
+            model = fit(usable.filter(F.col(fold) != k))
+            held = model.transform(usable.filter(F.col(fold) == k))
+            scored.append(held.select(F.lit(name).alias("model"), "label", "prediction"))
+    return reduce(DataFrame.unionAll, scored)
+
+
 def cross_validated(df: DataFrame, estimator, folds: int = 4, fold: str = "fold"):
     """Cross validation over folds the caller has dealt (column `fold`)."""
     judge = MulticlassClassificationEvaluator(metricName="accuracy")
