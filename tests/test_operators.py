@@ -156,12 +156,11 @@ def frame(spark, points):
 
 
 @pytest.mark.parametrize("k, exclude", [(1, True), (4, True), (3, False)])
-def test_knn_join_is_exact(spark, monkeypatch, k, exclude):
-    monkeypatch.setattr(neighbors, "BLOCK_ROWS", 16)
-    monkeypatch.setattr(neighbors, "PIVOTS", 5)
+def test_knn_join_is_exact(spark, k, exclude):
     points = cloud(150, 3, 7, twins=50)  # a third of the points coincide
     rows = frame(spark, points)
-    got = {(r.query, r["rank"]): (r.neighbor, r.dist) for r in neighbors.knn_join(rows, rows, k, exclude).collect()}
+    found = neighbors.knn_join(rows, rows, k, exclude, n_centers=6, block_rows=16)  # several blocks a cell
+    got = {(r.query, r["rank"]): (r.neighbor, r.dist) for r in found.collect()}
     assert len(got) == k * len(points)
     for q, p in enumerate(points):
         dist = np.sqrt(((points - p) ** 2).sum(axis=1))
@@ -175,23 +174,48 @@ def test_knn_with_fewer_rows_than_k(spark):
     assert neighbors.knn_join(rows, rows, 5, True).count() == 6
 
 
+def test_blocks_hold_few_rows_and_equal_vectors_few_copies(spark):
+    points = cloud(200, 3, 5, twins=120)
+    _, cells, blocks = neighbors.prepared(frame(spark, points), 2, 4, 16)
+    assert cells.count() == 80 + 3
+    assert max(len(r.ids) for r in blocks.collect()) < 40 and blocks.count() > 4
+
+
+def clustered(n, seed):
+    rng = np.random.default_rng(seed)
+    middles = rng.normal(size=(40, 6)) * 100
+    return middles[rng.integers(0, 40, size=n)] + rng.normal(size=(n, 6))
+
+
+def test_few_cells_are_visited_on_clustered_points(spark, monkeypatch):
+    sent = []
+    real = neighbors.met
+    monkeypatch.setattr(neighbors, "met", lambda s, *a: sent.append(s.count()) or real(s, *a))
+    for n in (400, 1600):
+        rows = frame(spark, clustered(n, 3))
+        assert neighbors.knn_join(rows, rows, 1, True, n_centers=60).count() == n
+        assert sum(sent) <= n * 60 / 3  # of all query-cell pairs
+        sent.clear()
+        assert neighbors.knn_approx(rows, rows, 1, 4, True, n_centers=60).count() == n
+        assert sent == [4 * n]  # as many cells per query at any size
+        sent.clear()
+
+
 def test_knn_approx_recall(spark):
     rows = frame(spark, cloud(400, 4, 3))
     exact = {r.query: r.neighbor for r in neighbors.knn_join(rows, rows, 1, True).collect()}
-    found = {r.query: r.neighbor for r in neighbors.knn_approx(rows, rows, 1, 4, True).collect()}
+    found = {r.query: r.neighbor for r in neighbors.knn_approx(rows, rows, 1, 8, True).collect()}
     assert sum(exact[q] == found.get(q) for q in exact) / len(exact) >= 0.9
 
 
-def test_distance_profile(spark, monkeypatch):
-    monkeypatch.setattr(neighbors, "BLOCK_ROWS", 16)
+def test_distance_profile(spark):
     points = cloud(70, 2, 9)
-    got = {r.id: r for r in neighbors.distance_profile(frame(spark, points)).collect()}
+    got = {r.id: r for r in neighbors.distance_profile(frame(spark, points), block_rows=16).collect()}
     assert len(got) == 70
     for q, p in enumerate(points):
         dist = np.delete(np.sqrt(((points - p) ** 2).sum(axis=1)), q)
         assert got[q].nearest_dist == pytest.approx(dist.min())
-        assert got[q].farthest_dist == pytest.approx(dist.max())
-        assert got[q].mean_dist == pytest.approx(dist.mean())
+        assert got[q].mean_square == pytest.approx((dist**2).mean())
 
 
 # --- evaluation -----------------------------------------------------------------------
