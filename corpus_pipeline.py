@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, decontam, langid, neardup, quality
-from tidemark.llm.common import is_training, table, without_ids
+from tidemark.llm.common import bounded_batches, is_training, table, without_ids
 from tidemark.session import shared_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -23,29 +23,34 @@ ORACLE_SQL = None
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the repetition limits."""
+    bounded_batches(spark)
     return quality.quality(docs, extra=KINDS).where("kept").select(*COLUMNS)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language the network has learned, found with a fair score."""
+    bounded_batches(spark)
     found = langid.languages(docs, is_training("doc_id", 5, 0), extra=KINDS)
     return found.where(F.col("score") >= LEAST_SCORE).select(*COLUMNS)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least id of every near-duplicate class; a repeated row stays once."""
+    bounded_batches(spark)
     others = neardup.near_duplicates(docs).where("doc_id <> class_id").select("doc_id")
     return without_ids(docs.select(*COLUMNS), others, once=True)
 
 
 def without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no benchmark item leaks into."""
+    bounded_batches(spark)
     found = decontam.leaks(docs, table(spark, sf_dir, "benchmark"))
     return without_ids(docs.select(*COLUMNS), found.select("doc_id"))
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of every document left, with the digests that prove the round trip."""
+    bounded_batches(spark)
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return bpe.bpe(docs, ranks, public_tokenizers.PATTERN, keep_ids=True)
 
