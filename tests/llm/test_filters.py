@@ -121,6 +121,8 @@ def test_matches_are_whole_words_outside_exceptions():
     weigh = lambda text: sum(w for _, _, w in matcher.hits(toxicity.fold(text)))
     assert weigh("you CL0WN, trash!") == 3 and weigh("a clown fish") == 0 and weigh("clownish trashy") == 0
     assert toxicity.Matcher({}, ()).hits("x") == []
+    stems = toxicity.Matcher({"grobn*": 1.0, "grobnik": 3.0, "robn*": 5.0}, ())
+    assert [h[2] for h in stems.hits("grobnel grobnik robn ungrobn")] == [1.0, 3.0, 5.0]
 
 
 def test_toxicity_is_learned_from_training_labels_only(spark):

@@ -2,12 +2,13 @@
 
 Folding maps look-alike letters of other scripts, accents, and digits or signs that stand for letters
 to one plain letter each (i, l, 1 and ! are one class), on the lexicon and on the text alike. Lexicon
-weights are careful log odds (less three standard errors) from labelled rows, kept where they are
-clearly positive. A
-match counts where it is a whole word and not part of an exception phrase. Two figures per text, the
+terms are words and word beginnings, weighted by careful log odds (less three standard errors) from
+labelled rows and kept if at least half as strong as the strongest. A match counts where it is a whole
+word, or the beginning of one, and not part of an exception phrase; a word counts once, by its strongest
+term. Two figures per text, the
 total weight and the weight per hundred words, go through a fitted logistic curve.
 
-What is learned from is bounded: `per_class` labelled rows of each class, drawn by hash; lexicon
+What is learned from is bounded: about `per_class` labelled rows of each class, drawn by hash; lexicon
 terms number at most `max_terms`. Scoring covers whole texts.
 
 Defined cases: null or empty text has no matches and gets the curve's value for that; several labels
@@ -32,7 +33,8 @@ PER_CLASS = 10_000
 MAX_TERMS = 2_000
 MIN_TOXIC = 3  # toxic texts that must hold a term
 SURE = 3.0  # standard errors taken off a term's log odds, since very many terms are tried
-MIN_WEIGHT = 0.5
+LEAST_WEIGHT, LEAST_SHARE = 0.5, 0.5  # of a term, and against the strongest one
+STEMS = (5, 6)  # letters of word beginnings that are terms, written with a star
 
 #: Harmless phrases that hold a word which is an insult elsewhere.
 EXCEPTIONS = (
@@ -82,27 +84,37 @@ class Matcher:
     def __init__(self, weights: dict[str, float], exceptions=EXCEPTIONS):
         import ahocorasick
 
-        self.automaton = ahocorasick.Automaton()
+        found: dict[str, list] = {}
         for term, weight in weights.items():
-            self.automaton.add_word(term, (len(term), weight))
+            found.setdefault(term.rstrip("*"), []).append((weight, term.endswith("*")))
         for phrase in {fold(e) for e in exceptions}:
-            self.automaton.add_word(phrase, (len(phrase), None))
-        self.empty = not len(self.automaton)
+            found.setdefault(phrase, []).append((None, False))
+        self.automaton = ahocorasick.Automaton()
+        for text, kinds in found.items():
+            self.automaton.add_word(text, (len(text), kinds))
+        self.empty = not found
         if not self.empty:
             self.automaton.make_automaton()
 
     def hits(self, folded: str) -> list[tuple[int, int, float]]:
-        """(start, end, weight) of whole-word lexicon matches outside exception phrases."""
+        """(start, end, weight) of the strongest match at each word outside exception phrases."""
         if self.empty:
             return []
-        found, spared, n = [], [], len(folded)
-        for last, (size, weight) in self.automaton.iter(folded):
+        best, spared, n = {}, [], len(folded)
+        for last, (size, kinds) in self.automaton.iter(folded):
             start, end = last - size + 1, last + 1
-            if (start and folded[start - 1].isalnum()) or (end < n and folded[end].isalnum()):
+            if start and folded[start - 1].isalnum():
                 continue
-            (spared if weight is None else found).append((start, end, weight))
+            whole = end == n or not folded[end].isalnum()
+            for weight, stem in kinds:
+                if weight is None:
+                    if whole:
+                        spared.append((start, end))
+                elif (whole or stem) and weight > best.get(start, (0, 0.0))[1]:
+                    best[start] = (end, weight)
+        found = [(start, end, weight) for start, (end, weight) in best.items()]
         if spared:
-            found = [h for h in found if not any(s <= h[0] and h[1] <= e for s, e, _ in spared)]
+            found = [h for h in found if not any(s <= h[0] and h[1] <= e for s, e in spared)]
         return found
 
     def features(self, text: str | None) -> tuple[float, float]:
@@ -114,16 +126,19 @@ class Matcher:
 
 
 def sampled(docs: DataFrame, labels: DataFrame, training, per_class: int) -> DataFrame:
-    """Labelled training rows: at most `per_class` ids of each class, so their list is broadcast."""
+    """Labelled training rows: about `per_class` ids of each class, drawn by hash, so their list is broadcast."""
     known = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), "toxic")
         .where(F.col("toxic").isin(0, 1) & training)
         .groupBy("doc_id")
         .agg(F.max("toxic").cast("int").alias("toxic"))
     )
-    drawn = [known.where(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for c in (0, 1)]
+    sizes = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}  # two rows
+    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
+    share = F.when(F.col("toxic") == 1, per_class / sizes.get(1, 1)).otherwise(per_class / sizes.get(0, 1))
+    drawn = known.where(draw < share).limit(4 * per_class)  # far above what the draw gives: a proven bound
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return chosen.join(F.broadcast(drawn[0].unionAll(drawn[1])), "doc_id")
+    return chosen.join(F.broadcast(drawn), "doc_id")
 
 
 def term_counts(rows: DataFrame) -> DataFrame:
@@ -133,8 +148,9 @@ def term_counts(rows: DataFrame) -> DataFrame:
         for batch, texts in text_slices(batches):
             counts: dict[str, list[int]] = {}
             for text, toxic in zip(texts, batch.column("toxic").to_pylist(), strict=True):
-                for word in set(WORD.findall(fold(text or ""))):
-                    counts.setdefault(word, [0, 0])[toxic] += 1
+                words = set(WORD.findall(fold(text or "")))
+                for term in words.union(w[:k] + "*" for w in words for k in STEMS if len(w) > k):
+                    counts.setdefault(term, [0, 0])[toxic] += 1
             yield pa.RecordBatch.from_pydict(
                 {
                     "term": pa.array(counts, pa.string()),
@@ -148,7 +164,7 @@ def term_counts(rows: DataFrame) -> DataFrame:
 
 
 def lexicon(rows: DataFrame, max_terms: int = MAX_TERMS) -> dict[str, float]:
-    """Term to weight; the strongest `max_terms`."""
+    """Term to weight, of at most `max_terms` terms."""
     sizes = rows.agg(F.sum(F.lit(1) - F.col("toxic")).alias("clean"), F.sum("toxic").alias("toxic")).first()
     if not sizes["clean"] or not sizes["toxic"]:
         return {}
@@ -161,11 +177,12 @@ def lexicon(rows: DataFrame, max_terms: int = MAX_TERMS) -> dict[str, float]:
     chosen = (
         term_counts(rows)
         .withColumn("weight", weight)
-        .where((F.col("toxic") >= MIN_TOXIC) & (F.col("weight") >= MIN_WEIGHT) & (F.length("term") > 2))
-        .orderBy(F.desc(F.col("weight") * F.log1p("toxic")), "term")
+        .where((F.col("toxic") >= MIN_TOXIC) & (F.col("weight") >= LEAST_WEIGHT) & (F.length("term") > 2))
+        .orderBy(F.desc("weight"), "term")
         .limit(max_terms)
+        .collect()
     )
-    return {r["term"]: r["weight"] for r in chosen.collect()}
+    return {r["term"]: r["weight"] for r in chosen if r["weight"] >= LEAST_SHARE * chosen[0]["weight"]}
 
 
 def measured(rows: DataFrame, weights: dict[str, float], exceptions) -> DataFrame:
