@@ -141,6 +141,15 @@ def test_links_from_lists(spark):
     assert got == {("a", "b", "c"), ("a", "c", "b"), ("b", "c", "a")}
 
 
+def test_paths_of_one_user_are_dealt_to_many_keys(spark, monkeypatch):
+    monkeypatch.setattr(graph, "PATHS", 40)
+    # Thirty users know each other; each also has many friends of their own, so all point among themselves.
+    links = [(a, b) for a, b in combinations(range(30), 2)] + [(a, 1000 + 50 * a + k) for a in range(30) for k in range(5)]
+    df = spark.createDataFrame(links, "a bigint, b bigint")
+    got = {(r.x, r.y, r.z) for r in graph.triangles(graph.friend_pairs(df)).collect()}
+    assert len(got) == 30 * 29 * 28 // 6 and {tuple(sorted(t)) for t in got} == set(combinations(range(30), 3))
+
+
 # --- neighbors ------------------------------------------------------------------------
 
 

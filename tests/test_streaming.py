@@ -89,3 +89,10 @@ def test_replayed_batch_replaces_its_own_rows(spark, tmp_path):
 def test_keyword_filter(spark):
     df = spark.createDataFrame([("Red Shirt",), ("blue",), (None,)], "text string")
     assert df.filter(text.contains_any(F.col("text"), ["shirt", "green"])).count() == 1
+
+
+def test_a_query_with_an_interval_is_stopped_after_its_time(spark):
+    seen = []
+    stream = spark.readStream.format("rate").option("rowsPerSecond", 5).load()
+    query = sinks.run_batches(stream, lambda batch, n: seen.append(n), "timed", interval="1 second", timeout=6)
+    assert seen and not query.isActive

@@ -4,10 +4,7 @@ import importlib
 
 from tidemark.catalog.registry import QUERIES, SQL
 
-MODULES = "relational streams text ratings vectors classes signals files".split()
-import os as _os
-for _name in MODULES:
-    if _os.path.exists(_os.path.join(_os.path.dirname(__file__), _name + ".py")):
-        importlib.import_module(f"tidemark.catalog.{_name}")
+for _name in "relational streams text ratings vectors classes signals files".split():
+    importlib.import_module(f"tidemark.catalog.{_name}")
 
 __all__ = ["QUERIES", "SQL"]

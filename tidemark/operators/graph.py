@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.skew import hot_among, salted_join
+from tidemark.session import via_table
+
+PATHS = 1_000_000  # two-step paths of one user that one sub-key makes at most, about
 
 
 def friend_pairs(links: DataFrame) -> DataFrame:
@@ -40,16 +43,28 @@ def triangles(pairs: DataFrame) -> DataFrame:
         F.when(upward, F.col("u1")).otherwise(F.col("u2")).alias("low"),
         F.when(upward, F.col("u2")).otherwise(F.col("u1")).alias("high"),
     )
-    one = directed.select(F.col("low").alias("x"), F.col("high").alias("y"))
-    two = directed.select(F.col("low").alias("x"), F.col("high").alias("z"))
-    paths = one.join(two, "x").filter(F.col("y") < F.col("z"))
+    edges = via_table(directed.where("low IS NOT NULL"), "edges")  # read twice by the paths, once for the degrees
+    # A user who points to d others makes d * d paths: these are dealt over d * d / PATHS sub-keys.
+    out = edges.groupBy("low").agg(F.count("*").alias("d"))
+    deals = out.select("low", F.ceil(F.col("d") * F.col("d") / PATHS).cast("int").alias("deals"))
+    spread = edges.join(deals, "low")
+    one = spread.select(
+        F.col("low").alias("x"), F.col("high").alias("y"), F.pmod(F.xxhash64("high"), F.col("deals")).cast("int").alias("deal")
+    )
+    every = F.explode(F.sequence(F.lit(0), F.col("deals") - 1))
+    two = spread.select(F.col("low").alias("x"), F.col("high").alias("z"), every.alias("deal"))
+    paths = one.join(two, ["x", "deal"]).filter(F.col("y") < F.col("z"))
     closing = pairs.select(F.col("u1").alias("y"), F.col("u2").alias("z"))
     return paths.join(closing, ["y", "z"], "left_semi").select("x", "y", "z")
 
 
 def mutual_friends(links: DataFrame) -> DataFrame:
     """(u1, u2, friend): one row per pair of friends and friend they share."""
-    found = triangles(friend_pairs(links))
+    return shared_friends(friend_pairs(links))
+
+
+def shared_friends(pairs: DataFrame) -> DataFrame:
+    found = triangles(pairs)
 
     def row(a, b, c):
         return F.struct(F.least(a, b).alias("u1"), F.greatest(a, b).alias("u2"), F.col(c).alias("friend"))
@@ -61,10 +76,11 @@ def mutual_friends(links: DataFrame) -> DataFrame:
 
 def mutual_friend_counts(links: DataFrame) -> DataFrame:
     """Every pair of friends with the number, the smallest, the largest and the sum of shared friends."""
-    shared = mutual_friends(links).groupBy("u1", "u2").agg(
+    pairs = via_table(friend_pairs(links), "friend-pairs")
+    shared = shared_friends(pairs).groupBy("u1", "u2").agg(
         F.count("*").alias("n_mutual"),
         F.min("friend").alias("first_friend"),
         F.max("friend").alias("last_friend"),
         F.sum("friend").alias("friend_sum"),
     )
-    return friend_pairs(links).join(shared, ["u1", "u2"], "left").na.fill(0, ["n_mutual", "friend_sum"])
+    return pairs.join(shared, ["u1", "u2"], "left").na.fill(0, ["n_mutual", "friend_sum"])

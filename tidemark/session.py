@@ -54,15 +54,6 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_root(spark), f"{name}-{uuid.uuid4().hex}")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder: cuts lineage and survives executor loss."""
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_root(spark))
-    return df.checkpoint(eager=True)
-
-
 def via_table(df: DataFrame, name: str) -> DataFrame:
     """Write `df` once as a parquet table in the shared folder and read it back."""
     path = shared_path(df.sparkSession, name)

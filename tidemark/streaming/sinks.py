@@ -20,13 +20,21 @@ def run_batches(
     checkpoint: str | None = None,
     timeout: int | None = None,
 ):
-    """Feed `write(batch, batch_id)`; without an interval all available data is taken, then the query ends."""
+    """Feed `write(batch, batch_id)`; without an interval all available data is taken, then the query ends.
+
+    With an interval the query runs for `timeout` seconds and is then stopped; without a timeout
+    it is returned running, for the caller to stop.
+    """
     writer = stream.writeStream.outputMode(mode).option(
         "checkpointLocation", checkpoint or shared_path(stream.sparkSession, f"{name}-progress")
     )
     writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
     query = writer.foreachBatch(write).start()
-    query.awaitTermination(timeout) if timeout else query.awaitTermination()
+    if timeout is not None:
+        if not query.awaitTermination(timeout):
+            query.stop()
+    elif not interval:
+        query.awaitTermination()
     return query
 
 
