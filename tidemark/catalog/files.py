@@ -6,8 +6,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tidemark.catalog.registry import query
+from tidemark.catalog.text import NB_SQL
 from tidemark.functions import vectors
-from tidemark.session import shared_path
+from tidemark.plans import textmodel
+from tidemark.session import shared_path, via_table
 from tidemark.sources import files
 from tidemark.sources.tables import RATINGS_SQL, descriptors, ratings, table
 
@@ -117,6 +119,22 @@ def scan_whole_files(spark, folder):
     )
 
 
+@query(
+    "scanned_nb_theta",
+    NB_SQL + " SELECT lang, token, n, round(ln((n + 1.0) / (total + v)), 6) AS theta FROM c JOIN t USING (lang), v",
+)
+def scanned_nb_theta(spark, folder):
+    """Naive Bayes weights learned from scanned files, labelled by the folder they lie in."""
+    rows = files.read_whole_files(spark, documents_by_folder(spark, folder))
+    parts = rows.select("path", "label", F.posexplode(F.split("text", RECORD_END)).alias("at", "text"))
+    docs = parts.select(
+        F.xxhash64("path", "at").alias("doc_id"), F.regexp_replace("label", "^lang=", "").alias("lang"), "text"
+    )
+    terms = textmodel.term_frequency(docs, keep=("lang",))
+    theta = textmodel.nb_theta(via_table(textmodel.nb_counts(terms, "lang"), "token-counts"), "lang")
+    return theta.select("lang", "token", "n", F.round("theta", 6).alias("theta"))
+
+
 @query(
     "list_files",
     """SELECT 'lang=' || lang AS parent, CAST(sum(octet_length(encode(text)) + 1) AS BIGINT) AS n_bytes

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from tidemark.catalog.registry import query
 from tidemark.functions import signals
+from tidemark.operators import evaluate
 from tidemark.operators import signals as across
+from tidemark.operators.relational import stratified_folds
+from tidemark.plans import classify
+from tidemark.session import via_table
 from tidemark.sources.tables import recordings
 
 FRAME = 32
@@ -259,3 +264,28 @@ def sig_feature_rows(spark, folder):
     """Label 9 stands for a recording of unknown class."""
     rows = across.feature_rows(recordings(spark, folder), list(range(9)))
     return rows.withColumn("lpc1", F.round("lpc1", 5))
+
+
+def labelled_recordings(spark, folder):
+    """Two features per recording, bound for a classifier; label 9 stands for an unknown class."""
+    rows = via_table(across.feature_rows(recordings(spark, folder), list(range(9))), "feature-rows")
+    vec = F.array(F.col("zero_crossings").cast("double"), "lpc1")
+    return rows.select("rec_id", F.col("label_index").cast("double").alias("label"), array_to_vector(vec).alias("features"))
+
+
+@query("audio_report")
+def audio_report(spark, folder):
+    """Rates per class of the recordings, pooled over four folds, each scored by a model that did not see it."""
+    known = labelled_recordings(spark, folder).dropna(subset=["label"])
+    dealt = via_table(stratified_folds(known, "label", "rec_id", 4), "folds")
+    pooled = classify.pooled_folds(dealt, 4, {"gaussian": lambda train: classify.gaussian_bayes().fit(train)})
+    return evaluate.class_report(pooled)
+
+
+@query("audio_unseen", "SELECT vec_id AS rec_id, true AS answered FROM embeddings WHERE label = 9")
+def audio_unseen(spark, folder):
+    """Every recording of unknown class gets one of the known classes."""
+    rows = labelled_recordings(spark, folder)
+    model = classify.gaussian_bayes().fit(rows.dropna(subset=["label"]))
+    scored = model.transform(rows.filter(F.col("label").isNull()).select("rec_id", "features"))
+    return scored.select("rec_id", F.col("prediction").between(0, 8).alias("answered"))
