@@ -35,6 +35,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def compact(df: DataFrame, rows: int, per_file: int = 200_000, waves: int = 1) -> DataFrame:
+    """Fewer partitions before a table of about `rows` rows is written, so that it is few files.
+
+    At least `waves` tasks per core stay.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.coalesce(max(waves * cores, -(-rows // per_file)))
+
+
 def id_remainder(column: str | Column, divisor: int) -> Column:
     """crc32 of the id's decimal text modulo `divisor`; null for a null id."""
     column = F.col(column) if isinstance(column, str) else column

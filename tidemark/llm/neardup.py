@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import U64, bitmap, in_bitmap, mix, text_slices, window_codes, word_codes
+from tidemark.llm.common import U64, bitmap, compact, in_bitmap, mix, text_slices, window_codes, word_codes
 from tidemark.session import via_table
 
 WORDS = 5
@@ -175,13 +175,13 @@ def components(links: DataFrame) -> DataFrame:
     Every round takes the least label among neighbours, then the label of that label; a round's
     result is a table in the shared folder, and the loop ends when no label changes.
     """
-    both = via_table(
-        links.select(F.col("a").alias("node"), F.col("b").alias("other")).unionAll(
-            links.select(F.col("b").alias("node"), F.col("a").alias("other"))
-        ).distinct(),
-        "links",
+    rows = links.count()
+    both = links.select(F.col("a").alias("node"), F.col("b").alias("other")).unionAll(
+        links.select(F.col("b").alias("node"), F.col("a").alias("other"))
     )
-    labels = via_table(both.groupBy("node").agg(F.least(F.min("other"), F.first("node")).alias("label")), "labels")
+    both = via_table(compact(both.distinct(), rows), "links")
+    first = both.groupBy("node").agg(F.least(F.min("other"), F.first("node")).alias("label"))
+    labels = via_table(compact(first, rows), "labels")
     while True:
         near = (
             both.join(labels.select(F.col("node").alias("other"), "label"), "other")
@@ -189,12 +189,10 @@ def components(links: DataFrame) -> DataFrame:
         )
         lower = labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
         jump = labels.select(F.col("node").alias("label"), F.col("label").alias("further"))
-        stepped = via_table(
-            lower.join(jump, "label", "left").select(
-                "node", "old", F.least("label", F.coalesce("further", "label")).alias("label")
-            ),
-            "labels",
+        moved = lower.join(jump, "label", "left").select(
+            "node", "old", F.least("label", F.coalesce("further", "label")).alias("label")
         )
+        stepped = via_table(compact(moved, rows), "labels")
         labels = stepped.select("node", "label")
         if stepped.where("old <> label").isEmpty():
             return labels
@@ -206,14 +204,13 @@ def near_duplicates(
     """(doc_id, class_id) of every row: the least id among the documents it is linked with."""
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     named = chosen.where(F.col("doc_id").isNotNull())
-    signed = via_table(signature_rows(named, bands, rows), "signatures")
+    n_docs = named.count()
+    signed = via_table(compact(signature_rows(named, bands, rows), n_docs, 50_000, waves=4), "signatures")
     # Equal texts have equal keys and sketches, so any of them will do.
-    reps = via_table(
-        signed.groupBy("digest").agg(
-            F.min("doc_id").alias("rep"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch")
-        ),
-        "representatives",
+    reps = signed.groupBy("digest").agg(
+        F.min("doc_id").alias("rep"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch")
     )
+    reps = via_table(compact(reps, n_docs, 50_000, waves=2), "representatives")
     dealt = reps.select("rep", F.explode("keys").alias("key"))
     ends = dealt.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high")
     met = dealt.join(ends, "key")
@@ -224,17 +221,16 @@ def near_duplicates(
         .distinct()
     )
     sketches = reps.groupBy("rep").agg(F.first("sketch").alias("sketch"))
-    close = via_table(
-        agreement(
-            pairs.join(sketches.select(F.col("rep").alias("a"), F.col("sketch").alias("sketch_a")), "a")
-            .join(sketches.select(F.col("rep").alias("b"), F.col("sketch").alias("sketch_b")), "b")
-            .select("a", "b", "sketch_a", "sketch_b")
-        ).where(F.col("share") >= LEAST_AGREEMENT),
-        "close",
+    agreed = agreement(
+        pairs.join(sketches.select(F.col("rep").alias("a"), F.col("sketch").alias("sketch_a")), "a")
+        .join(sketches.select(F.col("rep").alias("b"), F.col("sketch").alias("sketch_b")), "b")
+        .select("a", "b", "sketch_a", "sketch_b")
     )
-    texts = needed_texts(named, close)
+    close = via_table(compact(agreed.where(F.col("share") >= LEAST_AGREEMENT), n_docs, waves=2), "close")
+    n_close = close.count()
+    texts = needed_texts(named, close, n_close)
     best = close.groupBy("b").agg(F.max_by("a", F.struct("share", -F.col("a"))).alias("a")).select("a", "b")
-    links = via_table(verified(best, texts, similarity), "links")
+    links = via_table(compact(verified(best, texts, similarity), n_close, waves=4), "links")
     labels = components(links)
     label_of = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"label_{c}"))
     rest = (
@@ -242,7 +238,7 @@ def near_duplicates(
         .join(label_of("a"), "a", "left").join(label_of("b"), "b", "left")
         .where(F.coalesce("label_a", "a") != F.coalesce("label_b", "b"))
     )
-    more = via_table(verified(rest, texts, similarity), "links")
+    more = via_table(compact(verified(rest, texts, similarity), n_close, waves=4), "links")
     if not more.isEmpty():
         links = links.unionAll(more)
         labels = components(links)
@@ -259,7 +255,7 @@ def near_duplicates(
     ).select("doc_id", F.coalesce("label", "doc_id").alias("class_id"))
 
 
-def needed_texts(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+def needed_texts(docs: DataFrame, pairs: DataFrame, n_pairs: int) -> DataFrame:
     """Texts of the documents in `pairs`, one row per id and text.
 
     A bit table of fixed size drops most other documents before anything is shuffled.
@@ -272,4 +268,4 @@ def needed_texts(docs: DataFrame, pairs: DataFrame) -> DataFrame:
             yield batch.filter(pa.array(in_bitmap(keep, batch.column("doc_id").to_numpy(zero_copy_only=False))))
 
     some = docs.mapInArrow(run, "doc_id long, text string").join(ids, "doc_id", "semi")
-    return via_table(some.dropDuplicates(["doc_id", "text"]), "texts")
+    return via_table(compact(some.dropDuplicates(["doc_id", "text"]), n_pairs, 20_000, waves=2), "texts")
