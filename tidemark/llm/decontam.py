@@ -22,6 +22,7 @@ not reported; an empty benchmark or table gives no rows.
 from __future__ import annotations
 
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -56,11 +57,12 @@ class Templates:
     """Template codes of texts; what a token is by itself comes from a bounded table."""
 
     def __init__(self):
-        self.known: dict[str, tuple[int, int]] = {}
+        self.known: dict[str, int] = {}  # token to its place in the two arrays
+        self.codes, self.kinds = np.empty(0, U64), np.empty(0, np.int8)
 
-    def _learn(self, tokens: set[str]) -> None:
-        codes = word_codes([t.lower().encode() for t in tokens], {})
-        for token, code in zip(tokens, codes.tolist(), strict=True):
+    def _learn(self, tokens: list[str]) -> None:
+        kinds = []
+        for place, token in enumerate(tokens, len(self.codes)):
             low = token.lower()
             if token in ".!?\n":
                 kind = STOP
@@ -70,72 +72,74 @@ class Templates:
                 kind = UNIT
             else:
                 kind = CAPITAL if token[0].isupper() and not (len(token) > 1 and token.isupper()) else WORD
-            self.known[token] = (code, kind)
+            kinds.append(kind)
+            self.known[token] = place
+        self.codes = np.append(self.codes, word_codes([t.lower().encode() for t in tokens], {}))
+        self.kinds = np.append(self.kinds, np.array(kinds, np.int8))
 
     def tokens(self, texts: list[str]):
-        """Per text: template codes, codes of the words as they stand, and which are placeholders."""
+        """All texts laid end to end, sentence ends left out: template codes, codes of the words as
+        they stand, which are placeholders, the text of each token, and the texts' token counts."""
         parts = [TOKEN.findall(t) for t in texts]
         here = set().union(*parts)
         if len(self.known) > CACHE_WORDS:
-            self.known = {t: self.known[t] for t in here if t in self.known}
-        self._learn(here.difference(self.known))
-        for part in parts:
-            if not part:
-                yield np.empty(0, U64), np.empty(0, U64), np.empty(0, bool)
-                continue
-            found = list(map(self.known.__getitem__, part))
-            raw = np.fromiter((c for c, _ in found), U64, len(found))
-            kind = np.fromiter((k for _, k in found), np.int8, len(found))
-            before = np.concatenate([[STOP], kind[:-1]])
-            slot = (kind == NUMBER) | ((kind == CAPITAL) & (before != STOP)) | ((kind == UNIT) & (before == NUMBER))
-            template = raw.copy()
-            for k, code in PLACEHOLDER.items():
-                template[slot & (kind == k)] = code
-            real = kind != STOP
-            yield template[real], raw[real], slot[real]
-
-
-def matchable(slot: np.ndarray, width: int) -> np.ndarray:
-    """Starts of windows that hold enough words outside placeholders."""
-    words = np.concatenate([[0], np.cumsum(~slot)])
-    return np.flatnonzero(words[width:] - words[:-width] >= min(width, MIN_WORDS)) if len(slot) >= width else np.empty(0, int)
-
-
-def window_rows(texts: DataFrame, key: str, sizes: list[int], keep: np.ndarray | None, whole_if_short: int = 0):
+            self.__init__()
+        self._learn([t for t in here if t not in self.known])
+        sizes = np.array(list(map(len, parts)), np.int64)
+        place = np.fromiter(map(self.known.__getitem__, chain.from_iterable(parts)), np.int64, sizes.sum())
+        raw, kind = self.codes[place], self.kinds[place]
+        before = np.empty_like(kind)
+        before[1:] = kind[:-1]
+        before[(np.cumsum(sizes) - sizes)[sizes > 0]] = STOP
+        slot = (kind == NUMBER) | ((kind == CAPITAL) & (before != STOP)) | ((kind == UNIT) & (before == NUMBER))
+        template = raw.copy()
+        for k, code in PLACEHOLDER.items():
+            template[slot & (kind == k)] = code
+        real = kind != STOP
+        owner = np.repeat(np.arange(len(texts)), sizes)[real]
+        return template[real], raw[real], slot[real], owner, np.bincount(owner, minlength=len(texts))
+
+
+def window_rows(texts: DataFrame, key: str, sizes: list[int], keep: np.ndarray | None, items: bool = False):
     """(key, size, at, hash, slots, total) of the windows of each text, of the given sizes.
 
-    With `whole_if_short`, the texts are items: the size is that, or the item's length if that is less.
-    With `keep`, only windows whose hash is in the bit table.
+    With `items`, a text is taken in windows of the largest size or, if it is shorter, in one window
+    of its own length if that is among the sizes. With `keep`, only windows whose hash is in the bit
+    table. A window needs enough words outside placeholders.
     """
 
     def run(batches):
         templates = Templates()
         for batch, rows in text_slices(batches):
-            keys = batch.column(key).to_pylist()
-            out: dict[str, list] = {k: [] for k in ("key", "size", "at", "hash", "slots", "total")}
-            for owner, (template, raw, slot) in zip(keys, templates.tokens([t or "" for t in rows]), strict=True):
-                n = len(template)
-                if whole_if_short and n < MIN_TOKENS:
+            keys = batch.column(key).to_numpy(zero_copy_only=False)
+            template, raw, slot, owner, counts = templates.tokens([t or "" for t in rows])
+            first = np.cumsum(counts) - counts
+            words = np.concatenate([[0], np.cumsum(~slot)])
+            for size in sizes:
+                if len(template) < size:
                     continue
-                for size in [min(n, whole_if_short)] if whole_if_short else sizes:
-                    if n < size:
-                        continue
-                    start = matchable(slot, size)
-                    hashes = mix(window_codes(template, size) + U64(size)).astype(np.int64)[start]
-                    if keep is not None:
-                        some = in_bitmap(keep, hashes)
-                        start, hashes = start[some], hashes[some]
-                    if not len(start):
-                        continue
-                    values = raw.astype(np.int64)
-                    out["key"] += [owner] * len(start)
-                    out["size"] += [size] * len(start)
-                    out["at"] += start.tolist()
-                    out["hash"] += hashes.tolist()
-                    out["slots"] += [values[a : a + size][slot[a : a + size]].tolist() for a in start]
-                    out["total"] += [len(start)] * len(start)
-            kinds = {"slots": pa.list_(pa.int64())}
-            yield pa.RecordBatch.from_pydict({k: pa.array(v, kinds.get(k, pa.int64())) for k, v in out.items()})
+                fits = owner[: len(owner) - size + 1] == owner[size - 1 :]
+                fits &= words[size:] - words[:-size] >= min(size, MIN_WORDS)
+                if items and size < max(sizes):
+                    fits &= (counts == size)[owner[: len(fits)]]
+                start = np.flatnonzero(fits)
+                hashes = mix(window_codes(template, size) + U64(size)).astype(np.int64)[start]
+                total = np.bincount(owner[start], minlength=len(counts))
+                if keep is not None:
+                    some = in_bitmap(keep, hashes)
+                    start, hashes = start[some], hashes[some]
+                text = owner[start]
+                slots = [raw[a : a + size][slot[a : a + size]].astype(np.int64) for a in start.tolist()]
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "key": pa.array(keys[text].astype(np.int64)),
+                        "size": pa.array(np.full(len(start), size, np.int64)),
+                        "at": pa.array(start - first[text]),
+                        "hash": pa.array(hashes),
+                        "slots": pa.array(slots, pa.list_(pa.int64())),
+                        "total": pa.array(total[text].astype(np.int64)),
+                    }
+                )
 
     return texts.select(F.col(key).cast("long").alias(key), "text").mapInArrow(
         run, "key long, size long, at long, hash long, slots array<long>, total long"
@@ -147,7 +151,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, min_share:
     spark = docs.sparkSession
     path = shared_path(spark, "items")
     items = benchmark.where(F.col("item_id").isNotNull()).dropDuplicates(["item_id", "text"])
-    window_rows(items, "item_id", [], None, width).write.parquet(path)
+    window_rows(items, "item_id", list(range(min(MIN_TOKENS, width), width + 1)), None, items=True).write.parquet(path)
     items = spark.read.parquet(path)
     keep = bitmap(items, "hash")
     sizes = sorted(r["size"] for r in items.select("size").distinct().collect())  # at most `width` values
