@@ -123,3 +123,21 @@ def test_empty_tables(spark):
     assert tokenfiles.token_files(empty, WORD_BPE, 2).count() == 0
     assert tokencount.token_counts(empty, BYTE_BPE, 512).count() == 0
     assert bpe.bpe(empty, RANKS, public_tokenizers.PATTERN).count() == 0
+
+
+def test_recent_values_come_back_from_the_older_generation():
+    from tidemark.llm.common import Recent
+
+    recent, learned = Recent(3), []
+
+    def ask(keys):
+        for key in recent.missing(set(keys)):
+            learned.append(key)
+            recent.known[key] = key.upper()
+        assert all(recent.known[k] == k.upper() for k in keys)
+        recent.trim(set(keys))
+
+    for keys in ("ab", "cd", "a", "ef", "a", "ghij", "b"):
+        ask(keys)
+    assert len(recent.known) + len(recent.old) <= 2 * 3 + 4
+    assert learned.count("a") == 1 and learned.count("b") == 2

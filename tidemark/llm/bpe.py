@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import text_slices, units, worker_state
+from tidemark.llm.common import Recent, text_slices, units, worker_state
 
 CACHE_UNITS = 300_000
 WORDS_AT_ONCE = 20_000
@@ -77,7 +77,7 @@ class DuckBpe:
             id=pa.array(ranks.values(), pa.int32()),
             letters=pa.array([t.decode("latin-1") for t in ranks], pa.string()),  # one letter per byte
         )
-        self.known: dict[str, tuple[str, bytes]] = {}
+        self.recent = Recent(CACHE_UNITS)  # unit to (decimals, packed ids)
 
     def _store(self, name: str, **columns) -> None:
         self._view("incoming", **columns)
@@ -105,28 +105,27 @@ class DuckBpe:
         return out
 
     def _learn(self, missing: list[str]) -> None:
+        known = self.recent.known
         pieces = [self.pattern.findall(u) for u in missing]
-        words = [w for w in set().union(*pieces) if w not in self.known]
+        words = self.recent.missing(set().union(*pieces))
         for word, ids in zip(words, self.encode_words([w.encode() for w in words]), strict=True):
-            self.known[word] = (" ".join(map(str, ids)), np.array(ids, "<i4").tobytes())
-        known = self.known
+            known[word] = (" ".join(map(str, ids)), np.array(ids, "<i4").tobytes())
         for unit, parts in zip(missing, pieces, strict=True):
-            if len(parts) > 1 or unit not in known:
+            if len(parts) > 1:
                 found = [known[p] for p in parts]
-                known[unit] = (" ".join(d for d, _ in found), b"".join(i for _, i in found))
+                known[unit] = (" ".join([d for d, _ in found]), b"".join([i for _, i in found]))
 
     def encode(self, texts: list[str]) -> list[tuple[str, bytes]]:
         """Each text's ids, as decimals joined by spaces and as packed 32-bit integers."""
         parts = [units(t) for t in texts]
         here = set().union(*parts)
-        self._learn([u for u in here if u not in self.known])
-        get = self.known.__getitem__
+        self._learn(self.recent.missing(here))
+        get = self.recent.known.__getitem__
         out = []
         for p in parts:
             found = list(map(get, p))
             out.append((" ".join([d for d, _ in found]), b"".join([i for _, i in found])))
-        if len(self.known) > CACHE_UNITS:  # keep what this slice used: the common units are in it
-            self.known = {u: self.known[u] for u in here}
+        self.recent.trim(here)
         return out
 
     def decode(self, packed: list[bytes]) -> list[bytes]:

@@ -68,6 +68,28 @@ def worker_state(name: str, make: Callable):
     return getattr(home, name)
 
 
+class Recent:
+    """Values by key in two generations: beyond `limit` keys the younger one becomes the older one.
+
+    `known` holds every key asked for last; at most 2 * `limit` keys and one slice's stay in memory.
+    """
+
+    def __init__(self, limit: int):
+        self.limit, self.known, self.old = limit, {}, {}
+
+    def missing(self, keys: set) -> list:
+        """Keys without a value; those of the older generation come back into the younger one."""
+        known, old = self.known, self.old
+        fresh = keys.difference(known)
+        known.update((k, old[k]) for k in fresh if k in old)
+        return [k for k in fresh if k not in known]
+
+    def trim(self, keys: set) -> None:
+        """Call after a slice with its keys."""
+        if len(self.known) > self.limit:
+            self.old, self.known = self.known, {k: self.known[k] for k in keys}
+
+
 def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text", size: int = SLICE_BYTES):
     """(slice of the batch, its texts) pieces of about `size` bytes; a null text comes as None."""
     for batch in batches:
