@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import Recent, text_slices, units, worker_state
 
-CACHE_UNITS = 300_000
-WORDS_AT_ONCE = 20_000
+CACHE_UNITS = 200_000
+WORDS_AT_ONCE = 10_000
 
 ENCODE = """
 WITH RECURSIVE state(step, word, ids) AS (
@@ -63,7 +63,7 @@ class DuckBpe:
         ranks = load_ranks(path)
         self.pattern = regex.compile(pattern)
         self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "200MB", "temp_directory": ""})
         pairs, merged = [], []
         for token, rank in ranks.items():
             for cut in range(1, len(token)):

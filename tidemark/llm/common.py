@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import re
 import sys
 import types
@@ -12,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 2 << 20  # text handled at once inside a task, besides a single longer text
+SLICE_BYTES = 1 << 20  # text handled at once inside a task, besides a single longer text
 BITMAP_BITS = 1 << 24  # a fixed 2 MB, whatever the input
 U64 = np.uint64
 
@@ -90,8 +92,18 @@ class Recent:
             self.old, self.known = self.known, {k: self.known[k] for k in keys}
 
 
+def release_memory() -> None:
+    """Give back to the system what earlier tasks of this Python worker have freed."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:  # of the GNU C library
+        trim(0)
+
+
 def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text", size: int = SLICE_BYTES):
     """(slice of the batch, its texts) pieces of about `size` bytes; a null text comes as None."""
+    release_memory()
     for batch in batches:
         texts = batch.column(column)
         if not len(texts):

@@ -36,7 +36,7 @@ WIDTH = 8
 MIN_TOKENS = 5
 MIN_WORDS = 3
 MIN_SHARE = 0.3
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 
 TOKEN = re.compile(r"\d+(?:[.,:/]\d+)*|[^\W\d_]+(?:['’][^\W\d_]+)*|[.!?\n]|[%$€£°]")
 WORD, NUMBER, CAPITAL, STOP, UNIT = range(5)

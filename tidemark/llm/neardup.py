@@ -36,7 +36,7 @@ WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 5
 LEAST_AGREEMENT = 0.56  # of the coordinates; six standard errors below 0.8 at 120 coordinates
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 GOLDEN = U64(0x9E3779B97F4A7C15)
 
 
