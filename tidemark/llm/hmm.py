@@ -88,10 +88,20 @@ class Vocabulary:
 
 
 def vocabulary(counts: DataFrame, head: int, own_classes: int, suffix_classes: int) -> Vocabulary:
-    """Counts of the `head` commonest tokens and the sizes of the classes reach the driver."""
+    """Counts of at most `head` of the commonest tokens and the sizes of the classes reach the driver.
+
+    The head is all tokens above a count, found from a histogram of the counts' logarithms, so no
+    task sends more than its share of it.
+    """
     whole = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
-    top = counts.orderBy(F.desc("c"), "token").limit(head).collect()
-    known = {bytes(r["token"]): r["c"] for r in top}
+    step = F.floor(F.log2("c") * 32)
+    least, taken = None, 0
+    for r in counts.groupBy(step.alias("at")).agg(F.count("*").alias("v")).orderBy(F.desc("at")).collect():
+        if taken + r["v"] > head:
+            break
+        least, taken = r["at"], taken + r["v"]
+    top = [] if least is None else counts.where(step >= least).collect()
+    known = {bytes(r["token"]): r["c"] for r in sorted(top, key=lambda r: (-r["c"], bytes(r["token"])))}
     own = list(dict.fromkeys([END, *list(known)[:own_classes]]))
     suffix = F.pmod(F.crc32(F.substring("token", -3, 3)), F.lit(suffix_classes)).cast("int")
     rows = counts.groupBy(suffix.alias("at")).agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect()
