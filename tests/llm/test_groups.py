@@ -119,6 +119,39 @@ def test_near_duplicate_classes_against_all_pairs(spark):
     assert len(set(want.values())) < len(want) - 40
 
 
+def one_changed(text, at, k):
+    """`k` words changed close together, at a place of its own."""
+    words = text.split()
+    for j in range(k):
+        words[(at + 17 * j) % len(words)] = f"own{at}x{j}"
+    return " ".join(words)
+
+
+def test_copies_of_an_original_in_the_middle_of_the_ids(spark):
+    original, second = prose(700, 200), prose(701, 200)
+    data = [(k, original if k == 60 else one_changed(original, k, 4), None) for k in range(120)]
+    # Two originals whose copies meet in no common centre, linked by one text between them.
+    data += [(1000 + k, second if k == 20 else one_changed(second, 3 * k, 4), None) for k in range(40)]
+    data += [(2000 + k, one_changed(one_changed(second, 3 * k, 4), 3 * k + 7, 2), None) for k in range(40)]
+    want = brute_classes(data)
+    assert {want[k] for k in range(120)} == {0}
+    found = neardup.near_duplicates(documents(spark, data)).collect()
+    assert {r["doc_id"]: r["class_id"] for r in found} == want
+
+
+def test_blocks_of_a_bucket_are_compared_in_full(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK", 4)
+    sketches = np.repeat(np.arange(30, dtype="<u2")[:, None], 120, axis=1)
+    sketches[17, :80] = sketches[23, :80]
+    sketches[5] = sketches[9] = sketches[29]
+    made = spark.createDataFrame([(k, bytearray(x.tobytes())) for k, x in enumerate(sketches)], "rep long, sketch binary")
+    members = spark.createDataFrame([(1, k) for k in range(30)] + [(2, 3), (2, 4)], "key long, rep long")
+    labels = spark.createDataFrame([(9, 5), (5, 5)], "node long, label long")
+    ends = lambda every: {tuple(r) for r in neardup.crossing(members, labels, made, every).collect()}
+    assert ends(True) == {(17, 23), (5, 29), (9, 29)}
+    assert (17, 23) in ends(False) and ends(False) <= ends(True) and len(ends(False)) >= 2
+
+
 def test_components_of_a_chain(spark):
     links = spark.createDataFrame([(k, k + 1) for k in range(40)] + [(100, 101)], "a long, b long")
     labels = {r["node"]: r["label"] for r in neardup.components(links).collect()}

@@ -10,12 +10,15 @@ earliest dart per coordinate does not depend on theta, so two documents agree in
 probability equal to their weighted Jaccard similarity, at a cost of the set's size plus t.
 
 Classes. Equal texts are one representative first. Bands of the signature deal representatives to
-buckets; in every bucket all members meet its smallest and its largest id, so a bucket of m gives
-fewer than 2 m pairs. Pairs whose signatures agree too little are dropped (at six standard errors
-below the threshold); of the rest, each document's best pair is verified first on the exact weighted
-Jaccard similarity of the two texts, then every pair not yet implied by the classes found. Classes are
-the connected components of the verified links, found by repeated least-label steps on tables in the
-shared folder.
+buckets; in every bucket all members meet its centre, the member that collides most over all its
+buckets, so a bucket of m gives fewer than m pairs. Pairs whose signatures agree too little are dropped
+(at six standard errors below the threshold); of the rest, each document's best pair is verified first
+on the exact weighted Jaccard similarity of the two texts, then every pair not yet implied by the
+classes found. Buckets whose other members are still in several classes are then compared in full, cut
+into blocks that meet in pairs: first the best pair of every two classes in two blocks is verified, then
+all pairs that remain between classes. So every pair of a bucket is verified, implied or dropped by its
+signatures. Classes are the connected components of the verified links, found by repeated least-label
+steps on tables in the shared folder.
 
 Defined cases: a text without words (null, empty, only white space) is a class of its own; texts of
 fewer than five words are one shingle; rows that share an id are one document; rows with a null id
@@ -36,6 +39,7 @@ WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 5
 LEAST_AGREEMENT = 0.56  # of the coordinates; six standard errors below 0.8 at 120 coordinates
+BLOCK = 256  # members of a bucket that are compared with as many others at once
 CACHE_WORDS = 200_000
 GOLDEN = U64(0x9E3779B97F4A7C15)
 
@@ -142,6 +146,55 @@ def agreement(pairs: DataFrame) -> DataFrame:
     return pairs.mapInArrow(run, "a long, b long, share double")
 
 
+def crossing(members: DataFrame, labels: DataFrame, sketches: DataFrame, every: bool) -> DataFrame:
+    """(a, b) of members (key, rep) of one bucket that are in different classes and agree enough.
+
+    Without `every`, only the best pair of every two classes in two blocks of a bucket.
+    """
+    named = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
+        "key", "rep", F.coalesce("label", "rep").alias("label")
+    )
+    mixed = (
+        named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n"))
+        .where("low < high").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    )
+    dealt = (
+        named.join(mixed, "key").join(sketches, "rep")
+        .withColumn("own", F.pmod(F.xxhash64("key", "rep"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+    )
+    met = dealt.groupBy("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).agg(
+        F.collect_list(F.struct("rep", "label", "own", "sketch")).alias("rows")
+    )
+
+    def run(batches):
+        for batch in batches:
+            for i, j, rows in zip(*(batch.column(c) for c in ("i", "j", "rows")), strict=True):
+                block = rows.values.flatten()
+                rep, label, own = (np.asarray(c) for c in block[:3])
+                sketch = np.frombuffer(b"".join(block[3].to_pylist()), "<u2").reshape(len(rep), -1)
+                left, right = np.flatnonzero(own == i.as_py()), np.flatnonzero(own == j.as_py())
+                found = []
+                for at in range(0, len(left), 64):
+                    some = left[at : at + 64]
+                    share = (sketch[some][:, None] == sketch[right][None]).mean(2)
+                    share[label[some][:, None] == label[right][None]] = 0
+                    x, y = np.nonzero(share >= LEAST_AGREEMENT)
+                    found.append((some[x], right[y], share[x, y]))
+                x, y, share = (np.concatenate(c) for c in zip(*found, strict=True)) if found else ([], [], [])
+                if not len(x):
+                    continue
+                if not every:
+                    classes = np.sort(np.column_stack([label[x], label[y]]), axis=1)
+                    order = np.argsort(-share, kind="stable")
+                    best = order[np.unique(classes[order], axis=0, return_index=True)[1]]
+                    x, y = x[best], y[best]
+                ends = np.sort(np.column_stack([rep[x], rep[y]]), axis=1)
+                yield pa.RecordBatch.from_pydict({"a": pa.array(ends[:, 0]), "b": pa.array(ends[:, 1])})
+
+    return met.select("i", "j", "rows").mapInArrow(run, "a long, b long").where("a < b").distinct()
+
+
 def weighted_jaccard(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray]) -> float:
     _, i, j = np.intersect1d(x[0], y[0], assume_unique=True, return_indices=True)
     common = int(np.minimum(x[1][i], y[1][j]).sum())
@@ -198,6 +251,18 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def merged(labels: DataFrame, links: DataFrame, rows: int) -> DataFrame:
+    """`labels` (node, label) after the further links (a, b), which connect whole classes."""
+    of = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"label_{c}"))
+    classes = links.join(of("a"), "a", "left").join(of("b"), "b", "left").select(
+        F.coalesce("label_a", "a").alias("a"), F.coalesce("label_b", "b").alias("b")
+    )
+    further = components(via_table(compact(classes.where("a <> b").distinct(), rows), "links"))
+    moved = labels.join(further.select(F.col("node").alias("label"), F.col("label").alias("lower")), "label", "left")
+    known = moved.select("node", F.coalesce("lower", "label").alias("label"))
+    return via_table(compact(known.unionAll(further.join(labels, "node", "anti")), rows), "labels")
+
+
 def near_duplicates(
     docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS
 ) -> DataFrame:
@@ -212,14 +277,15 @@ def near_duplicates(
     )
     reps = via_table(compact(reps, n_docs, 50_000, waves=2), "representatives")
     dealt = reps.select("rep", F.explode("keys").alias("key"))
-    ends = dealt.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high")
-    met = dealt.join(ends, "key")
-    pairs = (
-        met.select(F.col("low").alias("a"), F.col("rep").alias("b"))
-        .unionAll(met.select(F.col("rep").alias("a"), F.col("high").alias("b")))
-        .where("a < b")
-        .distinct()
-    )
+    sizes = dealt.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    met = via_table(compact(dealt.join(sizes, "key"), n_docs, waves=2), "met")
+    weights = met.groupBy("rep").agg(F.sum("n").alias("weight"))
+    centres = (
+        met.select("key", "rep").join(weights, "rep").groupBy("key")
+        .agg(F.max_by("rep", F.struct("weight", F.xxhash64("rep"), "rep")).alias("centre"))
+    )
+    members = via_table(compact(met.select("key", "rep").join(centres, "key").where("rep <> centre"), n_docs, waves=2), "members")
+    pairs = members.select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")).distinct()
     sketches = reps.groupBy("rep").agg(F.first("sketch").alias("sketch"))
     agreed = agreement(
         pairs.join(sketches.select(F.col("rep").alias("a"), F.col("sketch").alias("sketch_a")), "a")
@@ -240,8 +306,20 @@ def near_duplicates(
     )
     more = via_table(compact(verified(rest, texts, similarity), n_close, waves=4), "links")
     if not more.isEmpty():
-        links = links.unionAll(more)
-        labels = components(links)
+        labels = merged(labels, more, n_close)
+    tested = close.select("a", "b")
+    for every in (False, True):
+        crossed = via_table(compact(crossing(members.select("key", "rep"), labels, sketches, every), n_docs, waves=2), "close")
+        if crossed.isEmpty():
+            break
+        fresh = via_table(crossed.join(tested, ["a", "b"], "anti").select("a", "b"), "close")
+        n_fresh = fresh.count()
+        if n_fresh:
+            texts = needed_texts(named, fresh, n_fresh)
+            more = via_table(verified(fresh, texts, similarity), "links")
+            tested = tested.unionAll(fresh)
+            if not more.isEmpty():
+                labels = merged(labels, more, n_docs)
     # Documents of one text share its representative; documents of several texts join their classes.
     copies = signed.join(reps.select("digest", "rep"), "digest").where("doc_id <> rep").select(
         F.col("doc_id").alias("node"), "rep"
