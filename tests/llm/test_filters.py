@@ -187,3 +187,9 @@ def test_part_of_an_item_below_the_share_is_no_leak(spark):
     texts = [prose(1, 20) + " " + " ".join(words[:12]), prose(2, 20) + " " + " ".join(words[10:45])]
     assert leaked(spark, texts, [item]) == {(1, 0)}
     assert len(WORDS) > 30
+
+
+def test_one_changed_value_leaves_out_only_its_windows(spark):
+    item = "The ship left in 1912 " + prose(41, 30) + " and nobody saw the ship of 1912 " + prose(42, 30)
+    texts = ["Well, " + item.replace("of 1912", "of 1913"), "Well, " + item.replace("in 1912", "in 1910").replace("of 1912", "of 1913")]
+    assert leaked(spark, texts, [item]) == {(0, 0)}

@@ -5,7 +5,10 @@ number are typed placeholders, everything else is its lower-case word; the repla
 slots. Windows of `width` template tokens are hashed, and documents' windows are hash-joined with the
 benchmark items'. Matches of one document and item with the same offset between their positions form
 an alignment. An alignment counts if its slots are consistent: each value of the item always meets
-the same value in the document, as when a question is asked again with other numbers and names. An
+the same value in the document, as when a question is asked again with other numbers and names. Where a
+value meets itself and others too, only the windows that hold another than its most frequent partner are
+left out, and none whose slots all equal the item's own; an alignment in which a value meets several
+others and never itself does not count. An
 item leaks into a document if its consistent alignments cover at least `min_share` of its windows.
 
 Windows that cannot match are dropped before the shuffle by a bit table of fixed size built from the
@@ -22,6 +25,7 @@ not reported; an empty benchmark or table gives no rows.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from itertools import chain
 
 import numpy as np
@@ -146,6 +150,21 @@ def window_rows(texts: DataFrame, key: str, sizes: list[int], keep: np.ndarray |
     )
 
 
+def sound_places(windows):
+    """Places of the windows to keep of an alignment with conflicting slots; null for null."""
+    if windows is None:
+        return None
+    partners: dict[int, Counter] = {}
+    for w in windows:
+        for pair in w["slots"]:
+            partners.setdefault(pair["item_slots"], Counter())[pair["doc_slots"]] += 1
+    if any(len(c) > 1 and value not in c for value, c in partners.items()):
+        return []
+    best = {value: max(c, key=lambda p: (c[p], p == value, p)) for value, c in partners.items()}
+    pairs = [(w["item_at"], [(s["item_slots"], s["doc_slots"]) for s in w["slots"]]) for w in windows]
+    return sorted({at for at, some in pairs if all(a == b for a, b in some) or all(best[a] == b for a, b in some)})
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, min_share: float = MIN_SHARE) -> DataFrame:
     """(doc_id, item_id, matched_windows, item_windows, alignments) of every leak."""
     spark = docs.sparkSession
@@ -162,14 +181,17 @@ def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, min_share:
         F.col("total").alias("item_windows"),
     )
     met = left.join(right, "hash").withColumn("shift", F.col("doc_at") - F.col("item_at"))
-    pairs = F.array_distinct(F.flatten(F.collect_set(F.arrays_zip("item_slots", "doc_slots"))))
+    window = F.struct("item_at", F.arrays_zip("item_slots", "doc_slots").alias("slots"))
     aligned = met.groupBy("doc_id", "item_id", "shift").agg(
-        pairs.alias("pairs"), F.collect_set("item_at").alias("places"), F.max("item_windows").alias("item_windows")
+        F.collect_set(window).alias("windows"), F.max("item_windows").alias("item_windows")
     )
-    values = F.transform("pairs", lambda p: p["item_slots"])
-    consistent = F.size("pairs") == F.size(F.array_distinct(values))
+    pairs = F.array_distinct(F.flatten("windows.slots"))
+    values = F.transform(pairs, lambda p: p["item_slots"])
+    consistent = F.size(pairs) == F.size(F.array_distinct(values))
+    sound = F.udf(sound_places, "array<long>")(F.when(~consistent, F.col("windows")))
     return (
-        aligned.where(consistent)
+        aligned.withColumn("places", F.coalesce(sound, F.array_distinct("windows.item_at")))
+        .where(F.size("places") > 0)
         .groupBy("doc_id", "item_id")
         .agg(
             F.size(F.array_distinct(F.flatten(F.collect_set("places")))).cast("long").alias("matched_windows"),
