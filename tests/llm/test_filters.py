@@ -193,3 +193,10 @@ def test_one_changed_value_leaves_out_only_its_windows(spark):
     item = "The ship left in 1912 " + prose(41, 30) + " and nobody saw the ship of 1912 " + prose(42, 30)
     texts = ["Well, " + item.replace("of 1912", "of 1913"), "Well, " + item.replace("in 1912", "in 1910").replace("of 1912", "of 1913")]
     assert leaked(spark, texts, [item]) == {(0, 0)}
+
+
+def test_a_long_passage_leaks_whatever_the_item_is_long(spark):
+    item = prose(51, 1000)
+    words = item.split()
+    texts = [prose(k, 20) + " " + " ".join(words[300 : 300 + n]) + " " + prose(k + 9, 20) for k, n in ((1, 50), (2, 40))]
+    assert leaked(spark, texts, [item]) == {(0, 0)}

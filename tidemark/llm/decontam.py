@@ -9,7 +9,8 @@ the same value in the document, as when a question is asked again with other num
 value meets itself and others too, only the windows that hold another than its most frequent partner are
 left out, and none whose slots all equal the item's own; an alignment in which a value meets several
 others and never itself does not count. An
-item leaks into a document if its consistent alignments cover at least `min_share` of its windows.
+item leaks into a document if its consistent alignments cover at least `min_share` of its windows, or if
+one of them holds a passage of PASSAGE tokens, whatever the item's length.
 
 Windows that cannot match are dropped before the shuffle by a bit table of fixed size built from the
 benchmark's window hashes; it may let others pass, never the reverse, so the join stays exact at any
@@ -40,6 +41,7 @@ WIDTH = 8
 MIN_TOKENS = 5
 MIN_WORDS = 3
 MIN_SHARE = 0.3
+PASSAGE = 50  # tokens in a row, each in a matched window of one alignment, that are a leak of any item
 CACHE_WORDS = 200_000
 
 TOKEN = re.compile(r"\d+(?:[.,:/]\d+)*|[^\W\d_]+(?:['’][^\W\d_]+)*|[.!?\n]|[%$€£°]")
@@ -165,6 +167,20 @@ def sound_places(windows):
     return sorted({at for at, some in pairs if all(a == b for a, b in some) or all(best[a] == b for a, b in some)})
 
 
+def passage(places, width: int):
+    """Tokens of the longest stretch that the windows at `places` cover without a gap."""
+
+    def step(seen, at):
+        start = F.when(at - seen["last"] <= width, seen["start"]).otherwise(at)
+        return F.struct(
+            start.alias("start"), at.alias("last"), F.greatest(seen["best"], at - start + width).alias("best")
+        )
+
+    far = F.lit(-(1 << 40))
+    first = F.struct(far.alias("start"), far.alias("last"), F.lit(0).cast("long").alias("best"))
+    return F.aggregate(F.array_sort(places), first, step, lambda seen: seen["best"])
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, min_share: float = MIN_SHARE) -> DataFrame:
     """(doc_id, item_id, matched_windows, item_windows, alignments) of every leak."""
     spark = docs.sparkSession
@@ -197,6 +213,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, min_share:
             F.size(F.array_distinct(F.flatten(F.collect_set("places")))).cast("long").alias("matched_windows"),
             F.max("item_windows").alias("item_windows"),
             F.count("*").alias("alignments"),
+            F.max(passage(F.col("places"), width)).alias("passage"),
         )
-        .where(F.col("matched_windows") >= F.lit(min_share) * F.col("item_windows"))
+        .where((F.col("matched_windows") >= F.lit(min_share) * F.col("item_windows")) | (F.col("passage") >= PASSAGE))
+        .drop("passage")
     )
