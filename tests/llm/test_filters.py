@@ -147,6 +147,15 @@ def test_toxicity_is_learned_from_training_labels_only(spark):
     assert [found[k]["predicted"] for k in (1000, 1001, 1002, 1003)] == [0, 0, 1, 1]
 
 
+def test_a_rare_insult_among_common_ones_is_a_term(spark):
+    bad = [["grobnik", "mulpot", "varsh"][k % 3] if k >= 25 else "zquolt" for k in range(600)]
+    data = [(k, prose(k, 30) + " " + (bad[k // 2] if k % 2 else "calm"), k % 2) for k in range(1200)]
+    weights = toxicity.lexicon(spark.createDataFrame(data, "doc_id long, text string, toxic int"))
+    assert {toxicity.fold(w) for w in ("zquolt", "grobnik", "mulpot", "varsh")} <= set(weights)
+    assert not {toxicity.fold(w) for w in [*WORDS, "calm"]} & set(weights)
+    assert weights[toxicity.fold("zquolt")] < weights[toxicity.fold("grobnik")]
+
+
 def test_toxicity_without_labels(spark):
     docs, marks = documents(spark), spark.createDataFrame([], "doc_id long, quality int, toxic int")
     found = toxicity.score(docs, toxicity.fit(docs, marks, is_training("doc_id", 5, 0))).collect()

@@ -2,8 +2,8 @@
 
 Folding maps look-alike letters of other scripts, accents, and digits or signs that stand for letters
 to one plain letter each (i, l, 1 and ! are one class), on the lexicon and on the text alike. Lexicon
-terms are words and word beginnings, weighted by careful log odds (less three standard errors) from
-labelled rows and kept if at least half as strong as the strongest. A match counts where it is a whole
+terms are words and word beginnings, weighted by log odds from labelled rows; every term stays that a
+likelihood-ratio test finds to go with toxic texts, however weak beside the strongest. A match counts where it is a whole
 word, or the beginning of one, and not part of an exception phrase; a word counts once, by its strongest
 term. Two figures per text, the
 total weight and the weight per hundred words, go through a fitted logistic curve.
@@ -32,8 +32,8 @@ from tidemark.llm.common import like, text_slices
 PER_CLASS = 10_000
 MAX_TERMS = 2_000
 MIN_TOXIC = 3  # toxic texts that must hold a term
-SURE = 3.0  # standard errors taken off a term's log odds, since very many terms are tried
-LEAST_WEIGHT, LEAST_SHARE = 0.5, 0.5  # of a term, and against the strongest one
+SURE = 20.0  # least likelihood ratio (chi square of one degree, p < 1e-5), since very many terms are tried
+LEAST_WEIGHT = 0.5  # of a term
 STEMS = (5, 6)  # letters of word beginnings that are terms, written with a star
 
 #: Harmless phrases that hold a word which is an insult elsewhere.
@@ -172,17 +172,26 @@ def lexicon(rows: DataFrame, max_terms: int = MAX_TERMS) -> dict[str, float]:
     def odds(n, total):
         return F.log((F.col(n) + 0.5) / (F.lit(float(total)) - F.col(n) + 0.5))
 
-    spread = F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
-    weight = odds("toxic", sizes["toxic"]) - odds("clean", sizes["clean"]) - SURE * spread
+    weight = odds("toxic", sizes["toxic"]) - odds("clean", sizes["clean"])
+    whole = float(sizes["toxic"] + sizes["clean"])
+    held = F.col("toxic") + F.col("clean")
+
+    def cell(found, expected):
+        return F.when(found > 0, found * F.log(found / expected)).otherwise(0.0)
+
+    ratio = F.lit(0.0)
+    for n in ("toxic", "clean"):
+        share = float(sizes[n]) / whole
+        ratio += cell(F.col(n), held * share) + cell(sizes[n] - F.col(n), (F.lit(whole) - held) * share)
     chosen = (
         term_counts(rows)
         .withColumn("weight", weight)
-        .where((F.col("toxic") >= MIN_TOXIC) & (F.col("weight") >= LEAST_WEIGHT) & (F.length("term") > 2))
+        .where((F.col("toxic") >= MIN_TOXIC) & (F.col("weight") >= LEAST_WEIGHT) & (2 * ratio >= SURE))
         .orderBy(F.desc("weight"), "term")
         .limit(max_terms)
         .collect()
     )
-    return {r["term"]: r["weight"] for r in chosen if r["weight"] >= LEAST_SHARE * chosen[0]["weight"]}
+    return {r["term"]: r["weight"] for r in chosen}
 
 
 def measured(rows: DataFrame, weights: dict[str, float], exceptions) -> DataFrame:
