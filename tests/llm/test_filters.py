@@ -209,3 +209,9 @@ def test_a_long_passage_leaks_whatever_the_item_is_long(spark):
     words = item.split()
     texts = [prose(k, 20) + " " + " ".join(words[300 : 300 + n]) + " " + prose(k + 9, 20) for k, n in ((1, 50), (2, 40))]
     assert leaked(spark, texts, [item]) == {(0, 0)}
+
+
+def test_first_words_and_unspaced_scripts_are_found(spark):
+    items = ["Who wrote the novel about whales?", "谁写了这本关于鲸鱼的小说，它是哪一年出版的？", "Peter sailed the great grey whale home"]
+    texts = ["Question: " + items[0], "请回答" + items[1], "Then came, " + items[2].replace("Peter", "Olga"), items[0], "鲸鱼的小说很多"]
+    assert leaked(spark, texts, items) == {(0, 0), (3, 0), (1, 1), (2, 2)}

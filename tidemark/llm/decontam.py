@@ -2,7 +2,7 @@
 
 Texts become template tokens: numbers, names (capitalised words inside a sentence) and units after a
 number are typed placeholders, everything else is its lower-case word; the replaced words are the
-slots. Windows of `width` template tokens are hashed, and documents' windows are hash-joined with the
+slots. In scripts without spaces every character is a token. Windows of `width` template tokens are hashed, and documents' windows are hash-joined with the
 benchmark items'. Matches of one document and item with the same offset between their positions form
 an alignment. An alignment counts if its slots are consistent: each value of the item always meets
 the same value in the document, as when a question is asked again with other numbers and names. Where a
@@ -17,6 +17,9 @@ benchmark's window hashes; it may let others pass, never the reverse, so the joi
 size of the benchmark. A document's position in the table is its row's id; rows that share an id are
 one document.
 
+An item's first window is searched with both readings of a capitalised first word, sentence start and
+name, as a quotation may follow a colon or a comma.
+
 Items of fewer than `width` template tokens are matched as one window of their own length; items of
 fewer than MIN_TOKENS tokens, or windows with fewer than MIN_WORDS words outside placeholders, are
 too common to tell and are not searched. Null or empty texts match nothing; rows with a null id are
@@ -44,7 +47,10 @@ MIN_SHARE = 0.3
 PASSAGE = 50  # tokens in a row, each in a matched window of one alignment, that are a leak of any item
 CACHE_WORDS = 200_000
 
-TOKEN = re.compile(r"\d+(?:[.,:/]\d+)*|[^\W\d_]+(?:['’][^\W\d_]+)*|[.!?\n]|[%$€£°]")
+#: Scripts written without spaces (Thai to Lao, Myanmar, Khmer, kana, Han): every character is a token.
+UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+LETTER = rf"[^\W\d_{UNSPACED}]"
+TOKEN = re.compile(rf"\d+(?:[.,:/]\d+)*|{LETTER}+(?:['’]{LETTER}+)*|[{UNSPACED}]|[.!?\n]|[%$€£°]")
 WORD, NUMBER, CAPITAL, STOP, UNIT = range(5)
 UNITS = frozenset(
     """% $ € £ ° percent dollar dollars cent cents euro euros pound pounds km kilometer kilometers kilometre kilometres
@@ -85,7 +91,7 @@ class Templates:
 
     def tokens(self, texts: list[str]):
         """All texts laid end to end, sentence ends left out: template codes, codes of the words as
-        they stand, which are placeholders, the text of each token, and the texts' token counts."""
+        they stand, which are placeholders, which are capitalised, the text of each token, and the texts' token counts."""
         parts = [TOKEN.findall(t) for t in texts]
         here = set().union(*parts)
         if len(self.known) > CACHE_WORDS:
@@ -103,7 +109,7 @@ class Templates:
             template[slot & (kind == k)] = code
         real = kind != STOP
         owner = np.repeat(np.arange(len(texts)), sizes)[real]
-        return template[real], raw[real], slot[real], owner, np.bincount(owner, minlength=len(texts))
+        return template[real], raw[real], slot[real], (kind == CAPITAL)[real], owner, np.bincount(owner, minlength=len(texts))
 
 
 def window_rows(texts: DataFrame, key: str, sizes: list[int], keep: np.ndarray | None, items: bool = False):
@@ -118,7 +124,7 @@ def window_rows(texts: DataFrame, key: str, sizes: list[int], keep: np.ndarray |
         templates = Templates()
         for batch, rows in text_slices(batches):
             keys = batch.column(key).to_numpy(zero_copy_only=False)
-            template, raw, slot, owner, counts = templates.tokens([t or "" for t in rows])
+            template, raw, slot, capital, owner, counts = templates.tokens([t or "" for t in rows])
             first = np.cumsum(counts) - counts
             words = np.concatenate([[0], np.cumsum(~slot)])
             for size in sizes:
@@ -131,11 +137,20 @@ def window_rows(texts: DataFrame, key: str, sizes: list[int], keep: np.ndarray |
                 start = np.flatnonzero(fits)
                 hashes = mix(window_codes(template, size) + U64(size)).astype(np.int64)[start]
                 total = np.bincount(owner[start], minlength=len(counts))
+                named = np.empty(0, np.int64)
+                if items:  # quoted inside a sentence, an item's first word is read as a name
+                    named = start[(start == first[owner[start]]) & capital[start] & ~slot[start]]
+                    other = template.copy()
+                    other[named] = PLACEHOLDER[CAPITAL]
+                    again = mix(window_codes(other, size) + U64(size)).astype(np.int64)[named]
+                    start, hashes = np.append(start, named), np.append(hashes, again)
                 if keep is not None:
                     some = in_bitmap(keep, hashes)
                     start, hashes = start[some], hashes[some]
                 text = owner[start]
                 slots = [raw[a : a + size][slot[a : a + size]].astype(np.int64) for a in start.tolist()]
+                for k, a in enumerate(named.tolist(), len(start) - len(named)):
+                    slots[k] = np.append(raw[a].astype(np.int64), slots[k])
                 yield pa.RecordBatch.from_pydict(
                     {
                         "key": pa.array(keys[text].astype(np.int64)),
