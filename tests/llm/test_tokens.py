@@ -40,6 +40,14 @@ def test_token_files_hold_the_library_s_ids(spark):
     assert sorted(map(tuple, found), key=lambda r: r[1]) == want
 
 
+def test_letters_that_compose_in_lower_case_only():
+    encoder, tokenizer = tokenfiles.WordEncoder(WORD_BPE), Tokenizer.from_file(WORD_BPE)
+    words = ["J\u030c", "H\u0331", "T\u0308", "W\u030a", "Y\u030a", "aJ\u030cB", "É", "E\u0301T"]
+    texts = [*words, "Some PLAIN " + " ".join(words) + " Words"]
+    want = [ids_of(tokenizer, t) for t in texts]
+    assert [np.frombuffer(x, encoder.dtype).tolist() for x in encoder.encode(texts)] == want
+
+
 def test_token_files_keep_ids_in_one_flat_sequence(spark):
     path = shared_path(spark, "tokens-test")
     data = [(k, prose(k, 30), None) for k in range(50)]

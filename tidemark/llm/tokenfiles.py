@@ -47,8 +47,13 @@ class WordEncoder:
 
     def words(self, text: str) -> list[bytes]:
         raw = text.encode()
-        # The tokenizer lowers case itself; only the spelling of its special strings matters.
-        return raw.split() if b"<|" in raw else raw.lower().split()
+        # The tokenizer lowers case itself, after composing letters; only the spelling of its special
+        # strings matters, and that of words with other characters, which may compose in one case only.
+        if b"<|" in raw:
+            return raw.split()
+        if raw.isascii():
+            return raw.lower().split()
+        return [w.lower() if w.isascii() else w for w in raw.split()]
 
     def learn(self, missing: set[bytes]) -> None:
         known, dtype, model, spelled = self.known, self.dtype, self.tokenizer.model, self.spelled
