@@ -17,7 +17,6 @@ from tidemark.session import shared_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 KINDS = "text string, lang string, source string, n_chars long"
-LEAST_SCORE = 0.5  # of the language found; und is below it
 ORACLE_SQL = None
 
 
@@ -28,10 +27,13 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language the network has learned, found with a fair score."""
+    """Documents for which a language is found; all of them if no label can be learned from."""
     bounded_batches(spark)
-    found = langid.languages(docs, is_training("doc_id", 5, 0), extra=KINDS)
-    return found.where(F.col("score") >= LEAST_SCORE).select(*COLUMNS)
+    training = is_training("doc_id", 5, 0)
+    net = langid.fit(*langid.training_rows(docs, training, langid.PER_LANGUAGE, langid.MAX_LANGUAGES))
+    if net is None:
+        return docs.select(*COLUMNS)
+    return langid.identify(docs, net, KINDS).where(F.col("lang_pred") != langid.UNKNOWN).select(*COLUMNS)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -43,6 +43,16 @@ def test_stages_keep_and_drop_what_they_should(spark, folder):
     assert ids.count() == len(kept["decontamination"])
 
 
+def test_language_stage_drops_only_texts_without_a_language(spark, folder):
+    stage = dict(corpus_pipeline.STAGES)["language"]
+    data = [(k, prose(k, 60), None) for k in range(5)] + [(6, "12 !!", None)]
+    assert stage(spark, documents(spark, data).select(*corpus_pipeline.COLUMNS), folder).count() == 6
+    # Many labels on one kind of text: no label gets a high score.
+    data = [(k, prose(k, 60), "abcdef"[k % 6]) for k in range(60)] + [(100, "12 !!", "a")]
+    kept = stage(spark, documents(spark, data).select(*corpus_pipeline.COLUMNS), folder).collect()
+    assert {r["doc_id"] for r in kept} == set(range(60))
+
+
 def test_stages_take_an_empty_table(spark, folder):
     docs = documents(spark, []).select(*corpus_pipeline.COLUMNS)
     for _, stage in corpus_pipeline.STAGES:
