@@ -169,6 +169,12 @@ def test_bit_table_and_rows_without_ids(spark):
     assert Counter(left) == Counter([2, 3, 4, 5, 6, 7, 8, None, None, 10, 11])
 
 
+def test_rows_of_one_id_and_different_texts_stay(spark):
+    docs = documents(spark, [(1, "a b", None), (1, "c d", None), (1, "a b", None), (2, "e", None)])
+    left = without_ids(docs, spark.createDataFrame([(2,)], "doc_id long"), once=True)
+    assert sorted((r["doc_id"], r["text"]) for r in left.collect()) == [(1, "a b"), (1, "c d")]
+
+
 def plain_hmm(model, sequence):
     """Likelihood and expected counts by summing over all state paths."""
     k, total = len(model.start), 0.0

@@ -173,7 +173,7 @@ def in_bitmap(words: np.ndarray, values: np.ndarray) -> np.ndarray:
 def without_ids(docs: DataFrame, ids: DataFrame, once: bool = False) -> DataFrame:
     """Rows of `docs` whose doc_id is not in `ids`; rows with a null id stay.
 
-    With `once`, a doc_id that several rows share stays in one of them. A bit table of fixed size
+    With `once`, rows that share a doc_id and a text stay once. A bit table of fixed size
     tells which rows cannot be concerned; only the others are shuffled.
     """
     concerned = ids.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id IS NOT NULL")
@@ -191,7 +191,7 @@ def without_ids(docs: DataFrame, ids: DataFrame, once: bool = False) -> DataFram
         return docs.mapInArrow(run, docs.schema)
 
     unsure = part(True).join(concerned.distinct(), "doc_id", "anti").select(*docs.columns)
-    return part(False).unionAll(unsure.dropDuplicates(["doc_id"]) if once else unsure)
+    return part(False).unionAll(unsure.dropDuplicates(["doc_id", "text"]) if once else unsure)
 
 
 def like(batch: pa.RecordBatch, **columns) -> pa.RecordBatch:
