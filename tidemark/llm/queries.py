@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from tidemark.llm import bpe, decontam, hmm, langid, neardup, quality, tokencount, tokenfiles, toxicity, warc
+from tidemark.llm import bpe, decontam, hmm, langid, neardup, quality, resample, tokencount, tokenfiles, toxicity, warc
 from tidemark.llm.common import is_remainder, is_training, table
 
 QUERIES = {}
@@ -76,3 +76,8 @@ def op10_toxicity(spark, sf_dir):
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     found = toxicity.score(docs, toxicity.fit(docs, labels, is_training("doc_id", 5, 0)))
     return found.withColumn("held_out", is_remainder("doc_id", 5, 0))
+
+
+@query("op13_resampling", resample.SQL)
+def op13_resampling(spark, sf_dir):
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
