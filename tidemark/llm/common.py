@@ -135,6 +135,23 @@ def word_codes(words: list, cache: dict) -> np.ndarray:
     return np.fromiter(map(cache.__getitem__, words), U64, len(words))
 
 
+class WordCodes:
+    """Stable 64-bit codes of words (bytes); all are forgotten once they take more than `limit` bytes."""
+
+    def __init__(self, limit: int = 24 << 20):
+        self.limit, self.size, self.known = limit, 0, {}
+
+    def of(self, words: list) -> np.ndarray:
+        import xxhash
+
+        if self.size > self.limit:
+            self.size, self.known = 0, {}
+        missing = set(words).difference(self.known)
+        self.known.update((w, xxhash.xxh64_intdigest(w)) for w in missing)
+        self.size += sum(len(w) + 150 for w in missing)
+        return np.fromiter(map(self.known.__getitem__, words), U64, len(words))
+
+
 def window_codes(codes: np.ndarray, width: int) -> np.ndarray:
     """One code per window of `width` consecutive codes, in order of the windows."""
     n = len(codes) - width + 1

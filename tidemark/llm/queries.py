@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from tidemark.llm import bpe, decontam, hmm, langid, neardup, quality, resample, tokencount, tokenfiles, toxicity, warc
+from tidemark.llm import bpe, decontam, divergence, hmm, langid, neardup, ngramjoin, quality, resample, tokencount, tokenfiles, toxicity, warc
 from tidemark.llm.common import is_remainder, is_training, table
 
 QUERIES = {}
@@ -78,6 +78,16 @@ def op10_toxicity(spark, sf_dir):
     return found.withColumn("held_out", is_remainder("doc_id", 5, 0))
 
 
+@query("op11_ngram_join")
+def op11_ngram_join(spark, sf_dir):
+    return ngramjoin.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@query("op12_divergence", divergence.SQL)
+def op12_divergence(spark, sf_dir):
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
 @query("op13_resampling", resample.SQL)
 def op13_resampling(spark, sf_dir):
     return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
