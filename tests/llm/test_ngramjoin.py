@@ -103,7 +103,8 @@ def test_prefixes_and_bounds_are_exact():
             least = next(c for c in range(x + y, -1, -1) if 100 * (c - 1) < 85 * (x + y - c + 1))
             assert ngramjoin.least_overlap(x, y) == least
             if least <= x:  # such a link is possible
-                assert ngramjoin.prefix_sizes(x)[1] >= x - least + 1 and ngramjoin.prefix_sizes(y)[0] >= y - least + 1
+                assert ngramjoin.prefix_size(x) >= x - least + 1 and ngramjoin.prefix_size(y) >= y - least + 1
+                assert ngramjoin.reachable(x, y, least) and ngramjoin.reachable(y, x, least) and not ngramjoin.reachable(x, y, least - 1)
 
 
 def test_words_are_forgotten_by_bytes():

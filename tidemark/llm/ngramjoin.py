@@ -12,13 +12,15 @@ typical node of that bucket, are verified exactly, and verified links make first
 size form groups of at most about GROUP_TOKENS shingles; a node linked with nothing so far is a group by itself. For
 every group the union of its members' shingles is stored.
 
-Matrix. Two sets that link share a shingle among the first |x| - ceil(0.85 |x|) + 1 of either, and of the smaller set
-among the first |x| - ceil(1.7 |x| / 1.85) + 1. The token-group matrix has a row for each shingle that such prefixes of
-a group's members hold, with the sizes of these members; shingles that only one component holds are left out, as a component
-needs no more links within itself. Queries are the nodes' prefixes; of two components the smaller one asks. A query that
-meets a group is held against the group's token union: a member of size s can only link if the query shares at
-least 85 (|x| + s) / 185 shingles with the union. Only groups that reach the bound for their least size are opened, and
-their members compared exactly; one link between a query and a group is enough, as the group is one component.
+Matrix. Two sets that link share a shingle among the first |x| - ceil(0.85 |x|) + 1 of either, and from the first one
+they share at least 85 (|x| + |y|) / 185 shingles of both must follow. The token-group matrix has a row for each shingle that such
+prefixes of a group's members hold, with the sizes of these members and how much of them follows; shingles that only one
+component holds are left out, as a component needs no more links within itself. Queries are the nodes' prefixes; of two
+components the smaller one asks. A query that meets a group is held against the group's token union: a member of size s can
+only link if the query shares at least 85 (|x| + s) / 185 shingles with the union. The union is first a bit table of fixed
+size, which no shingle of the union is missing from, and for groups that pass it the union itself. Only groups that reach
+the bound for their least size are opened, and their members compared exactly; one link between a query and a group is
+enough, as the group is one component.
 
 So every pair of different components is linked or excluded by exact bounds; the minimum hashes only decide how little is left to the
 matrix. A cluster whose texts are alike but not linked by any path costs queries x groups.
@@ -48,6 +50,7 @@ SLOTS, CHUNK = 1 << 20, 1 << 14
 KEYS = 6  # buckets of a node; each agrees in two minimum hashes
 LEAST_AGREEMENT = 7  # of the 2 * KEYS minimum hashes, before the two sets are fetched
 GROUP_TOKENS = 1 << 15
+BITS = 4096  # of the bit table of a set or union
 SEEDS = np.arange(1, 2 * KEYS + 1, dtype=U64) * U64(0x9E3779B97F4A7C15)
 
 
@@ -99,9 +102,9 @@ def slot_classes(docs: DataFrame) -> np.ndarray:
     return np.minimum(4 * np.log2(out + 1), 255).astype(np.uint8)
 
 
-def prefix_sizes(n: int) -> tuple[int, int]:
-    """How many of the rarest shingles a link must meet: for any set, and for the smaller one of a link."""
-    return n - -(-SHARE * n // 100) + 1, n - -(-2 * SHARE * n // (100 + SHARE)) + 1
+def prefix_size(n: int) -> int:
+    """How many of a set's rarest shingles a link must meet one of."""
+    return n - -(-SHARE * n // 100) + 1
 
 
 def least_overlap(n, other):
@@ -124,7 +127,7 @@ def signatures(docs: DataFrame, classes: np.ndarray) -> DataFrame:
                         column.append(None)
                     continue
                 cls = classes[codes % U64(SLOTS)]
-                rare = np.argsort(cls, kind="stable")[: prefix_sizes(len(codes))[0]]  # codes ascend within a class
+                rare = np.argsort(cls, kind="stable")[: prefix_size(len(codes))]  # codes ascend within a class
                 digests.append(hashlib.md5(codes.tobytes()).digest())
                 prefixes.append(codes[rare].view(np.int64))
                 hashes.append(np.array([mix(codes + s).min() for s in SEEDS]).view(np.int64))
@@ -143,8 +146,8 @@ def signatures(docs: DataFrame, classes: np.ndarray) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, kind)
 
 
-def sets_of(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, rows: int) -> DataFrame:
-    """(node, n, codes) of the wanted nodes, from their texts.
+def sets_of(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, rows: int, bits: bool = False) -> DataFrame:
+    """(node, n, codes) of the wanted nodes, from their texts; with `bits`, the bit table of the codes in their place.
 
     A bit table of fixed size drops most other documents before they are cut into shingles.
     """
@@ -160,7 +163,7 @@ def sets_of(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, rows: int) ->
                     "doc_id": batch["doc_id"],
                     "digest": pa.array([hashlib.md5(s.tobytes()).digest() for s in sets], pa.binary()),
                     "n": pa.array([len(s) for s in sets], pa.int64()),
-                    "codes": pa.array([s.tobytes() for s in sets], pa.binary()),
+                    "codes": pa.array([(bit_table(s) if bits else s).tobytes() for s in sets], pa.binary()),
                 }
             )
 
@@ -223,9 +226,9 @@ def star_pairs(nodes: DataFrame) -> DataFrame:
 
 
 def in_groups(nodes: DataFrame, labels: DataFrame) -> DataFrame:
-    """(node, n, prefix, comp, part, weight): components cut into groups by size class and number of shingles."""
+    """(node, n, comp, part, weight, prefix): components cut into groups by size class and number of shingles."""
     placed = (
-        nodes.select("node", "n", "prefix").join(labels, "node", "left").withColumn("comp", F.coalesce("label", "node")).drop("label")
+        nodes.select("node", "n").join(labels, "node", "left").withColumn("comp", F.coalesce("label", "node")).drop("label")
         .withColumn("kind", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / SHARE))))
     )
     sizes = placed.groupBy("comp", "kind").agg(F.ceil(F.sum("n") / GROUP_TOKENS).alias("parts"), F.count("*").alias("m"))
@@ -233,18 +236,21 @@ def in_groups(nodes: DataFrame, labels: DataFrame) -> DataFrame:
     return (
         placed.join(sizes.drop("m"), ["comp", "kind"]).join(weights, "comp")
         .withColumn("part", F.shiftleft("kind", 40) + F.pmod(F.xxhash64("node"), F.col("parts")))
-        .select("node", "n", "prefix", "comp", "part", "weight")
+        .select("node", "n", "comp", "part", "weight").join(nodes.select("node", "prefix"), "node")
     )
 
 
 def shared_tokens(members: DataFrame) -> DataFrame:
-    """(token, node, n, tight, comp, part, weight) for the prefix shingles that more than one component holds."""
+    """(token, node, n, rest, comp, part, weight) for the prefix shingles that more than one component holds.
+
+    `rest` is the number of the node's shingles from this one on.
+    """
     held = members.select("comp", F.explode("prefix").alias("token")).groupBy("token").agg(
         F.min("comp").alias("low"), F.max("comp").alias("high")
     )
     several = via_table(held.where("low < high").select("token"), "tokens")
     keep = bitmap(several, "token")
-    kind = "token long, node long, n long, tight boolean, comp long, part long, weight long"
+    kind = "token long, node long, n long, rest long, comp long, part long, weight long"
 
     def run(batches):
         for batch in batches:
@@ -253,12 +259,12 @@ def shared_tokens(members: DataFrame) -> DataFrame:
             lengths = np.diff(prefix.offsets.to_numpy())
             row = np.repeat(np.arange(len(lengths)), lengths)
             place = np.arange(len(token)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-            tight = np.array([prefix_sizes(n)[1] for n in batch["n"].to_pylist()], np.int64)
             hit = np.flatnonzero(in_bitmap(keep, token))
             rest = batch.select(["node", "n", "comp", "part", "weight"]).take(pa.array(row[hit]))
+            follow = rest["n"].to_numpy() - place[hit]
             yield pa.RecordBatch.from_pydict(
                 {
-                    "token": pa.array(token[hit]), "node": rest["node"], "n": rest["n"], "tight": pa.array(place[hit] < tight[row[hit]]),
+                    "token": pa.array(token[hit]), "node": rest["node"], "n": rest["n"], "rest": pa.array(follow, pa.int64()),
                     "comp": rest["comp"], "part": rest["part"], "weight": rest["weight"],
                 }
             )
@@ -269,14 +275,55 @@ def shared_tokens(members: DataFrame) -> DataFrame:
 def candidates(probes: DataFrame) -> DataFrame:
     """(node, comp, part): queries and the groups of other components that their prefixes meet in the matrix."""
     matrix = probes.groupBy("token", "comp", "part").agg(
-        F.min("n").alias("low"), F.max("n").alias("high"), F.max("weight").alias("weight"),
-        F.max("tight").alias("tight"), F.min(F.when(F.col("tight"), F.col("n"))).alias("tight_low"),
-    )
-    asked = probes.select("token", "node", F.col("n").alias("x"), F.col("tight").alias("x_tight"), F.col("comp").alias("own"), F.col("weight").alias("own_weight"))
+        F.min("n").alias("low"), F.max("n").alias("high"), F.max("weight").alias("weight"), F.max("rest").alias("follow")
+    )
+    asked = probes.select("token", "node", F.col("n").alias("x"), "rest", F.col("comp").alias("own"), F.col("weight").alias("own_weight"))
     smaller = F.struct("own_weight", "own") < F.struct("weight", "comp")
     sizes = (100 * F.col("x") >= SHARE * F.col("low")) & (100 * F.col("high") >= SHARE * F.col("x"))
-    tight = (F.col("x_tight") & (F.col("high") >= F.col("x"))) | (F.col("tight") & (F.col("tight_low") <= F.col("x")))
-    return asked.join(matrix, "token").where(smaller & sizes & tight).select("node", "comp", "part").distinct()
+    least = F.greatest("low", F.ceil(SHARE * F.col("x") / 100))  # the smallest member that can link
+    enough = (100 + SHARE) * F.least("rest", "follow") >= SHARE * (F.col("x") + least)
+    return asked.join(matrix, "token").where(smaller & sizes & enough).select("node", "comp", "part").distinct()
+
+
+def bit_table(codes: np.ndarray) -> np.ndarray:
+    out = np.zeros(BITS, bool)
+    out[(codes % U64(BITS)).astype(np.int64)] = True
+    return np.packbits(out)
+
+
+def reachable(n: np.ndarray, low: np.ndarray, overlap: np.ndarray) -> np.ndarray:
+    """Whether queries of n shingles that share at most `overlap` with a union can link with a member of `low` or more."""
+    return overlap >= least_overlap(n, np.maximum(low, -(-SHARE * n // 100)))
+
+
+def likely(asked: DataFrame, members: DataFrame, docs: DataFrame, nodes: DataFrame, rows: int) -> DataFrame:
+    """The (node, comp, part) that the bit tables of query and token union leave: a bit of the query that the union
+    lacks is a shingle that it lacks."""
+    groups = asked.select("comp", "part").distinct()
+    inside = members.select("node", "n", "comp", "part").join(groups, ["comp", "part"])
+    wanted = asked.select("node").unionAll(inside.select("node"))
+    tables = sets_of(docs, nodes, wanted, rows, bits=True)
+
+    def unite(batches):
+        for batch in batches:
+            unions = [np.bitwise_or.reduce(np.frombuffer(b"".join(t.as_py()), np.uint8).reshape(-1, BITS // 8)).tobytes() for t in batch["tables"]]
+            yield pa.RecordBatch.from_pydict({**{c: batch[c] for c in ("comp", "part", "low")}, "union": pa.array(unions, pa.binary())})
+
+    gathered = inside.join(tables.select("node", "codes"), "node").groupBy("comp", "part").agg(
+        F.min("n").alias("low"), F.collect_list("codes").alias("tables")
+    )
+    unions = gathered.mapInArrow(unite, "comp long, part long, low long, union binary")
+
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                x, union = (np.frombuffer(b"".join(batch[c].to_pylist()), np.uint8).reshape(batch.num_rows, -1) for c in ("codes", "union"))
+                n, low = batch["n"].to_numpy(), batch["low"].to_numpy()
+                kept = reachable(n, low, n - np.bitwise_count(x & ~union).sum(1, dtype=np.int64))
+                yield batch.select(["node", "comp", "part"]).filter(pa.array(kept))
+
+    joined = asked.join(tables, "node").join(unions, ["comp", "part"])
+    return joined.select("node", "comp", "part", "n", "low", "codes", "union").mapInArrow(run, "node long, comp long, part long")
 
 
 def grouped_sets(members: DataFrame, wanted: DataFrame, sets: DataFrame) -> DataFrame:
@@ -312,7 +359,7 @@ def qualifying(asked: DataFrame, groups: DataFrame, sets: DataFrame) -> DataFram
             kept = []
             for x, union, low in zip(batch["codes"], batch["union"], batch["low"].to_pylist(), strict=True):
                 x = codes_of(x)
-                kept.append(shared(x, codes_of(union)) >= least_overlap(len(x), max(low, -(-SHARE * len(x) // 100))))
+                kept.append(bool(reachable(len(x), low, shared(x, codes_of(union)))))
             yield batch.select(["node", "comp", "part"]).filter(pa.array(kept, pa.bool_()))
 
     rows = asked.join(sets.select("node", "codes"), "node").join(groups.select("comp", "part", "low", "union"), ["comp", "part"])
@@ -351,6 +398,7 @@ def connected(docs: DataFrame, nodes: DataFrame, n_nodes: int) -> DataFrame:
     n_asked = asked.count()
     if not n_asked:
         return labels
+    asked = via_table(compact(likely(asked, members, docs, nodes, n_asked), n_asked, waves=2), "likely")
     inside = members.join(asked.select("comp", "part").distinct(), ["comp", "part"]).select("node")
     sets = sets_of(docs, nodes, asked.select("node").unionAll(inside), n_asked)
     groups = grouped_sets(members, asked, sets)
