@@ -139,14 +139,11 @@ def scatter(term: np.ndarray, group: np.ndarray, p: np.ndarray, base: np.ndarray
 
 def shared_corrections(postings: DataFrame) -> DataFrame:
     """(lang, g, h, value) of every two groups that share terms, one row per block."""
-    sizes = (
-        postings.groupBy("lang", "term").agg(F.count("*").cast("double").alias("m"))
-        .groupBy("lang").agg(F.ceil(F.sum(F.col("m") * (F.col("m") / BLOCK_PAIRS + 1 / BLOCK_ROWS))).cast("int").alias("blocks"))
-    )
-    dealt = (
-        postings.join(sizes, "lang")
-        .withColumn("block", F.pmod(F.xxhash64("term"), F.col("blocks")).cast("int"))
-        .withColumn("part", F.explode(F.expr(f"sequence(0, cast((groups - 1) div {PEERS} as int))")))
+    dealt = postings.withColumns(
+        {
+            "block": F.pmod(F.xxhash64("term"), F.col("blocks")).cast("int"),
+            "part": F.explode(F.expr(f"sequence(0, cast((groups - 1) div {PEERS} as int))")),
+        }
     )
     blocks = dealt.groupBy("lang", "block", "part").agg(
         F.first("groups").alias("groups"), F.collect_list(F.struct("term", "g", "p", "base")).alias("rows")
@@ -218,7 +215,14 @@ def divergence(docs: DataFrame, least_docs: int = LEAST_DOCS, top: int = TOP_TER
     )
     kept = via_table(kept, "kept")
     rows = via_table(counted.join(kept, ["lang", "term"]).select("lang", "source", "term", "n", "all_n"), "rows")
-    langs = kept.groupBy("lang").agg(F.count("*").alias("terms"), F.sum("all_n").alias("lang_total"))
+    m = F.col("m").cast("double")
+    langs = (
+        rows.groupBy("lang", "term").agg(F.count("*").alias("m"), F.first("all_n").alias("all_n")).groupBy("lang")
+        .agg(
+            F.count("*").alias("terms"), F.sum("all_n").alias("lang_total"),
+            F.ceil(F.sum(m * (m / BLOCK_PAIRS + 1 / BLOCK_ROWS))).cast("int").alias("blocks"),
+        )
+    )
     totals = rows.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count("*").alias("used"))
     zero = F.lit(0).cast("long")
     # Groups of a language are numbered in one window: the result has a row for every two of them anyway.
@@ -226,7 +230,7 @@ def divergence(docs: DataFrame, least_docs: int = LEAST_DOCS, top: int = TOP_TER
     groups = (
         counted.where("term IS NULL").select("lang", "source")
         .join(totals, ["lang", "source"], "left").join(langs, "lang", "left")
-        .select("lang", "source", *[F.coalesce(c, zero).alias(c) for c in ("total", "used", "terms", "lang_total")])
+        .select("lang", "source", "blocks", *[F.coalesce(c, zero).alias(c) for c in ("total", "used", "terms", "lang_total")])
         .withColumns({"g": number, "groups": F.count("*").over(Window.partitionBy("lang"))})
         .withColumn("base", F.expr(f"CASE WHEN terms > 0 THEN {share('0L', 'total', 'terms')} ELSE 0L END"))
     )
@@ -235,7 +239,7 @@ def divergence(docs: DataFrame, least_docs: int = LEAST_DOCS, top: int = TOP_TER
         rows.join(groups, ["lang", "source"])
         .withColumns({"p": F.expr(share("n", "total", "terms")), "q": F.expr(share("all_n", "lang_total", "terms"))})
     )
-    shares = via_table(shares.select("lang", "source", "term", "g", "groups", "base", "p", "q"), "shares")
+    shares = via_table(shares.select("lang", "source", "term", "g", "groups", "blocks", "base", "p", "q"), "shares")
     values = shared_corrections(shares.drop("source", "q")).unionAll(against_baselines(groups, shares))
     sums = values.groupBy("lang", "g", "h").agg(F.sum("value").alias("value"))
     pairs = sums.select(
