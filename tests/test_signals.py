@@ -112,9 +112,25 @@ def test_banks_follow_length_and_rate(spark):
     data = [(k, rate, RNG.normal(size=n).tolist()) for k, (n, rate) in enumerate([(64, 64.0), (40, 64.0), (64, 100.0), (40, 8000.0)])]
     rows = spark.createDataFrame(data, "rec_id bigint, sample_rate double, samples array<double>")
     spectra = rows.withColumn("mags", signals.magnitudes("samples"))
-    got = values(spectra, across.by_shape(spectra, "mags", "sample_rate", signals.mfcc))
+    got = values(spectra, signals.cepstra()(F.col("mags"), F.col("sample_rate")))
     for k, rate, x in data:
         mags = np.abs(np.fft.rfft(x))
         bank = np.array(signals.mel_bank(len(mags), rate, 13))
         want = np.array(signals.cosine_rows(5, 13)) @ np.log(np.maximum(bank @ mags**2, 1e-12))
         assert got[k] == pytest.approx(list(want))
+
+
+def test_a_thousand_lengths_and_missing_rates(spark):
+    data = [(k, 44100.0 + k % 3, RNG.normal(size=20 + k).tolist()) for k in range(1000)]
+    data += [(2000, None, [1.0] * 30), (2001, 8000.0, []), (2002, 8000.0, None), (2003, 8000.0, [1.0])]
+    rows = spark.createDataFrame(data, "rec_id bigint, sample_rate double, samples array<double>")
+    spectra = rows.withColumn("mags", signals.magnitudes("samples"))
+    cepstra = values(spectra, signals.cepstra()(F.col("mags"), F.col("sample_rate")))
+    tones = values(spectra, signals.constant_qs()(F.col("mags"), F.col("sample_rate")))
+    for k, rate, x in data[:1000:97]:
+        mags = np.abs(np.fft.rfft(x))
+        bank = np.array(signals.mel_bank(len(mags), rate, 13))
+        assert np.allclose(signals.mel_matrix(len(mags), rate, 13), bank)
+        assert cepstra[k] == pytest.approx(list(np.array(signals.cosine_rows(5, 13)) @ np.log(np.maximum(bank @ mags**2, 1e-12))))
+        assert tones[k] == pytest.approx(list(np.array(signals.constant_q_kernel(len(mags), 2.0, 3, 12)) @ mags))
+    assert all(cepstra[k] is None for k in range(2000, 2004)) and len(cepstra) == 1004

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.sql import functions as F
 
 from tidemark.catalog.registry import query
 from tidemark.functions import scalar
 from tidemark.operators import evaluate
 from tidemark.operators.relational import stratified_folds
-from tidemark.plans import classify, cluster
+from tidemark.plans import classify, cluster, discretize, pruning
 from tidemark.session import shared_path, via_table
 from tidemark.sources.tables import descriptors, documents, table
 
@@ -96,6 +97,20 @@ def tree_classify(spark, folder):
     return evaluate.confusion_counts(scored.select("label", "prediction"))
 
 
+@query("tree_pruned")
+def tree_pruned(spark, folder):
+    """The tree over supervised cuts, pruned: confusion counts of the held-out rows, and leaves before and after."""
+    rows, classes = prepared(spark, folder)
+    train, test = parts(rows)
+    cuts = discretize.supervised_cuts(train, len(classes), WIDTH)
+    grown = classify.Discretized(cuts, max(map(len, cuts)) + 1, hot=False)
+    tree = DecisionTreeClassifier(impurity="entropy", maxDepth=12, seed=1).fit(grown.prepare(train))
+    grown.model = tree
+    small = pruning.prune(grown, tree, train, len(classes))
+    counts = evaluate.confusion_counts(small.transform(test).select("label", "prediction"))
+    return counts.withColumns({"leaves": F.lit(len(small.answers)), "pruned_leaves": F.lit(small.leaves)})
+
+
 @query("rf_grid")
 def rf_grid(spark, folder):
     """All trials with error and confusion counts; the best one's parameters are fitted again and tested."""

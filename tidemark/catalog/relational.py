@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.catalog.registry import query
-from tidemark.functions import scalar
+from tidemark.functions import scalar, sqlnames
 from tidemark.functions.text import path_id, path_label
-from tidemark.operators import evaluate, graph, ordered, relational
+from tidemark.operators import counted, evaluate, graph, ordered, relational, sketches
 from tidemark.session import via_table
-from tidemark.sources.tables import RATINGS_SQL, friend_links, rating_value, ratings, table
+from tidemark.sources.tables import POSTS_SQL, RATINGS_SQL, friend_links, posts, rating_value, ratings, table
 
 # --- ratings and their split ------------------------------------------------
 
@@ -534,3 +534,55 @@ def user_letter_id(spark, folder):
     parts = table(spark, folder, "part")
     names = parts.select(F.explode(F.array("p_name", "p_brand", F.col("p_size").cast("string"))).alias("name"))
     return names.groupBy(letter_number(F.col("name")).alias("user_id")).agg(F.count("*").alias("n"))
+
+
+@query(
+    "distinct_sketches",
+    """SELECT year(o_orderdate) AS year, count(*) AS n_orders, count(DISTINCT o_custkey) AS n_customers, true AS within
+    FROM orders GROUP BY 1""",
+)
+def distinct_sketches(spark, folder):
+    """Customers per year from sketches stored per day, within four standard errors of the exact number."""
+    orders = table(spark, folder, "orders").select(F.to_date("o_orderdate").alias("day"), "o_custkey")
+    days = via_table(sketches.distinct_sketches(orders, ["day"], ["o_custkey"]), "daily-sketches")
+    merged = sketches.union(days, [F.year("day").alias("year")], ["o_custkey"])
+    estimated = sketches.estimates(merged, ["o_custkey"])
+    exact = orders.groupBy(F.year("day").alias("year")).agg(F.count_distinct("o_custkey").alias("n_customers"))
+    off = F.abs(F.col("o_custkey") - F.col("n_customers"))
+    within = off <= F.greatest(F.lit(1.0), 4 * sketches.standard_error() * F.col("n_customers"))
+    return estimated.join(exact, "year").select("year", F.col("n_rows").alias("n_orders"), "n_customers", within.alias("within"))
+
+
+@query(
+    "dropped_counts",
+    r"""WITH n AS (SELECT unnest([p_name, p_brand, CAST(p_size AS VARCHAR)]) AS name FROM part),
+    v AS (SELECT len(list_filter(embedding, lambda x: x > 0.35)) AS k FROM embeddings)
+    SELECT (SELECT count(*) FROM n) AS captions, (SELECT count(*) FROM n WHERE NOT regexp_matches(name, '[a-zA-Z]')) AS captions_dropped,
+      (SELECT count(*) FROM v) AS images, (SELECT count(*) FROM v WHERE k = 0) AS images_dropped""",
+)
+def dropped_counts(spark, folder):
+    """Captions without a letter in their user's name and images without descriptors, counted while the rest is written."""
+    names = table(spark, folder, "part").select(F.explode(F.array("p_name", "p_brand", F.col("p_size").cast("string"))).alias("username"))
+    vectors = table(spark, folder, "embeddings").select(F.filter("embedding", lambda x: x > 0.35).alias("vec"))
+    captions, of_captions = counted.user_numbers(names)
+    images, of_images = counted.described(vectors)
+    via_table(captions, "captions")
+    via_table(images, "images")
+    row = [of_captions.get["rows"], of_captions.get["dropped"], of_images.get["rows"], of_images.get["dropped"]]
+    return spark.createDataFrame([row], "captions long, captions_dropped long, images long, images_dropped long")
+
+
+@query(
+    "sql_functions",
+    rf"""WITH {POSTS_SQL}, t AS (SELECT event_id, unnest(string_split(text, ' ')) AS token, generate_subscripts(string_split(text, ' '), 1) - 1 AS position FROM posts)
+    SELECT CAST(position AS INT) AS position, regexp_matches(token, '^\p{{L}}+$') AS word, regexp_replace(token, '[^a-zA-Z]', '', 'g') AS letters, count(*) AS n
+    FROM t GROUP BY ALL""",
+)
+def sql_functions(spark, folder):
+    """Tokens with their places and named functions, all called from SQL."""
+    sqlnames.register(spark)
+    posts(spark, folder).createOrReplaceTempView("posts_for_sql")
+    return spark.sql(
+        """SELECT position, is_word(token) AS word, letters_of(token) AS letters, count(*) AS n
+        FROM posts_for_sql, LATERAL words_of(text) GROUP BY ALL"""
+    )

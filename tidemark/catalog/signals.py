@@ -181,7 +181,7 @@ SELECT rec_id, {', '.join(f'round(max(v) FILTER (c = {i}), 5) AS mfcc{i}' for i
 @query("sig_mfcc", MEL_SQL)
 def sig_mfcc(spark, folder):
     found = shaped_spectra(spark, folder)
-    rows = found.select("rec_id", across.by_shape(found, "mags", "sample_rate", signals.mfcc).alias("c"))
+    rows = found.select("rec_id", signals.cepstra()(F.col("mags"), F.col("sample_rate")).alias("c"))
     return rows.select("rec_id", *spread(F.col("c"), 5, "mfcc"))
 
 
@@ -195,8 +195,7 @@ def sig_mfcc(spark, folder):
 )
 def sig_constant_q(spark, folder):
     found = shaped_spectra(spark, folder)
-    bank = across.by_shape(found, "mags", "sample_rate", lambda mags, n_bins, rate: signals.constant_q(mags, n_bins))
-    rows = found.select("rec_id", bank.alias("c"))
+    rows = found.select("rec_id", signals.constant_qs()(F.col("mags"), F.col("sample_rate")).alias("c"))
     return rows.select("rec_id", *spread(F.col("c"), 12, "q"))
 
 

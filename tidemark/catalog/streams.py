@@ -138,6 +138,20 @@ def stream_topk_messages(spark, folder):
     return windows.window_messages(current, "topic")
 
 
+@query(
+    "stream_closed_top",
+    top_sql(10, 2) + TOP + " AND window_end * 1000 <= (SELECT epoch_ms(max(ts)) FROM posts) - 600000",
+)
+def stream_closed_top(spark, folder):
+    """The top 10 of every window that the watermark has closed, written once as it closes."""
+    tags = text.hashtags(posts_stream(spark, folder).select("ts", "text"))
+    counts = windows.window_counts(tags, ["topic"], 10, 2, lateness="10 minutes")
+    path = shared_path(spark, "closed-top")
+    sinks.append_closed_top(counts, path, "closed-top", "topic")
+    schema = T.StructType([*counts.schema.fields, T.StructField("rank", T.LongType())])
+    return sinks.read_batches(spark, path, schema).drop("batch_id")
+
+
 @query("stream_score_text", NB_PREDICT_SQL)
 def stream_score_text(spark, folder):
     """Score documents as they arrive with a model trained beforehand and kept as tables."""

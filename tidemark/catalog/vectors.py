@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from tidemark.catalog.registry import query
 from tidemark.functions import vectors
-from tidemark.operators import neighbors
-from tidemark.plans import cluster
+from tidemark.operators import hashing, neighbors
+from tidemark.plans import classify, cluster, linkage, mixture
 from tidemark.session import via_table
-from tidemark.sources.tables import descriptors, table
+from tidemark.sources.tables import descriptors, documents, table
 
 # --- conversions -----------------------------------------------------------------
 
@@ -84,24 +86,64 @@ def knn_bruteforce(spark, folder):
     return found.withColumn("dist", F.round("dist", 6))
 
 
-PROBES = 24
+def probes(n: int) -> int:
+    """A twelfth of the cells, of which there are about as many as the square root of the rows."""
+    return max(1, math.isqrt(n) // 12)
+
+
+def letter_vectors(spark, folder):
+    """(id, vec): the letter shares of every document."""
+    docs = documents(spark, folder)
+    rows = classify.with_letter_shares(docs).select(F.col("doc_id").alias("id"), "vec")
+    return via_table(rows, "letter-vectors")
+
+
+def recall(exact, found):
+    """(n, recall) of the approximate neighbors: a neighbor at the exact distance is right."""
+    best = exact.select("query", F.col("dist").alias("least"))
+    right = F.coalesce(F.col("dist") <= F.col("least") * (1 + 1e-9) + 1e-12, F.lit(False)).cast("int")
+    return best.join(found.select("query", "dist"), "query", "left").agg(F.count("*").alias("n"), F.avg(right).alias("recall"))
 
 
 @query("knn_approx")
 def knn_approx(spark, folder):
-    """As above from a fixed number of cells per query."""
-    rows = embedded(spark, folder)
-    return neighbors.knn_approx(rows, rows, k=1, probes=PROBES, exclude_self=True)
+    """The nearest other document by letter shares, from a twelfth of the cells per query."""
+    rows = letter_vectors(spark, folder)
+    return neighbors.knn_approx(rows, rows, k=1, probes=probes(rows.count()), exclude_self=True)
+
+
+ASKED_SQL = "SELECT count(*) AS n, true AS enough FROM documents WHERE doc_id % 20 = 0"
 
 
-@query("knn_approx_recall", "SELECT count(*) AS n, true AS enough FROM embeddings")
+@query("knn_approx_recall", ASKED_SQL)
 def knn_approx_recall(spark, folder):
-    """Whether the approximate neighbors reach a recall of 0.9 against the exact ones."""
-    rows = embedded(spark, folder)
-    exact = neighbors.knn_join(rows, rows, k=1, exclude_self=True).select("query", F.col("neighbor").alias("true"))
-    found = knn_approx(spark, folder).select("query", "neighbor")
-    hit = F.coalesce(F.col("neighbor") == F.col("true"), F.lit(False)).cast("int")
-    return exact.join(found, "query", "left").agg(F.count("*").alias("n"), (F.avg(hit) >= 0.9).alias("enough"))
+    """Whether a twelfth of the cells holds the nearest document for nine of ten queries (every twentieth document)."""
+    rows = letter_vectors(spark, folder)
+    asked = rows.where("id % 20 = 0")
+    exact = neighbors.knn_join(asked, rows, k=1, exclude_self=True)
+    found = neighbors.knn_approx(asked, rows, k=1, probes=probes(rows.count()), exclude_self=True)
+    return recall(exact, found).select("n", (F.col("recall") >= 0.9).alias("enough"))
+
+
+@query("knn_lsh")
+def knn_lsh(spark, folder):
+    """The nearest other document by letter shares, from hash tables."""
+    rows = letter_vectors(spark, folder)
+    return hashing.knn_lsh(rows, rows, k=1, exclude_self=True)
+
+
+@query("knn_lsh_recall", ASKED_SQL.replace("enough", "enough, true AS few"))
+def knn_lsh_recall(spark, folder):
+    """Whether the hash tables find the nearest document for nine of ten queries (every twentieth document), and
+    compare less than a tenth of all pairs where there are 2,000 documents or more."""
+    rows = letter_vectors(spark, folder)
+    asked = rows.where("id % 20 = 0")
+    exact = neighbors.knn_join(asked, rows, k=1, exclude_self=True)
+    found = recall(exact, hashing.knn_lsh(asked, rows, k=1, exclude_self=True))
+    pairs = hashing.compared(asked, rows).scalar()
+    n = rows.count()
+    few = (F.lit(n) < 2000) | (pairs < F.col("n") * F.lit(n) / 10)
+    return found.select("n", (F.col("recall") >= 0.9).alias("enough"), few.alias("few"))
 
 
 @query(
@@ -176,6 +218,39 @@ def bisecting_hierarchy(spark, folder):
     return cluster.cluster_report(cluster.fit_bisecting(rows, 4), rows)
 
 
+@query("gmm_svd")
+def gmm_svd(spark, folder):
+    """Ten components over the line items, started along the principal directions."""
+    model, history = mixture.fit(measures(spark, folder), 10)
+    return mixture.report(spark, model, history)
+
+
+def customer_points(spark, folder):
+    customers = table(spark, folder, "customer").withColumnRenamed("c_custkey", "id")
+    return via_table(cluster.points(customers, ["c_acctbal", "c_nationkey"], "id"), "customers")
+
+
+@query("single_linkage")
+def single_linkage(spark, folder):
+    """The merges of the customers' single-linkage hierarchy, in order, with their heights."""
+    return linkage.merges(linkage.spanning_tree(customer_points(spark, folder)))
+
+
+@query(
+    "linkage_clusters",
+    """WITH RECURSIVE p AS (SELECT c_custkey AS id, c_acctbal AS x, c_nationkey AS y FROM customer),
+    near AS (SELECT a.id AS a, b.id AS b FROM p a JOIN p b ON abs(a.x - b.x) <= 4 AND abs(a.y - b.y) <= 4
+      AND sqrt(pow(a.x - b.x, 2) + pow(a.y - b.y, 2)) <= 4),
+    reach AS (SELECT a, b FROM near UNION SELECT r.a, n.b FROM reach r JOIN near n ON n.a = r.b)
+    SELECT a AS id, min(b) AS cluster, count(*) AS size FROM reach GROUP BY 1""",
+)
+def linkage_clusters(spark, folder):
+    """The clusters of that hierarchy at height 4."""
+    points = customer_points(spark, folder)
+    found = via_table(linkage.clusters(points, linkage.spanning_tree(points), 4.0), "linkage-clusters")
+    return found.join(found.groupBy("cluster").agg(F.count("*").alias("size")), "cluster").select("id", "cluster", "size")
+
+
 @query("gmm_features")
 def gmm_features(spark, folder):
     rows = measures(spark, folder)

@@ -229,6 +229,52 @@ def constant_q(mags, n_bins: int, low: float = 2.0, per_octave: int = 3, count:
     return times(constant_q_kernel(n_bins, low, per_octave, count), mags)
 
 
+def by_shape(mags: pd.Series, rate: pd.Series, one) -> pd.Series:
+    """`one(matrix, n_bins, rate)` on stacks of rows of one length and sample rate; null without two bins or a rate."""
+    lengths = mags.map(lambda x: 0 if x is None else len(x))
+    usable = (lengths > 1) & rate.notna() & (rate > 0)
+    out = pd.Series([None] * len(mags), index=mags.index, dtype=object)
+    for (n, hertz), rows in mags[usable].groupby([lengths[usable], rate[usable]]):
+        out.loc[rows.index] = pd.Series(list(one(np.stack(rows.to_list()).astype(float), n, hertz)), index=rows.index)
+    return out
+
+
+def mel_matrix(n_bins: int, rate: float, filters: int) -> np.ndarray:
+    """`mel_bank` for any number of bins, as a matrix."""
+    top = mel(rate / 2)
+    edges = np.array([700 * (10 ** (top * i / (filters + 1) / 2595) - 1) for i in range(filters + 2)])[:, None]
+    hertz = np.arange(n_bins)[None] * (rate / 2 / (n_bins - 1))
+    rising, falling = (hertz - edges[:-2]) / (edges[1:-1] - edges[:-2]), (edges[2:] - hertz) / (edges[2:] - edges[1:-1])
+    return np.maximum(0.0, np.minimum(rising, falling))
+
+
+def cepstra(filters: int = 13, count: int = 5):
+    """An expression of (spectrum, sample rate): `mfcc` for recordings of any lengths and rates, a batch at a time."""
+
+    @F.pandas_udf(T.ArrayType(T.DoubleType()))
+    def run(mags: pd.Series, rate: pd.Series) -> pd.Series:
+        cosines = np.array(cosine_rows(count, filters)).T
+
+        def one(rows, n, hertz):
+            return np.log(np.maximum(rows * rows @ mel_matrix(n, hertz, filters).T, FLOOR)) @ cosines
+
+        return by_shape(mags, rate, one)
+
+    return lambda mags, rate: run(mags, rate.cast("double"))
+
+
+def constant_qs(low: float = 2.0, per_octave: int = 3, count: int = 12):
+    """An expression of (spectrum, sample rate): `constant_q` for recordings of any lengths."""
+
+    @F.pandas_udf(T.ArrayType(T.DoubleType()))
+    def run(mags: pd.Series, rate: pd.Series) -> pd.Series:
+        mid = low * 2 ** (np.arange(count) / per_octave)[:, None]
+        half = np.maximum(mid * (2 ** (1 / per_octave) - 1), 1.0)
+        return by_shape(mags, rate, lambda rows, n, _: rows @ np.maximum(0.0, 1 - abs(np.arange(n)[None] - mid) / half).T)
+
+    return lambda mags, rate: run(mags, rate.cast("double"))
+
+
 def linear_prediction(samples, order: int) -> Column:
     """Coefficients that predict a sample from the `order` before it (autocorrelation method)."""
     lag = np.abs(np.subtract.outer(np.arange(order), np.arange(order)))

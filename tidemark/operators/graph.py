@@ -84,3 +84,25 @@ def mutual_friend_counts(links: DataFrame) -> DataFrame:
         F.sum("friend").alias("friend_sum"),
     )
     return pairs.join(shared, ["u1", "u2"], "left").na.fill(0, ["n_mutual", "friend_sum"])
+
+
+def components(links: DataFrame) -> DataFrame:
+    """(node, label): the least node that each node of links (a, b) is connected with.
+
+    A round takes the least label among a node's neighbors and then that label's own label, so labels travel
+    ever further; a round's result is a table, and the last one changes nothing.
+    """
+    turned = links.select(F.col("b").alias("a"), F.col("a").alias("b"))
+    both = via_table(links.select("a", "b").unionAll(turned).distinct(), "component-links")
+    labels = both.groupBy("a").agg(F.least(F.first("a"), F.min("b")).alias("label")).withColumnRenamed("a", "node")
+    labels = via_table(labels, "component-labels")
+    while True:
+        of = lambda c, name: labels.select(F.col("node").alias(c), F.col("label").alias(name))
+        near = both.join(of("b", "near"), "b").groupBy("a").agg(F.min("near").alias("near")).withColumnRenamed("a", "node")
+        low = labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("low"))
+        further = low.join(of("low", "further"), "low", "left")
+        moved = further.select("node", "old", F.least("low", F.coalesce("further", "low")).alias("label"))
+        moved = via_table(moved, "component-labels")
+        labels = moved.select("node", "label")
+        if moved.where("old <> label").isEmpty():
+            return labels

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.ordered import running_rank
+from tidemark.session import via_table
 
 SHUFFLE_PRIME = 1_000_003
 
@@ -51,15 +52,11 @@ def zipped(left: DataFrame, right: DataFrame, left_key: str, right_key: str) ->
 def catalog_product(items: DataFrame, brands: DataFrame, item: str, brand: str) -> DataFrame:
     """Number every item of every brand, brand by brand (seq, item, brand).
 
-    Both lists are keyword lists: they are ranked, and each item row is then repeated
-    once per brand position, which turns the product into an equi-join on the position.
+    Both lists are ranked by ranges, and each item row is then repeated once per brand position, which
+    turns the product into an equi-join on the position.
     """
-
-    def ranked(df, name, out):
-        listed = df.select(F.col(name)).distinct()
-        return listed.withColumn(out, F.row_number().over(Window.orderBy(name)).cast("bigint"))
-
-    left, right = ranked(items, item, "item_pos"), ranked(brands, brand, "brand_pos")
+    left = via_table(running_rank(items.select(item).distinct(), [], [item], "item_pos"), "items")
+    right = via_table(running_rank(brands.select(brand).distinct(), [], [brand], "brand_pos"), "brands")
     n_items = left.agg(F.max("item_pos")).scalar()
     n_brands = right.agg(F.max("brand_pos")).scalar()
     return (

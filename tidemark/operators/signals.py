@@ -30,24 +30,6 @@ def flux(spectra: DataFrame, key: str) -> DataFrame:
     return met.groupBy(key).agg(F.avg(F.when(F.col("_next").isNotNull(), signals.total(change))).alias("flux"))
 
 
-MAX_SHAPES = 256
-
-
-def by_shape(df: DataFrame, mags: str, rate: str, make) -> Column:
-    """An array made by `make(mags, n_bins, rate)` with constants fitting each row's length and sample rate.
-
-    Recordings come in few shapes; more than MAX_SHAPES of them are an error rather than a wrong constant.
-    """
-    shapes = df.select(F.size(mags).alias("n"), rate).distinct().limit(MAX_SHAPES + 1).collect()
-    if len(shapes) > MAX_SHAPES:
-        raise ValueError(f"more than {MAX_SHAPES} combinations of length and sample rate")
-    out = F.lit(None).cast("array<double>")
-    for n, hertz in sorted((r["n"], r[rate]) for r in shapes if r[rate] is not None and r["n"] > 1):
-        fits = (F.size(mags) == n) & (F.col(rate) == hertz)
-        out = F.when(fits, make(F.col(mags), n, hertz)).otherwise(out)
-    return out
-
-
 def area_moments(spectra: DataFrame, key: str) -> DataFrame:
     """(key, area, x_mean, y_mean, xy): moments of the frame-by-bin magnitude picture; null without samples."""
     bins = signals.bins(F.col("mags"))

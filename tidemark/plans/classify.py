@@ -52,9 +52,15 @@ def labelled(df: DataFrame, label: str, classes: list[str], vec: str = "vec") ->
     return df.withColumns({"label": index.cast("double"), "features": array_to_vector(vec)})
 
 
+MAX_CLASSES = 10_000
+
+
 def class_list(df: DataFrame, label: str) -> list[str]:
-    """Distinct labels in order; the class list is part of the model."""
-    return [row[0] for row in df.select(label).distinct().orderBy(label).collect()]
+    """Distinct labels in order; the class list is part of the model. More than MAX_CLASSES labels are an error."""
+    rows = df.select(label).distinct().orderBy(label).limit(MAX_CLASSES + 1).collect()
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"more than {MAX_CLASSES} classes")
+    return [row[0] for row in rows]
 
 
 def forest(trees: int = 10, subset: str = "auto", impurity: str = "gini", depth: int = 5, seed: int = 1):
@@ -123,7 +129,7 @@ def quantile_cuts(df: DataFrame, bins: int = 5, vec: str = "vec") -> list[list[f
 
 def binned(vec, cuts: list[list[float]]) -> Column:
     """Bin number of every coordinate, as array<double>."""
-    edges = F.array(*[F.array(*map(F.lit, c)) for c in cuts])
+    edges = F.array(*[F.array(*map(F.lit, c)).cast("array<double>") for c in cuts])
     return F.zip_with(vec, edges, lambda x, e: F.size(F.filter(e, lambda cut: cut < x)).cast("double"))
 
 

@@ -62,17 +62,17 @@ def mixture_report(model, vectors: DataFrame) -> DataFrame:
     return spark.createDataFrame(rows, "component int, weight double, mean array<double>, log_likelihood double")
 
 
+MAX_CENTERS = 100_000  # a codebook is known to every task
+
+
 def label_centers(vectors: DataFrame, label: str) -> list[list[float]]:
-    """Mean vector per label, in label order: one small row per label."""
-    means = (
-        vectors.select(label, F.posexplode("vec").alias("i", "x"))
-        .groupBy(label, "i")
-        .agg(F.avg("x").alias("m"))
-        .groupBy(label)
-        .agg(F.array_sort(F.collect_list(F.struct("i", "m"))).alias("c"))
-        .orderBy(label)
-    )
-    return [[p.m for p in row.c] for row in means.collect()]
+    """Mean vector per label, in label order: one small row per label; more than MAX_CENTERS labels are an error."""
+    width = vectors.agg(F.max(F.size("vec"))).first()[0] or 0
+    means = vectors.groupBy(label).agg(F.array(*[F.avg(F.get("vec", i)) for i in range(width)]).alias("c"))
+    rows = means.orderBy(label).limit(MAX_CENTERS + 1).collect()
+    if len(rows) > MAX_CENTERS:
+        raise ValueError(f"more than {MAX_CENTERS} labels to make centers of")
+    return [list(row.c) for row in rows]
 
 
 def assigned(vectors: DataFrame, centers, metric: str = "l2") -> DataFrame:
@@ -87,27 +87,29 @@ def wssse(vectors: DataFrame, centers) -> DataFrame:
     return assigned(vectors, centers).agg(F.count("*").alias("n"), F.sum(F.col("dist") * F.col("dist")).alias("wssse"))
 
 
-def word_histogram(descriptors: DataFrame, centers, image: str = "image_id") -> DataFrame:
-    """(image, word, share) with a row for every word of the codebook; shares of an image sum to 1.
-
-    Images without descriptors have no histogram.
-    """
+def word_shares(descriptors: DataFrame, centers, image: str) -> DataFrame:
+    """(image, vec): share of every word of the codebook among an image's descriptors, in order of the words."""
     usable = descriptors.filter(F.size("vec") > 0)
     counts = assigned(usable, centers).groupBy(image, "word").agg(F.count("*").alias("n"))
     per_image = counts.groupBy(image).agg(
         F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("word", "n"))).alias("by_word")
     )
-    every = F.explode(F.sequence(F.lit(0), F.lit(len(centers) - 1)))
-    return per_image.select(image, "total", "by_word", every.alias("word")).select(
-        image, "word", (F.coalesce(F.try_element_at("by_word", F.col("word")), F.lit(0)) / F.col("total")).alias("share")
-    )
+    words = F.sequence(F.lit(0), F.lit(len(centers) - 1))
+    share = lambda word: F.coalesce(F.try_element_at("by_word", word), F.lit(0)) / F.col("total")
+    return per_image.select(image, F.transform(words, share).alias("vec"))
+
+
+def word_histogram(descriptors: DataFrame, centers, image: str = "image_id") -> DataFrame:
+    """(image, word, share) with a row for every word of the codebook; shares of an image sum to 1.
+
+    Images without descriptors have no histogram.
+    """
+    return word_shares(descriptors, centers, image).select(image, F.posexplode("vec").alias("word", "share"))
 
 
 def histogram_vectors(descriptors: DataFrame, centers, image: str = "image_id") -> DataFrame:
     """(image, vec): the histograms as dense vectors."""
-    rows = word_histogram(descriptors, centers, image)
-    ordered = F.array_sort(F.collect_list(F.struct("word", "share")))
-    return rows.groupBy(image).agg(ordered.alias("_h")).select(image, F.col("_h.share").alias("vec"))
+    return word_shares(descriptors, centers, image)
 
 
 def kmedians_step(vectors: DataFrame, centers) -> DataFrame:

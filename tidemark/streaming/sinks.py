@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.session import shared_path
+from tidemark.streaming.windows import top_per_window
 
 
 def run_batches(
@@ -64,3 +65,16 @@ def read_batches(spark, path: str, schema: T.StructType) -> DataFrame:
 def latest_versions(versions: DataFrame, keys: Sequence[str], value: str = "n") -> DataFrame:
     """Current value per key from the changes an `update` stream wrote."""
     return versions.groupBy(*keys).agg(F.max_by(value, "batch_id").alias(value))
+
+
+def append_closed_top(counts: DataFrame, path: str, name: str, key: str, k: int = 10, **run):
+    """Rank each window's keys once the window has closed, and append its top list.
+
+    `counts` is a stream of window counts. In append mode a window's counts come when the watermark has passed its end,
+    all in one batch and never again, so a batch can be ranked by itself; re-running one replaces its own folder.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        top_per_window(batch, key, k).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return run_batches(counts, write, name, "append", **run)
