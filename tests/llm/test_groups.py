@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.frames import LONG, documents, prose, rows
 from tidemark.llm import hmm, neardup, warc
@@ -139,17 +140,52 @@ def test_copies_of_an_original_in_the_middle_of_the_ids(spark):
     assert {r["doc_id"]: r["class_id"] for r in found} == want
 
 
-def test_blocks_of_a_bucket_are_compared_in_full(spark, monkeypatch):
-    monkeypatch.setattr(neardup, "BLOCK", 4)
-    sketches = np.repeat(np.arange(30, dtype="<u2")[:, None], 120, axis=1)
-    sketches[17, :80] = sketches[23, :80]
-    sketches[5] = sketches[9] = sketches[29]
-    made = spark.createDataFrame([(k, bytearray(x.tobytes())) for k, x in enumerate(sketches)], "rep long, sketch binary")
+@pytest.mark.parametrize("limit", ["BLOCK", "BLOCK_BYTES"])
+def test_blocks_of_a_bucket_are_compared_in_full(spark, monkeypatch, limit):
+    monkeypatch.setattr(neardup, limit, 4 if limit == "BLOCK" else 4000)
+    texts = [prose(800 + k, 100) for k in range(30)]
+    texts[17] = changed(texts[23], 2)
+    texts[5] = texts[9] = texts[29]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sketches = neardup.signature_rows(docs, neardup.BANDS, neardup.ROWS).select(F.col("doc_id").alias("rep"), "sketch")
     members = spark.createDataFrame([(1, k) for k in range(30)] + [(2, 3), (2, 4)], "key long, rep long")
     labels = spark.createDataFrame([(9, 5), (5, 5)], "node long, label long")
-    ends = lambda every: {tuple(r) for r in neardup.crossing(members, labels, made, every).collect()}
-    assert ends(True) == {(17, 23), (5, 29), (9, 29)}
-    assert (17, 23) in ends(False) and ends(False) <= ends(True) and len(ends(False)) >= 2
+    links = {tuple(r) for r in neardup.crossing(members, labels, sketches, docs, 0.8, 100).collect()}
+    assert (17, 23) in links and links & {(5, 29), (9, 29)} and links <= {(17, 23), (5, 29), (9, 29)}
+
+
+def test_links_of_two_blocks_span_their_classes():
+    """Members alike in pairs: as many links as join the classes, and none between classes that nothing links."""
+    rng, k = np.random.default_rng(3), 40
+    base = rng.integers(0, 2**63, size=(4, 300)).astype(np.uint64)
+    elements = []
+    for m in range(k):
+        own = base[m % 4].copy()
+        own[rng.choice(300, m % 25, replace=False)] = rng.integers(0, 2**63, size=m % 25)
+        elements.append(np.sort(own))
+    sketch = np.tile(np.arange(120, dtype="<u2"), (k, 1))  # signatures drop nothing
+    label = np.arange(k)
+    left, right = np.arange(k // 2), np.arange(k // 2, k)
+    for one, two in ((left, right), (np.arange(k), np.arange(k))):
+        links = neardup.block_links(np.arange(k), label, sketch, elements, one, two, 0.8)
+        want, got = (list(range(k)) for _ in range(2))
+        join = lambda of, a, b: [of[b] if x == of[a] else x for x in of]
+        for a in one:
+            for b in two:
+                both = len(np.intersect1d(elements[a], elements[b]))
+                if a != b and both >= 0.8 * (600 - both):
+                    want = join(want, a, b)
+        for a, b in links:
+            assert got[a] != got[b]  # no link is implied by the ones before
+            got = join(got, a, b)
+        assert len({tuple(x) for x in zip(want, got)}) == len(set(want)) == len(set(got)) < k
+
+
+def test_repeats_count_as_elements():
+    codes, counts = np.array([3, 9], np.uint64), np.array([2, 1])
+    more = neardup.counted_apart(codes, np.array([1, 4]))
+    assert len(np.unique(neardup.counted_apart(codes, counts))) == 3 and len(more) == 5
+    assert len(np.intersect1d(neardup.counted_apart(codes, counts), more)) == 2
 
 
 def test_components_of_a_chain(spark):

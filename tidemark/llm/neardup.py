@@ -15,9 +15,9 @@ buckets, so a bucket of m gives fewer than m pairs. Pairs whose signatures agree
 (at six standard errors below the threshold); of the rest, each document's best pair is verified first
 on the exact weighted Jaccard similarity of the two texts, then every pair not yet implied by the
 classes found. Buckets whose other members are still in several classes are then compared in full, cut
-into blocks that meet in pairs: first the best pair of every two classes in two blocks is verified, then
-all pairs that remain between classes. So every pair of a bucket is verified, implied or dropped by its
-signatures. Classes are the connected components of the verified links, found by repeated least-label
+into blocks of bounded rows and bytes that meet in pairs. A block holds its members' shingles, so all pairs between
+classes are verified where two blocks meet, and only links that join two classes there are handed on, fewer than
+the blocks have members. So every pair of a bucket is verified, implied or dropped by its signatures. Classes are the connected components of the verified links, found by repeated least-label
 steps on tables in the shared folder.
 
 Defined cases: a text without words (null, empty, only white space) is a class of its own; texts of
@@ -39,7 +39,8 @@ WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 5
 LEAST_AGREEMENT = 0.56  # of the coordinates; six standard errors below 0.8 at 120 coordinates
-BLOCK = 256  # members of a bucket that are compared with as many others at once
+BLOCK = 512  # members of a bucket that are compared with as many others at once
+BLOCK_BYTES = 8 << 20  # of their shingles, about
 CACHE_WORDS = 200_000
 GOLDEN = U64(0x9E3779B97F4A7C15)
 
@@ -146,51 +147,98 @@ def agreement(pairs: DataFrame) -> DataFrame:
     return pairs.mapInArrow(run, "a long, b long, share double")
 
 
-def crossing(members: DataFrame, labels: DataFrame, sketches: DataFrame, every: bool) -> DataFrame:
-    """(a, b) of members (key, rep) of one bucket that are in different classes and agree enough.
+def counted_apart(codes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """A weighted set as a plain one: every repeat of a shingle is an element of its own; ascending."""
+    repeat = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    return np.sort(mix(np.repeat(codes, counts) + GOLDEN * repeat.astype(U64)))
 
-    Without `every`, only the best pair of every two classes in two blocks of a bucket.
+
+def element_sets(texts: DataFrame) -> DataFrame:
+    """(rep, elements) from (doc_id, text): the packed elements of every text."""
+
+    def run(batches):
+        cache: dict = {}
+        for batch, some in text_slices(batches):
+            if len(cache) > CACHE_WORDS:
+                cache.clear()
+            made = [counted_apart(*shingles(t, cache)).tobytes() for t in some]
+            yield pa.RecordBatch.from_pydict({"rep": batch["doc_id"], "elements": pa.array(made, pa.binary())})
+
+    return texts.select("doc_id", "text").mapInArrow(run, "rep long, elements binary")
+
+
+def block_links(rep, label, sketch, elements, left, right, similarity: float) -> list[tuple[int, int]]:
+    """Links between members of two blocks that join all classes of them that any pair links.
+
+    Pairs of one class, or of classes that links found here have joined, are not looked at.
     """
+    sizes = np.array([len(e) for e in elements])
+    flat = np.concatenate([elements[k] for k in right])
+    owner = np.repeat(np.arange(len(right)), sizes[right])
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], owner[order]
+    parent = {int(x): int(x) for x in label}
+
+    def root(x):
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    links = []
+    for x in left:
+        share = (sketch[x] == sketch[right]).mean(1)
+        mine = root(int(label[x]))
+        near = [j for j in np.flatnonzero(share >= LEAST_AGREEMENT) if root(int(label[right[j]])) != mine]
+        if not near:
+            continue
+        start, end = np.searchsorted(flat, elements[x]), np.searchsorted(flat, elements[x], "right")
+        n = end - start
+        places = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n - start, n)
+        common = np.bincount(owner[places], minlength=len(right))
+        for j in near:
+            y = right[j]
+            a, b = root(int(label[x])), root(int(label[y]))
+            if a != b and common[j] >= similarity * (sizes[x] + sizes[y] - common[j]):
+                parent[max(a, b)] = min(a, b)
+                links.append((min(int(rep[x]), int(rep[y])), max(int(rep[x]), int(rep[y]))))
+    return links
+
+
+def crossing(members: DataFrame, labels: DataFrame, sketches: DataFrame, docs: DataFrame, similarity: float, rows: int) -> DataFrame:
+    """(a, b): links that join the classes of the members (key, rep) of every bucket wherever any pair of it does."""
     named = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
         "key", "rep", F.coalesce("label", "rep").alias("label")
     )
-    mixed = (
-        named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n"))
-        .where("low < high").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    )
+    several = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+    mixed = via_table(compact(named.join(several.select("key"), "key", "semi"), rows, waves=2), "mixed")
+    ids = mixed.select(F.col("rep").alias("a"), F.col("rep").alias("b")).distinct()
+    sets = via_table(compact(element_sets(needed_texts(docs, ids, rows)), rows, 20_000, waves=2), "elements")
+    held = mixed.join(sets, "rep").join(sketches, "rep")
+    sizes = mixed.join(sets.select("rep", F.length("elements").alias("size")), "rep").groupBy("key").agg(
+        F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("size") / BLOCK_BYTES)).cast("int").alias("blocks")
+    )
     dealt = (
-        named.join(mixed, "key").join(sketches, "rep")
+        held.join(sizes, "key")
         .withColumn("own", F.pmod(F.xxhash64("key", "rep"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-    )
+    )
     met = dealt.groupBy("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).agg(
-        F.collect_list(F.struct("rep", "label", "own", "sketch")).alias("rows")
+        F.collect_list(F.struct("rep", "label", "own", "sketch", "elements")).alias("rows")
     )
 
     def run(batches):
         for batch in batches:
-            for i, j, rows in zip(*(batch.column(c) for c in ("i", "j", "rows")), strict=True):
-                block = rows.values.flatten()
+            for i, j, some in zip(*(batch.column(c) for c in ("i", "j", "rows")), strict=True):
+                block = some.values.flatten()
                 rep, label, own = (np.asarray(c) for c in block[:3])
                 sketch = np.frombuffer(b"".join(block[3].to_pylist()), "<u2").reshape(len(rep), -1)
+                elements = [np.frombuffer(e, U64) for e in block[4].to_pylist()]
                 left, right = np.flatnonzero(own == i.as_py()), np.flatnonzero(own == j.as_py())
-                found = []
-                for at in range(0, len(left), 64):
-                    some = left[at : at + 64]
-                    share = (sketch[some][:, None] == sketch[right][None]).mean(2)
-                    share[label[some][:, None] == label[right][None]] = 0
-                    x, y = np.nonzero(share >= LEAST_AGREEMENT)
-                    found.append((some[x], right[y], share[x, y]))
-                x, y, share = (np.concatenate(c) for c in zip(*found, strict=True)) if found else ([], [], [])
-                if not len(x):
-                    continue
-                if not every:
-                    classes = np.sort(np.column_stack([label[x], label[y]]), axis=1)
-                    order = np.argsort(-share, kind="stable")
-                    best = order[np.unique(classes[order], axis=0, return_index=True)[1]]
-                    x, y = x[best], y[best]
-                ends = np.sort(np.column_stack([rep[x], rep[y]]), axis=1)
-                yield pa.RecordBatch.from_pydict({"a": pa.array(ends[:, 0]), "b": pa.array(ends[:, 1])})
+                if len(left) and len(right):
+                    links = block_links(rep, label, sketch, elements, left, right, similarity)
+                    yield pa.RecordBatch.from_pydict(
+                        {"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())}
+                    )
 
     return met.select("i", "j", "rows").mapInArrow(run, "a long, b long").where("a < b").distinct()
 
@@ -307,19 +355,9 @@ def near_duplicates(
     more = via_table(compact(verified(rest, texts, similarity), n_close, waves=4), "links")
     if not more.isEmpty():
         labels = merged(labels, more, n_close)
-    tested = close.select("a", "b")
-    for every in (False, True):
-        crossed = via_table(compact(crossing(members.select("key", "rep"), labels, sketches, every), n_docs, waves=2), "close")
-        if crossed.isEmpty():
-            break
-        fresh = via_table(crossed.join(tested, ["a", "b"], "anti").select("a", "b"), "close")
-        n_fresh = fresh.count()
-        if n_fresh:
-            texts = needed_texts(named, fresh, n_fresh)
-            more = via_table(verified(fresh, texts, similarity), "links")
-            tested = tested.unionAll(fresh)
-            if not more.isEmpty():
-                labels = merged(labels, more, n_docs)
+    crossed = via_table(compact(crossing(members.select("key", "rep"), labels, sketches, named, similarity, n_docs), n_docs), "links")
+    if not crossed.isEmpty():
+        labels = merged(labels, crossed, n_docs)
     # Documents of one text share its representative; documents of several texts join their classes.
     copies = signed.join(reps.select("digest", "rep"), "digest").where("doc_id <> rep").select(
         F.col("doc_id").alias("node"), "rep"
