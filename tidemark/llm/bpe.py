@@ -25,8 +25,10 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import Recent, text_slices, units, worker_state
 
-CACHE_UNITS = 200_000
+CACHE_BYTES = 40 << 20  # of known units in one generation
 WORDS_AT_ONCE = 10_000
+IDS_AT_ONCE = 1 << 21  # of decimals made at once
+TEXT_BYTES = 2 << 20  # of texts handled at once
 
 ENCODE = """
 WITH RECURSIVE state(step, word, ids) AS (
@@ -53,6 +55,43 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
+def unit_bytes(unit: str) -> int:
+    """About what a known unit and its ids take in memory."""
+    return 230 + 5 * len(unit)
+
+
+class Decimals:
+    """Ids as decimals joined by spaces, for many ids at once."""
+
+    def __init__(self, n_ids: int):
+        self.digits = np.char.add(np.arange(n_ids).astype("S"), b" ")
+        self.sizes = np.char.str_len(self.digits).astype(np.int8)
+        self.digits = self.digits.view(np.uint8).reshape(n_ids, -1)
+        self.places = np.arange(self.digits.shape[1], dtype=np.int8)
+
+    def letters(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """The ids, a space after each, and the length of each with its space."""
+        sizes = self.sizes[ids]
+        return self.digits[ids][self.places < sizes[:, None]].tobytes(), sizes
+
+    def digest(self, packed: bytes) -> str:
+        """The SHA-256 of one sequence's decimals, a piece of it at a time."""
+        ids, sha = np.frombuffer(packed, "<i4"), hashlib.sha256()
+        for at in range(0, len(ids), IDS_AT_ONCE):
+            letters = self.letters(ids[at : at + IDS_AT_ONCE])[0]
+            sha.update(letters if at + IDS_AT_ONCE < len(ids) else letters[:-1])
+        return sha.hexdigest()
+
+    def digests(self, packed: list[bytes]) -> list[str]:
+        """The SHA-256 of every sequence's decimals."""
+        counts = [len(p) // 4 for p in packed]
+        if sum(counts) > IDS_AT_ONCE:
+            return list(map(self.digest, packed))
+        letters, sizes = self.letters(np.frombuffer(b"".join(packed), "<i4"))
+        ends = np.append(0, np.cumsum(sizes, dtype=np.int64))[np.cumsum(counts)].tolist()
+        return [hashlib.sha256(letters[a : max(a, b - 1)]).hexdigest() for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+
+
 class DuckBpe:
     """Encoder and decoder for one rank file and splitting pattern."""
 
@@ -77,7 +116,11 @@ class DuckBpe:
             id=pa.array(ranks.values(), pa.int32()),
             letters=pa.array([t.decode("latin-1") for t in ranks], pa.string()),  # one letter per byte
         )
-        self.recent = Recent(CACHE_UNITS)  # unit to (decimals, packed ids)
+        self.recent = Recent(CACHE_BYTES, unit_bytes)  # unit to packed ids
+        self.decimals = Decimals(max(ranks.values()) + 1)
+
+    def close(self) -> None:
+        self.db.close()
 
     def _store(self, name: str, **columns) -> None:
         self._view("incoming", **columns)
@@ -87,8 +130,8 @@ class DuckBpe:
     def _view(self, name: str, **columns) -> None:
         self.db.register(name, pa.table(columns))
 
-    def encode_words(self, words: list[bytes]) -> list[list[int]]:
-        """Ids of each non-empty word, merged on its own."""
+    def encode_packed(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each non-empty word, merged on its own, as packed 32-bit integers."""
         out = []
         for at in range(0, len(words), WORDS_AT_ONCE):
             some = words[at : at + WORDS_AT_ONCE]
@@ -101,30 +144,30 @@ class DuckBpe:
                 ids=pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
             )
             query = ENCODE if sizes.max() < 65536 else ENCODE_LONG
-            out += [ids for _, ids in self.db.execute(query).fetchall()]
+            ids = self.db.execute(query).to_arrow_table()["ids"].combine_chunks()
+            ends = (4 * np.append(0, np.cumsum(pa.compute.list_value_length(ids).to_numpy()))).tolist()
+            letters = ids.flatten().to_numpy().astype("<i4").tobytes()
+            out += [letters[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
         return out
 
+    def encode_words(self, words: list[bytes]) -> list[list[int]]:
+        return [np.frombuffer(p, "<i4").tolist() for p in self.encode_packed(words)]
+
     def _learn(self, missing: list[str]) -> None:
         known = self.recent.known
         pieces = [self.pattern.findall(u) for u in missing]
         words = self.recent.missing(set().union(*pieces))
-        for word, ids in zip(words, self.encode_words([w.encode() for w in words]), strict=True):
-            known[word] = (" ".join(map(str, ids)), np.array(ids, "<i4").tobytes())
-        for unit, parts in zip(missing, pieces, strict=True):
-            if len(parts) > 1:
-                found = [known[p] for p in parts]
-                known[unit] = (" ".join([d for d, _ in found]), b"".join([i for _, i in found]))
-
-    def encode(self, texts: list[str]) -> list[tuple[str, bytes]]:
-        """Each text's ids, as decimals joined by spaces and as packed 32-bit integers."""
+        known.update(zip(words, self.encode_packed([w.encode() for w in words]), strict=True))
+        get = known.__getitem__
+        known.update((u, b"".join(map(get, p))) for u, p in zip(missing, pieces, strict=True) if len(p) > 1)
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Each text's ids as packed 32-bit integers."""
         parts = [units(t) for t in texts]
         here = set().union(*parts)
         self._learn(self.recent.missing(here))
         get = self.recent.known.__getitem__
-        out = []
-        for p in parts:
-            found = list(map(get, p))
-            out.append((" ".join([d for d, _ in found]), b"".join([i for _, i in found])))
+        out = [b"".join(map(get, p)) for p in parts]
         self.recent.trim(here)
         return out
 
@@ -140,7 +183,8 @@ class DuckBpe:
                 spot=pa.array(np.arange(total, dtype=np.int32)),
                 id=pa.array(np.frombuffer(b"".join(packed), "<i4")),
             )
-            for doc, text in self.db.execute(DECODE).fetchall():
+            found = self.db.execute(DECODE).to_arrow_table()
+            for doc, text in zip(found["doc"].to_pylist(), found["letters"].to_pylist(), strict=True):
                 out[doc] = text.encode("latin-1")
         return out
 
@@ -150,19 +194,18 @@ def bpe(docs: DataFrame, ranks: str, pattern: str, keep_ids: bool = False) -> Da
 
     def run(batches):
         coder = worker_state("bpe:" + ranks, lambda: DuckBpe(ranks, pattern))
-        for batch, texts in text_slices(batches):
-            encoded = coder.encode([t or "" for t in texts])
-            decoded = coder.decode([ids for _, ids in encoded])
+        for batch, texts in text_slices(batches, size=TEXT_BYTES):
+            packed = coder.encode([t or "" for t in texts])
+            counts = [len(p) // 4 for p in packed]
             columns = {
                 "doc_id": batch.column("doc_id"),
-                "n_tokens": pa.array([len(ids) // 4 for _, ids in encoded], pa.int64()),
-                "ids_sha256": pa.array([hashlib.sha256(d.encode()).hexdigest() for d, _ in encoded]),
-                "decoded_sha256": pa.array([hashlib.sha256(b).hexdigest() for b in decoded]),
+                "n_tokens": pa.array(counts, pa.int64()),
+                "ids_sha256": pa.array(coder.decimals.digests(packed)),
+                "decoded_sha256": pa.array([hashlib.sha256(b).hexdigest() for b in coder.decode(packed)]),
             }
             if keep_ids:
-                sizes = np.append(0, np.cumsum([len(ids) // 4 for _, ids in encoded])).astype(np.int32)
-                flat = np.frombuffer(b"".join(ids for _, ids in encoded), "<i4")
-                columns["ids"] = pa.ListArray.from_arrays(pa.array(sizes), pa.array(flat))
+                ends = np.append(0, np.cumsum(counts)).astype(np.int32)
+                columns["ids"] = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(packed), "<i4")))
             yield pa.RecordBatch.from_pydict(columns)
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"

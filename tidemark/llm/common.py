@@ -8,9 +8,11 @@ import re
 import sys
 import types
 from collections.abc import Callable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,21 +65,48 @@ def is_training(column: str | Column, divisor: int, remainder: int) -> Column:
 
 def worker_state(name: str, make: Callable):
     """A value kept by the Python worker between tasks (task functions travel by value, so
-    module globals do not outlive a task)."""
+    module globals do not outlive a task).
+
+    A worker keeps one value: another name, or a task that cuts texts without asking for one, drops it.
+    """
     home = sys.modules.setdefault("_tidemark_worker", types.ModuleType("_tidemark_worker"))
-    if not hasattr(home, name):
-        setattr(home, name, make())
-    return getattr(home, name)
+    if getattr(home, "name", None) != name:
+        drop_state(home)
+        home.name, home.value = name, make()
+    home.task = task_number()
+    return home.value
+
+
+def task_number() -> int | None:
+    task = TaskContext.get()
+    return task and task.taskAttemptId()
+
+
+def drop_state(home=None) -> None:
+    """Forget the kept value unless this task has asked for it; a value may have something to close."""
+    home = home or sys.modules.get("_tidemark_worker")
+    if home is None or getattr(home, "name", None) is None:
+        return
+    getattr(home.value, "close", lambda: None)()
+    home.name = home.value = None
+
+
+def drop_others_state() -> None:
+    home = sys.modules.get("_tidemark_worker")
+    if home is not None and getattr(home, "name", None) is not None and home.task != task_number():
+        drop_state(home)
 
 
 class Recent:
-    """Values by key in two generations: beyond `limit` keys the younger one becomes the older one.
+    """Values by key in two generations: once its keys weigh more than `limit`, the younger one becomes the older one.
 
-    `known` holds every key asked for last; at most 2 * `limit` keys and one slice's stay in memory.
+    `known` holds every key asked for last; keys of twice `limit` and one slice's stay in memory. A key weighs 1, or
+    what `weight` says of it, such as the bytes that it and its value take.
     """
 
-    def __init__(self, limit: int):
+    def __init__(self, limit: int, weight: Callable | None = None):
         self.limit, self.known, self.old = limit, {}, {}
+        self.weight, self.weighed, self.size = weight, 0, 0
 
     def missing(self, keys: set) -> list:
         """Keys without a value; those of the older generation come back into the younger one."""
@@ -88,8 +117,12 @@ class Recent:
 
     def trim(self, keys: set) -> None:
         """Call after a slice with its keys."""
-        if len(self.known) > self.limit:
+        new = len(self.known) - self.weighed  # the latest entries of the table
+        self.size += new if self.weight is None else sum(map(self.weight, islice(reversed(self.known), new)))
+        self.weighed += new
+        if self.size > self.limit:
             self.old, self.known = self.known, {k: self.known[k] for k in keys}
+            self.weighed = self.size = 0
 
 
 def release_memory() -> None:
@@ -103,6 +136,7 @@ def release_memory() -> None:
 
 def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text", size: int = SLICE_BYTES):
     """(slice of the batch, its texts) pieces of about `size` bytes; a null text comes as None."""
+    drop_others_state()
     release_memory()
     for batch in batches:
         texts = batch.column(column)
