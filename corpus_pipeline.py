@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, decontam, langid, neardup, quality
 from tidemark.llm.common import bounded_batches, is_training, table, without_ids
-from tidemark.session import shared_path
+from tidemark.session import shared_path, via_table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 KINDS = "text string, lang string, source string, n_chars long"
@@ -39,15 +39,15 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least id of every near-duplicate class; a repeated row stays once."""
     bounded_batches(spark)
-    others = neardup.near_duplicates(docs).where("doc_id <> class_id").select("doc_id")
+    others = via_table(neardup.near_duplicates(docs).where("doc_id <> class_id").select("doc_id"), "others")  # read twice
     return without_ids(docs.select(*COLUMNS), others, once=True)
 
 
 def without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no benchmark item leaks into."""
     bounded_batches(spark)
-    found = decontam.leaks(docs, table(spark, sf_dir, "benchmark"))
-    return without_ids(docs.select(*COLUMNS), found.select("doc_id"))
+    found = via_table(decontam.leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id"), "leaks")  # read twice
+    return without_ids(docs.select(*COLUMNS), found)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
