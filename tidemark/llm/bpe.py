@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import Recent, text_slices, units, worker_state
 
-CACHE_BYTES = 40 << 20  # of known units in one generation
+CACHE_BYTES = 80 << 20  # of known units in one generation
 WORDS_AT_ONCE = 10_000
 IDS_AT_ONCE = 1 << 21  # of decimals made at once
 TEXT_BYTES = 2 << 20  # of texts handled at once
