@@ -28,8 +28,7 @@ def got(found):
     return out
 
 
-@pytest.mark.parametrize("offset", [0.0, 1e6, 5e7])
-@pytest.mark.parametrize("n_centers", [None, 12])
+@pytest.mark.parametrize("offset, n_centers", [(0.0, 12), (5e7, 12), (5e7, None)])
 def test_exact_neighbors_far_from_the_origin(spark, offset, n_centers):
     points = np.random.default_rng(3).random((800, 2)) * 10 + offset
     found = neighbors.knn_join(frame(spark, points), frame(spark, points), 2, True, n_centers=n_centers)
