@@ -87,8 +87,8 @@ def knn_bruteforce(spark, folder):
 
 
 def probes(n: int) -> int:
-    """A twelfth of the cells, of which there are about as many as the square root of the rows."""
-    return max(1, math.isqrt(n) // 12)
+    """A twelfth of the cells, of which there are about as many as the square root of the rows; four of them at least."""
+    return max(4, math.isqrt(n) // 12)
 
 
 def letter_vectors(spark, folder):
@@ -132,15 +132,23 @@ def knn_lsh(spark, folder):
     return hashing.knn_lsh(rows, rows, k=1, exclude_self=True)
 
 
-@query("knn_lsh_recall", ASKED_SQL.replace("enough", "enough, true AS few"))
+def order_points(spark, folder):
+    """(id, vec): price, day and customer of every order."""
+    orders = table(spark, folder, "orders").withColumns({"id": F.col("o_orderkey"), "day": F.unix_date(F.to_date("o_orderdate"))})
+    return via_table(cluster.points(orders, ["o_totalprice", "day", "o_custkey"], "id"), "order-points")
+
+
+@query("knn_lsh_recall", "SELECT count(*) AS n, true AS enough, true AS few FROM orders WHERE o_orderkey % 20 = 0")
 def knn_lsh_recall(spark, folder):
-    """Whether the hash tables find the nearest document for nine of ten queries (every twentieth document), and
-    compare less than a tenth of all pairs where there are 2,000 documents or more."""
-    rows = letter_vectors(spark, folder)
+    """Whether the hash tables find the nearest order for nine of ten queries (every twentieth order), and
+    compare less than a tenth of all pairs where there are 2,000 orders or more."""
+    rows = order_points(spark, folder)
     asked = rows.where("id % 20 = 0")
     exact = neighbors.knn_join(asked, rows, k=1, exclude_self=True)
-    found = recall(exact, hashing.knn_lsh(asked, rows, k=1, exclude_self=True))
-    pairs = hashing.compared(asked, rows).scalar()
+    blocks = hashing.candidate_blocks(asked, rows, 1, hashing.TABLES, hashing.LEAF, seed=1)
+    blocks = via_table(blocks.select("qids", "qflat", "ids", "flat"), "hash-blocks")
+    found = recall(exact, hashing.nearest_of(blocks, 1, exclude_self=True))
+    pairs = hashing.pair_count(blocks).scalar()
     n = rows.count()
     few = (F.lit(n) < 2000) | (pairs < F.col("n") * F.lit(n) / 10)
     return found.select("n", (F.col("recall") >= 0.9).alias("enough"), few.alias("few"))
