@@ -1,6 +1,7 @@
 """Neighbors far from the origin, cells in two levels, hashing, mixtures and linkage against plain versions."""
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -233,3 +234,23 @@ def test_nearest_centers_far_from_the_origin(spark, metric):
     dist = abs(gaps).sum(2) if metric == "l1" else np.sqrt((gaps**2).sum(2))
     assert [found[k]["word"] for k in range(240)] == dist.argmin(1).tolist() and found[900] is None
     assert [found[k]["dist"] for k in range(240)] == pytest.approx(dist.min(1).tolist())
+
+
+def test_queries_are_routed_in_parts_of_bounded_size(spark, monkeypatch):
+    """No part of a batch hands on more than its share of numbers, however many cells every query visits."""
+    rng = np.random.default_rng(5)
+    vecs = rng.normal(size=(600, 3))
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vecs)], "id long, vec array<double>")
+    asked = pd.DataFrame({"row": range(600), "vec": list(vecs), "bound": np.inf})
+    monkeypatch.setattr(neighbors, "TILE", 1000)
+    sizes = [len(part) for part in neighbors.tiles(asked, 50)]
+    assert sum(sizes) == 600 and max(sizes) == 20
+    got = {(r.query, r.neighbor) for r in neighbors.knn_join(rows, rows, 1, True, n_centers=50).collect()}
+    gap = ((vecs[:, None] - vecs[None]) ** 2).sum(2)
+    np.fill_diagonal(gap, np.inf)
+    assert got == set(enumerate(gap.argmin(1).tolist()))
+    direct = {(r.query, r.neighbor) for r in neighbors.knn_join(rows, rows, 1, True).collect()}
+    assert direct == got
+    twice = spark.createDataFrame([(1, [0.0, 0.0]), (1, [9.0, 9.0]), (2, [0.0, 1.0]), (3, [9.0, 8.5])], "id long, vec array<double>")
+    found = sorted((r.query, r.neighbor, r.dist) for r in neighbors.knn_join(twice, twice, 1, True, n_centers=2).collect())
+    assert found == [(1, 3, 0.5), (2, 1, 1.0), (3, 1, 0.5)]

@@ -16,24 +16,13 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.session import bounded_batches
+
 SLICE_BYTES = 1 << 20  # text handled at once inside a task, besides a single longer text
 BITMAP_BITS = 1 << 24  # a fixed 2 MB, whatever the input
 U64 = np.uint64
 
 
-BATCH_BYTES = 4 << 20  # of one Arrow batch between Spark and Python
-BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
-
-
-def bounded_batches(spark: SparkSession) -> None:
-    """Keep batches of whole texts small on both sides of the Python workers; a smaller limit stays."""
-    limit = str(spark.conf.get(BATCH_SETTING, "64m")).lower().rstrip("b")
-    scale = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(limit[-1], 1)
-    size = int(limit.rstrip("kmg")) * scale
-    if size <= 0 or size > BATCH_BYTES:
-        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
-
-
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     bounded_batches(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
