@@ -254,3 +254,15 @@ def test_queries_are_routed_in_parts_of_bounded_size(spark, monkeypatch):
     twice = spark.createDataFrame([(1, [0.0, 0.0]), (1, [9.0, 9.0]), (2, [0.0, 1.0]), (3, [9.0, 8.5])], "id long, vec array<double>")
     found = sorted((r.query, r.neighbor, r.dist) for r in neighbors.knn_join(twice, twice, 1, True, n_centers=2).collect())
     assert found == [(1, 3, 0.5), (2, 1, 1.0), (3, 1, 0.5)]
+
+
+def test_components_of_long_paths_take_few_rounds(spark, monkeypatch):
+    """Nodes merge along paths, so rounds grow with the logarithm of their length, not with the length."""
+    monkeypatch.setattr(graph, "FEW", 20)
+    rounds = []
+    once = graph.merged
+    monkeypatch.setattr(graph, "merged", lambda edges, number: rounds.append(number) or once(edges, number))
+    links = [(i, i + 1) for i in range(1000, 1600)] + [(5, 5), (7, None), (None, 8), (3, 2), (2, 3)]
+    got = dict(map(tuple, graph.components(spark.createDataFrame(links, "a long, b long")).collect()))
+    assert got == {**{i: 1000 for i in range(1000, 1601)}, 5: 5, 2: 2, 3: 2}
+    assert 1 <= len(rounds) <= 6
