@@ -97,13 +97,14 @@ def scan_labeled_vectors(spark, folder):
 
 
 RECORD_END = "\x1e"
+FILE_DOCS = 1000  # a file is read as one row
 
 
 def documents_by_folder(spark, folder):
-    """One folder per language; a task writes one file of whole documents into each."""
+    """One folder per language; a task writes files of at most FILE_DOCS whole documents into each."""
     path = shared_path(spark, "documents")
     docs = table(spark, folder, "documents").select("text", "lang")
-    docs.write.partitionBy("lang").option("lineSep", RECORD_END).text(path)
+    docs.write.partitionBy("lang").option("lineSep", RECORD_END).option("maxRecordsPerFile", FILE_DOCS).text(path)
     return path
 
 
@@ -126,11 +127,10 @@ def scan_whole_files(spark, folder):
 def scanned_nb_theta(spark, folder):
     """Naive Bayes weights learned from scanned files, labelled by the folder they lie in."""
     rows = files.read_whole_files(spark, documents_by_folder(spark, folder))
-    parts = rows.select("path", "label", F.posexplode(F.split("text", RECORD_END)).alias("at", "text"))
-    docs = parts.select(
-        F.xxhash64("path", "at").alias("doc_id"), F.regexp_replace("label", "^lang=", "").alias("lang"), "text"
+    docs = rows.select(
+        F.regexp_replace("label", "^lang=", "").alias("lang"), F.explode(F.split("text", RECORD_END)).alias("text")
     )
-    terms = textmodel.term_frequency(docs, keep=("lang",))
+    terms = textmodel.token_rows(docs, keep=("lang",))
     theta = textmodel.nb_theta(via_table(textmodel.nb_counts(terms, "lang"), "token-counts"), "lang")
     return theta.select("lang", "token", "n", F.round("theta", 6).alias("theta"))
 

@@ -156,7 +156,7 @@ def stream_closed_top(spark, folder):
 def stream_score_text(spark, folder):
     """Score documents as they arrive with a model trained beforehand and kept as tables."""
     train = table(spark, folder, "documents").select("doc_id", "text", "lang")
-    model = textmodel.nb_fit(train, textmodel.term_frequency(train, keep=("lang",)), "lang")
+    model = textmodel.nb_fit(train, textmodel.token_rows(train, keep=("lang",)), "lang")
     path = shared_path(spark, "scored")
     schema = T.StructType(
         [

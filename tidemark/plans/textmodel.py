@@ -27,6 +27,11 @@ def term_frequency(docs: DataFrame, doc: str = "doc_id", text: str = "text", kee
     return listed.groupBy(doc, *keep, "token").agg(F.count("*").alias("tf"))
 
 
+def token_rows(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """(keep, token, tf): every token by itself, for counts that do not ask for documents; nothing is grouped by them first."""
+    return words(docs.select(*keep, text), text).select(*keep, "token", F.lit(1).cast("bigint").alias("tf"))
+
+
 def document_frequency(terms: DataFrame) -> DataFrame:
     return terms.groupBy("token").agg(F.count("*").alias("df"))
 
