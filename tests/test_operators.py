@@ -371,3 +371,29 @@ def test_triangles_stay_bounded_for_a_hub(spark):
 
 def test_hand_count_matches_networks_of_three():
     assert mutual_by_hand(list(combinations(range(3), 2))) == {(0, 1): [2], (0, 2): [1], (1, 2): [0]}
+
+
+def test_tokens_counted_without_documents_equal_those_grouped_by_them(spark):
+    from tidemark.plans import textmodel
+
+    docs = spark.createDataFrame([(1, "a", "x y x"), (1, "a", "x y"), (2, None, "y z"), (3, "b", None)], "doc_id long, lang string, text string")
+    rows = textmodel.token_rows(docs, keep=("lang",))
+    assert rows.columns == ["lang", "token", "tf"]
+    once = textmodel.nb_counts(rows, "lang").collect()
+    assert sorted(once, key=str) == sorted(textmodel.nb_counts(textmodel.term_frequency(docs, keep=("lang",)), "lang").collect(), key=str)
+
+
+def test_folder_files_hold_few_documents_and_kept_rows_lie_in_parts(spark, tmp_path, monkeypatch):
+    from tidemark.catalog import files
+    from tidemark.plans import cluster
+
+    docs = spark.createDataFrame([(i, f"text {i}", "de") for i in range(20)], "doc_id long, text string, lang string").coalesce(1)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(files, "FILE_DOCS", 3)
+    path = files.documents_by_folder(spark, str(tmp_path))
+    assert max(r.value.count(files.RECORD_END) for r in spark.read.text(f"{path}/lang=de", wholetext=True).collect()) <= 3
+    assert sum(r.n_docs for r in files.scan_whole_files(spark, str(tmp_path)).collect()) == 20
+    vectors = spark.range(100).selectExpr("array(double(id)) vec").coalesce(1)
+    assert cluster.in_parts(vectors).rdd.getNumPartitions() == 1
+    monkeypatch.setattr(cluster, "PART_ROWS", 10)
+    assert cluster.in_parts(vectors).rdd.getNumPartitions() >= 10
