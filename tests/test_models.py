@@ -71,6 +71,24 @@ def test_grid_search_beats_the_mean(spark):
     assert base.improvement > 50
 
 
+def test_factor_rounds_hand_back_their_shuffle_files(spark):
+    import time
+    from pathlib import Path
+
+    df = spark.createDataFrame([(u, i, float((u * i) % 5)) for u in range(30) for i in range(20)], "user_id int, item_id int, rating double")
+    coded, _, _ = recommend.numbered(df)
+    env = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get()
+    folders = [Path(str(f)) for f in env.blockManager().diskBlockManager().localDirs()]
+    shuffles = lambda: {f.name.split("_")[1] for d in folders for f in d.glob("*/shuffle_*.data")}
+    before = shuffles()
+    kept = recommend._fit(coded, 4, 5, 0.1, 1)  # rounds 1 to 4 held eight sets of files with a checkpoint every five rounds
+    for _ in range(50):
+        if left_few := len(shuffles() - before) <= 6:
+            break
+        time.sleep(0.1)
+    assert left_few and kept.rank == 4
+
+
 def test_full_grids_have_the_stated_size():
     assert len(recommend.GRID) == 8 and len(classify.FOREST_GRID) == 224
 

@@ -46,7 +46,8 @@ def numbered(ratings: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 def _fit(coded: DataFrame, rank: int, iters: int, reg: float, seed: int) -> ALSModel:
     context = coded.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        # Factor blocks are checkpointed every few iterations where executors can reach them.
+        # Factor blocks are checkpointed every round, where executors can reach them: a checkpoint is what lets
+        # the shuffle files of the rounds before it go, so disk holds about one round of a fit, not all of them.
         context.setCheckpointDir(shared_root(coded.sparkSession))
     als = ALS(
         rank=rank,
@@ -57,7 +58,7 @@ def _fit(coded: DataFrame, rank: int, iters: int, reg: float, seed: int) -> ALSM
         itemCol="item_id_no",
         ratingCol="rating",
         coldStartStrategy="drop",
-        checkpointInterval=5,
+        checkpointInterval=1,
     )
     return als.fit(coded)
 
