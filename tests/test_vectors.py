@@ -145,6 +145,38 @@ def test_mixture_rounds_equal_whole_matrices(spark):
     assert found == [(0, 0, 0), (0, 1, 0), (1, 0, 0), (1, 1, 1)]
 
 
+def test_mixture_rounds_equal_the_library(spark):
+    from pyspark.ml.clustering import GaussianMixture
+
+    from tidemark.plans import cluster
+
+    rng = np.random.default_rng(3)
+    points = rng.normal(size=(400, 3)) * [10, 3e4, 0.02] + rng.integers(0, 3, 400)[:, None] * [40, 1e5, 0.1]
+    rows = frame(spark, points)
+    found = cluster.fit_mixture(rows, 3, seed=2, iters=30)
+    kept = cluster.features(rows).persist()
+    right = GaussianMixture(k=3, seed=2, maxIter=30).fit(kept)
+    assert found.log_likelihood == pytest.approx(right.summary.logLikelihood, rel=1e-9)
+    assert found.mixture.weights == pytest.approx(np.array(right.weights), rel=1e-6)
+    assert np.allclose(found.mixture.means, [g.mean.toArray() for g in right.gaussians], rtol=1e-6)
+
+
+def test_mixture_sums_by_products_equal_differences_and_leave_narrow_components(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    points = rng.normal(size=(500, 4)) * [10, 3e4, 0.03, 1] + [25, 5e4, 5, 1e3]
+    blocks = mixture.matrices(frame(spark, points))
+    assert sum(len(b) for b in blocks.collect()) == 500
+    model = mixture.Mixture(np.full(5, 0.2), points[:5], np.array([np.diag([100, 9e8, 9e-4, 1.0])] * 5))
+    assert mixture.products(model, *model.roots()) is not None
+    one = mixture.round_sums(blocks, model)
+    monkeypatch.setattr(mixture, "NARROW", 0.0)
+    for a, b in zip(one, mixture.round_sums(blocks, model), strict=True):
+        assert np.allclose(a, b, rtol=1e-9, atol=1e-9 * np.abs(b).max())
+    monkeypatch.undo()
+    thin = mixture.Mixture(model.weights, model.means, np.vstack([model.covariances[:4], model.covariances[4:] * 1e-9]))
+    assert mixture.products(thin, *thin.roots()) is None
+
+
 def test_mixture_start_is_no_worse_than_random_ones(spark):
     """Over two sets of points, against the median of seven starts from random rows after as many rounds."""
     gain = 0.0
