@@ -123,6 +123,26 @@ def test_kmedians_step_by_hand(spark):
             assert got[w, i] == pytest.approx(np.median(data[word == w][:, i]))
 
 
+def test_medians_from_counts_equal_ordered_ones(spark, monkeypatch):
+    from tidemark.operators import selection
+    from tidemark.plans import mixture
+
+    rng = np.random.default_rng(5)
+    data = np.column_stack([rng.normal(size=3000) * 1e4, rng.integers(-2, 3, 3000) * 1.0, rng.choice([0.0, -0.0, 1e300, -1e-300, np.inf], 3000)])
+    data = np.vstack([data, data[:7] + 1e-9])
+    rows = spark.createDataFrame([(i, [None if i % 50 == 0 and j == 0 else float(v) for j, v in enumerate(r)]) for i, r in enumerate(data)]
+                                 + [(9999, None)], "id bigint, vec array<double>")
+    centers = [[-5e3, 0.0, 0.0], [5e3, 0.0, 0.0], [9e9, 0.0, 0.0]]
+    right = {(r.word, r.i): r.median for r in cluster.kmedians_step(rows, centers).collect()}
+    blocks = mixture.matrices(rows.where("vec IS NOT NULL"))
+    for most in (selection.FEW, 5):  # with few rows at hand, ranges are cut down to single numbers
+        monkeypatch.setattr(selection, "FEW", most)
+        assert selection.cluster_medians(blocks, centers, selection.limits(blocks)) == right
+    ordered = []
+    monkeypatch.setattr(cluster, "exact_median", lambda *a, **k: ordered.append(a))
+    assert len(cluster.fit_kmedians(blobs(spark), "id", 3, iters=2)) == 3 and not ordered  # a round orders nothing
+
+
 def sentences(spark, n=240):
     rnd = random.Random(6)
     words = {"en": ["the", "cloud", "house", "river"], "de": ["der", "wolke", "haus", "fluss"]}

@@ -67,7 +67,7 @@ def matrices(rows: DataFrame, vec: str = "vec") -> RDD:
     def run(batches):
         for batch in batches:
             if n := len(batch[0]):
-                flat = batch[0].flatten().to_numpy()
+                flat = batch[0].flatten().to_numpy(zero_copy_only=False)  # missing numbers are NaN
                 yield pa.RecordBatch.from_pydict({"n": pa.array([n], pa.int32()), "flat": pa.array([flat.tobytes()], pa.binary())})
 
     packed = spread(rows.select(vec).mapInArrow(run, "n int, flat binary"))
