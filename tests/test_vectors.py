@@ -132,6 +132,26 @@ def plain_rounds(points, model, floor, rounds):
     return logs
 
 
+def test_hash_tables_hold_a_row_searched_for_itself_once_and_cut_by_products(spark, monkeypatch):
+    points = clustered(600, 4, 3)
+    rows = frame(spark, np.vstack([points, points[:1], points[:1], points[:1]]))
+    written = {}
+    real = hashing.via_table
+    monkeypatch.setattr(hashing, "via_table", lambda df, name: written.setdefault(name, real(df, name)) if name == "hash-buckets" else kept(real(df, name), name))
+
+    def kept(df, name):
+        assert "vec" not in df.columns or name == "hash-base"  # vectors are not written again at every depth
+        return df
+
+    got = {(r["query"], r["neighbor"]): r["dist"] for r in hashing.knn_lsh(rows, rows, 1, True, tables=4, leaf=8).collect()}
+    assert len(got) == 603 and written["hash-buckets"].count() == 4 * 603
+    monkeypatch.undo()
+    apart = hashing.knn_lsh(rows, rows.select("*"), 1, True, tables=4, leaf=8)  # as two tables
+    assert {(r["query"], r["neighbor"]): r["dist"] for r in apart.collect()} == got
+    monkeypatch.setattr(hashing, "BLOCK_ROWS", 3)  # nearly all buckets in joined blocks
+    assert {(r["query"], r["neighbor"]): r["dist"] for r in hashing.knn_lsh(rows, rows, 1, True, tables=4, leaf=8).collect()} == got
+
+
 def test_mixture_rounds_equal_whole_matrices(spark):
     rng = np.random.default_rng(0)
     points = np.vstack([rng.normal(size=(150, 3)) * [1, 2, 0.5] + c for c in ([0, 0, 0], [8, 0, 1], [0, 9, -3], [9, 9, 9])])
