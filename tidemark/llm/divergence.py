@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -54,15 +55,16 @@ def counted_terms(docs: DataFrame) -> DataFrame:
     """(lang, source, term, n, docs): occurrences and documents; every group also has a row with a null term."""
 
     def rows(groups: dict):
-        keys = [k for k, (n, _) in groups.items() for _ in range(len(n) + 1)]
-        terms = [t for n, _ in groups.values() for t in (None, *n)]
+        at = pa.array(np.repeat(np.arange(len(groups)), [len(n) + 1 for n, _ in groups.values()]))
+        each = chain.from_iterable
+        terms = list(each(chain((None,), n) for n, _ in groups.values()))
         yield pa.RecordBatch.from_pydict(
             {
-                "lang": pa.array([k[0] for k in keys], pa.string()),
-                "source": pa.array([k[1] for k in keys], pa.string()),
+                "lang": pa.array([lang for lang, _ in groups], pa.string()).take(at),
+                "source": pa.array([source for _, source in groups], pa.string()).take(at),
                 "term": pa.array(terms, pa.binary()).cast(pa.string()),
-                "n": pa.array([c for n, _ in groups.values() for c in (0, *n.values())], pa.int64()),
-                "docs": pa.array([c for n, d in groups.values() for c in (0, *(d[t] for t in n))], pa.int64()),
+                "n": pa.array(np.fromiter(each(chain((0,), n.values()) for n, _ in groups.values()), np.int64, len(at))),
+                "docs": pa.array(np.fromiter(each(chain((0,), map(d.__getitem__, n)) for n, d in groups.values()), np.int64, len(at))),
             }
         )
 
@@ -71,10 +73,11 @@ def counted_terms(docs: DataFrame) -> DataFrame:
         for batch, texts in text_slices(batches):
             for lang, source, text in zip(batch["lang"].to_pylist(), batch["source"].to_pylist(), texts, strict=True):
                 n, d = groups.setdefault((lang, source), (Counter(), Counter()))
-                own = Counter(TERM.findall((text or "").encode().lower()))
-                size += sum(200 + len(t) for t in own.keys() - n.keys())
-                n.update(own)
-                d.update(own.keys())
+                words = TERM.findall((text or "").encode().lower())
+                own = set(words)
+                size += sum(200 + len(t) for t in own - n.keys())
+                n.update(words)
+                d.update(own)
             if size > FLUSH_BYTES:
                 yield from rows(groups)
                 groups, size = {}, 0
