@@ -12,13 +12,13 @@ from tidemark.sources.tables import RATINGS_SQL, ratings, table
 
 
 def rating_table(spark, folder):
-    """The ratings, joined once; every fit and check below reads this table."""
+    """The ratings, joined once, for queries that read them several times."""
     return via_table(ratings(spark, folder), "ratings")
 
 
 @query("als_train_mse")
 def als_train_mse(spark, folder):
-    rows = recommend.one_per_pair(rating_table(spark, folder))
+    rows = recommend.one_per_pair(ratings(spark, folder))
     model = recommend.fit_als(rows, rank=10, iters=20, reg=0.01)
     return evaluate.mse(rows, recommend.pair_predictions(model, rows))
 

@@ -6,27 +6,38 @@ from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
-from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import evaluate, relational
 from tidemark.operators.ordered import running_rank
-from tidemark.session import shared_root, via_table
+from tidemark.plans import factors
+from tidemark.session import via_table
 
 # The parameter grid of the movie recommender.
 GRID = [(rank, reg, iters) for rank in (8, 12) for reg in (0.1, 10.0) for iters in (10, 20)]
 
 
 def one_per_pair(ratings: DataFrame) -> DataFrame:
-    """Mean rating per (user, item): repeated pairs would be summed into one confidence otherwise."""
-    return ratings.groupBy("user_id", "item_id").agg(F.avg("rating").alias("rating"))
+    """Mean rating per (user, item), as a table: repeated pairs would be summed into one confidence otherwise."""
+    return via_table(ratings.groupBy("user_id", "item_id").agg(F.avg("rating").alias("rating")), "rated-pairs")
+
+
+class Fitted(NamedTuple):
+    """Factors by dense number, in files of the shared folder."""
+
+    users: factors.Factors
+    items: factors.Factors
+
+    @property
+    def rank(self) -> int:
+        return self.users.rank
 
 
 class Recommender(NamedTuple):
     """Fitted factors, and the tables that number users and items (ALS only takes 32-bit numbers)."""
 
-    model: ALSModel
+    model: Fitted
     users: DataFrame
     items: DataFrame
 
@@ -43,24 +54,21 @@ def numbered(ratings: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return via_table(coded.select("user_id_no", "item_id_no", "rating"), "coded"), users, items
 
 
-def _fit(coded: DataFrame, rank: int, iters: int, reg: float, seed: int) -> ALSModel:
-    context = coded.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        # Factor blocks are checkpointed every round, where executors can reach them: a checkpoint is what lets
-        # the shuffle files of the rounds before it go, so disk holds about one round of a fit, not all of them.
-        context.setCheckpointDir(shared_root(coded.sparkSession))
-    als = ALS(
-        rank=rank,
-        maxIter=iters,
-        regParam=reg,
-        seed=seed,
-        userCol="user_id_no",
-        itemCol="item_id_no",
-        ratingCol="rating",
-        coldStartStrategy="drop",
-        checkpointInterval=1,
-    )
-    return als.fit(coded)
+class Packed(NamedTuple):
+    """Numbered ratings, and as the rounds read them, once by user and once by item; all fits share them."""
+
+    coded: DataFrame
+    by_user: DataFrame
+    by_item: DataFrame
+
+
+def pack(coded: DataFrame) -> Packed:
+    return Packed(coded, factors.packed(coded, "user_id_no", "item_id_no"), factors.packed(coded, "item_id_no", "user_id_no"))
+
+
+def _fit(coded: DataFrame | Packed, rank: int, iters: int, reg: float, seed: int) -> Fitted:
+    ready = coded if isinstance(coded, Packed) else pack(coded)
+    return Fitted(*factors.fit(ready.by_user, ready.by_item, factors.start(ready.coded, rank, seed), iters, reg))
 
 
 def fit_als(ratings: DataFrame, rank: int = 10, iters: int = 20, reg: float = 0.01, seed: int = 42) -> Recommender:
@@ -72,7 +80,7 @@ def fit_als(ratings: DataFrame, rank: int = 10, iters: int = 20, reg: float = 0.
 def scored(fitted: Recommender, pairs: DataFrame) -> DataFrame:
     """`pairs` with a prediction where the model knows both sides; other rows drop out."""
     coded = pairs.join(fitted.users, "user_id").join(fitted.items, "item_id")
-    found = fitted.model.transform(coded).withColumn("prediction", F.col("prediction").cast("double"))
+    found = factors.predicted(coded, fitted.model.users, fitted.model.items)
     return found.select(*pairs.columns, "prediction")
 
 
@@ -93,10 +101,11 @@ def grid_search(
     The trials share one numbered table; `at_once` of them run at the same time.
     """
     coded, users, items = numbered(train)
+    ready = pack(coded)
 
     def trial(setting):
         rank, reg, iters = setting
-        fitted = Recommender(_fit(coded, rank, iters, reg, seed), users, items)
+        fitted = Recommender(_fit(ready, rank, iters, reg, seed), users, items)
         return fitted, evaluate.rmse_over(validation, pair_predictions(fitted, validation)).first()["rmse"]
 
     grid = list(grid)
