@@ -201,6 +201,25 @@ def test_classifiers_beat_the_majority(spark):
     assert trials.count() == 2 and best[2] in ("gini", "entropy")
 
 
+def test_trials_of_one_setting_share_the_deepest_fit(spark, monkeypatch):
+    rnd = np.random.default_rng(3)
+    points = rnd.normal(size=(400, 6))
+    labels = (points[:, 0] + points[:, 1] * points[:, 2] + rnd.normal(size=400) > 0).astype(int) + (points[:, 3] > 1)
+    rows = classify.labelled(
+        spark.createDataFrame([(str(c), [float(x) for x in p]) for c, p in zip(labels, points, strict=True)], "lang string, vec array<double>"),
+        "lang", ["0", "1", "2"],
+    ).persist()
+    train, test = rows, rows.unionAll(rows.limit(50))
+    grid = [(3, subset, "gini", depth) for subset in ("all", "sqrt") for depth in (2, 3, 5)]
+    want = [evaluate.confusion_counts(classify.forest(*g).fit(train).transform(test)).orderBy("label", "prediction").collect() for g in grid]
+    fits = []
+    real = classify.forest
+    monkeypatch.setattr(classify, "forest", lambda *setting: fits.append(setting) or real(*setting))
+    trials, _ = classify.forest_grid(train, test, grid)
+    got = [[tuple(c) for c in r.confusion] for r in trials.orderBy("trial").collect()]
+    assert got == [[tuple(c) for c in w] for w in want] and len(fits) == 2
+
+
 def test_gaussian_parameters_equal_the_library(spark):
     rows = shares(spark)
     fitted = classify.gaussian_bayes().fit(rows)

@@ -72,8 +72,8 @@ def error_rate(scored: DataFrame) -> DataFrame:
     )
 
 
-def confusion_counts(scored: DataFrame) -> DataFrame:
-    return scored.groupBy("label", "prediction").agg(F.count("*").alias("n"))
+def confusion_counts(scored: DataFrame, *by: str) -> DataFrame:
+    return scored.groupBy(*by, "label", "prediction").agg(F.count("*").alias("n"))
 
 
 def confusion_matrix(scored: DataFrame, classes: Sequence[str]) -> DataFrame:

@@ -7,9 +7,11 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.classification import DecisionTreeClassifier, NaiveBayes, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -78,22 +80,41 @@ def forest_grid(
 ) -> tuple[DataFrame, tuple[int, str, str, int]]:
     """One row per trial with its test error and confusion counts, and the parameters of the best, the first on ties.
 
-    Both tables are persisted once; `at_once` trials run at the same time.
+    Both tables are persisted once; `at_once` fits run at the same time. Trials that differ in depth alone share the fit
+    of the deepest: the library grows trees level by level, so the others are its first levels (`cut_forests`).
     """
     spark = train.sparkSession
     train, test = train.persist(), test.persist()
     grid = list(grid)
-
-    def trial(setting):
-        scored = forest(*setting, seed).fit(train).transform(test)
-        cells = evaluate.confusion_counts(scored).orderBy("label", "prediction").collect()  # classes x classes rows
-        wrong = sum(c["n"] for c in cells if c["label"] != c["prediction"])
-        return wrong / max(1, sum(c["n"] for c in cells)), [tuple(c) for c in cells]
+    depths: dict[tuple, list[int]] = {}
+    for trees, subset, impurity, depth in grid:
+        depths.setdefault((trees, subset, impurity), []).append(depth)
+
+    def trials(setting):
+        """The class counts of the trials of one setting, by depth."""
+        wanted = sorted(set(depths[setting]))
+        fitted = forest(*setting, wanted[-1], seed).fit(train)
+        cells: dict[int, list] = {}
+        if len(wanted) > 1 and level_at_once(fitted, wanted[-1]):
+            counts = evaluate.confusion_counts(cut_forests(fitted, wanted, test), "depth")
+            for c in counts.orderBy("label", "prediction").collect():  # depths x classes x classes rows
+                cells.setdefault(c["depth"], []).append((c["label"], c["prediction"], c["n"]))
+            return {depth: cells.get(depth, []) for depth in wanted}
+        for depth in wanted:
+            model = fitted if depth == wanted[-1] else forest(*setting, depth, seed).fit(train)
+            counts = evaluate.confusion_counts(model.transform(test)).orderBy("label", "prediction")
+            cells[depth] = [tuple(c) for c in counts.collect()]  # classes x classes rows
+        return cells
 
     with ThreadPoolExecutor(at_once) as pool:
-        found = list(pool.map(trial, grid))
+        by_setting = dict(zip(depths, pool.map(trials, depths), strict=True))
     train.unpersist()
     test.unpersist()
+    found = []
+    for trees, subset, impurity, depth in grid:
+        cells = by_setting[trees, subset, impurity][depth]
+        wrong = sum(n for label, prediction, n in cells if label != prediction)
+        found.append((wrong / max(1, sum(n for *_, n in cells)), cells))
     rows = [(number, *setting, *result) for number, (setting, result) in enumerate(zip(grid, found, strict=True), 1)]
     schema = (
         "trial int, trees int, subset string, impurity string, depth int, error double, "
@@ -103,6 +124,59 @@ def forest_grid(
     return spark.createDataFrame(rows, schema), grid[best]
 
 
+def level_at_once(fitted, depth: int) -> bool:
+    """Whether all nodes of a level fit the memory in which the library splits nodes together.
+
+    Beyond it nodes are split in groups, whose order a forest's depth may change, and with it the features drawn.
+    """
+    bytes_of_node = 8 * fitted.numFeatures * fitted.getMaxBins() * (fitted.numClasses + 1)
+    return fitted.getNumTrees * 2 ** (depth - 1) * bytes_of_node <= fitted.getMaxMemoryInMB() << 20
+
+
+def tree_counts(node) -> tuple:
+    """(class counts of the training rows, left, right) of a fitted node; leaves have no children."""
+    if node.subtreeDepth() == 0:
+        text = node.impurityStats().toString()
+        return np.array([float(x) for x in text[text.index("[") + 1 : text.index("]")].split(",")]), None, None
+    left, right = tree_counts(node.leftChild()), tree_counts(node.rightChild())
+    return left[0] + right[0], left, right
+
+
+def cut_tree(node: tuple, depth: int) -> tuple[list[np.ndarray], bool]:
+    """For every leaf below `node`, the counts of the leaf it lies under in the tree grown only `depth` levels on.
+
+    As the library prunes, two leaves that answer the same class are one. The flag tells whether the node is a leaf then.
+    """
+    counts, left, right = node
+    if left is None:
+        return [counts], True
+    (a, a_leaf), (b, b_leaf) = cut_tree(left, max(0, depth - 1)), cut_tree(right, max(0, depth - 1))
+    if depth == 0 or (a_leaf and b_leaf and a[0].argmax() == b[0].argmax()):
+        return [counts] * (len(a) + len(b)), True
+    return a + b, False
+
+
+def cut_forests(fitted, depths: list[int], test: DataFrame) -> DataFrame:
+    """(depth, label, prediction) of every row of `test`, by the forest grown to each of `depths`, given the deepest."""
+    trees = [tree_counts(t._java_obj.rootNode()) for t in fitted.trees]
+    votes = []
+    for depth in depths:
+        counts = [np.array(cut_tree(t, depth)[0]) for t in trees]
+        votes.append([c / np.maximum(c.sum(1, keepdims=True), 1e-300) for c in counts])
+
+    def run(batches):
+        for batch in batches:
+            leaves = batch.column("leaves").flatten().to_numpy().reshape(batch.num_rows, len(trees)).astype(np.int64)
+            for depth, shares in zip(depths, votes, strict=True):
+                total = sum(s[leaves[:, t]] for t, s in enumerate(shares))
+                columns = [pa.array(np.full(batch.num_rows, depth, np.int32)), batch.column("label"), pa.array(total.argmax(1).astype(np.float64))]
+                yield pa.RecordBatch.from_arrays(columns, ["depth", "label", "prediction"])
+
+    fitted.setLeafCol("_leaves")
+    scored = fitted.transform(test).select("label", vector_to_array("_leaves").alias("leaves"))
+    return scored.mapInArrow(run, "depth int, label double, prediction double")
+
+
 def gaussian_parameters(df: DataFrame, label: str, vec: str = "vec") -> DataFrame:
     """(label, i, mean, variance): what Gaussian naive Bayes learns, as one grouped aggregate."""
     width = df.agg(F.max(F.size(vec))).first()[0] or 0
