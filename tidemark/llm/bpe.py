@@ -144,7 +144,7 @@ class DuckBpe:
                 ids=pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
             )
             query = ENCODE if sizes.max() < 65536 else ENCODE_LONG
-            ids = self.db.execute(query).to_arrow_table()["ids"].combine_chunks()
+            ids = self.db.sql(query).to_arrow_table()["ids"].combine_chunks()
             ends = (4 * np.append(0, np.cumsum(pa.compute.list_value_length(ids).to_numpy()))).tolist()
             letters = ids.flatten().to_numpy().astype("<i4").tobytes()
             out += [letters[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
@@ -183,7 +183,7 @@ class DuckBpe:
                 spot=pa.array(np.arange(total, dtype=np.int32)),
                 id=pa.array(np.frombuffer(b"".join(packed), "<i4")),
             )
-            found = self.db.execute(DECODE).to_arrow_table()
+            found = self.db.sql(DECODE).to_arrow_table()
             for doc, text in zip(found["doc"].to_pylist(), found["letters"].to_pylist(), strict=True):
                 out[doc] = text.encode("latin-1")
         return out
