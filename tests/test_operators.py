@@ -135,6 +135,20 @@ def test_mutual_friends_with_hub_one_sided_and_self_links(spark, monkeypatch):
     assert counts == {k: len(v) for k, v in want.items()}
 
 
+def test_degrees_are_counted_once(spark, monkeypatch):
+    plans = {}
+    real = graph.via_table
+
+    def noted(df, name):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return real(df, name)
+
+    monkeypatch.setattr(graph, "via_table", noted)
+    links = spark.createDataFrame([(a, b) for a, b in combinations(range(6), 2)], "a bigint, b bigint")
+    assert graph.triangles(graph.friend_pairs(links)).count() == 20
+    assert "Generate explode(array(u1" in plans["degrees"] and "Generate explode(array(u1" not in plans["edges"]
+
+
 def test_links_from_lists(spark):
     lists = spark.createDataFrame([("a", ["b", "c"]), ("b", ["c"])], "user string, friends array<string>")
     got = {(r.u1, r.u2, r.friend) for r in graph.mutual_friends(graph.from_lists(lists)).collect()}
