@@ -149,3 +149,56 @@ def test_recent_values_come_back_from_the_older_generation():
         ask(keys)
     assert len(recent.known) + len(recent.old) <= 2 * 3 + 4
     assert learned.count("a") == 1 and learned.count("b") == 2
+
+
+RARE = "\x1c\x1f\x85\xa0\u1680\u2000\u200a\u2028\u202f\u205f\u3000"
+NEAR = "\x1b\xa1\u200b\u1681\u3001\u0085\u0080\U00010000"  # next to them, or ending in the same bytes
+SPACES = [" \t", *(f"a{c} b {c}c\t{c}\n {c}d {c}" for c in RARE + NEAR)]
+
+
+def test_bounds_in_bytes_equal_the_units_of_texts():
+    import pyarrow as pa
+
+    from tidemark.llm.common import text_bytes, unit_bounds, units
+
+    texts = [*ODD, None, *SPACES, "", prose(3, 50), *SPACES]
+    for some in (texts, [], [""], [None, "", None], *([t] for t in texts)):
+        for kind in (pa.string(), pa.large_string()):
+            letters, bounds = text_bytes(pa.array(["left out", *some], kind)[1:])
+            places, first = unit_bounds(letters, bounds)
+            cut = [letters[a:b].tobytes().decode() for a, b in zip(places[:-1], places[1:], strict=True)]
+            assert [cut[a:b] for a, b in zip(first[:-1], first[1:], strict=True)] == [units(t or "") for t in some]
+
+
+class CountedPattern:
+    def __init__(self, pattern):
+        self.pattern, self.calls = pattern, 0
+
+    def findall(self, text):
+        self.calls += 1
+        return self.pattern.findall(text)
+
+
+def test_new_units_are_searched_and_decoded_together(library):
+    import pyarrow as pa
+
+    coder = bpe.DuckBpe(RANKS, public_tokenizers.PATTERN)
+    coder.pattern = CountedPattern(coder.pattern)
+    texts = [*ODD, *SPACES, "", *(" ".join(f"{w}{k}'s.," for w in prose(k, 30).split()) for k in range(40))]
+    ids, bounds = coder.encode(pa.array([*texts, None]))
+    want = [library.encode_ordinary(t) for t in [*texts, ""]]
+    assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)] == want
+    assert coder.pattern.calls < 100  # of more than 1,200 units
+    assert coder.decode_ids(ids, bounds) == [t.encode() for t in [*texts, ""]]
+    assert [x.tolist() for x in coder.encode(pa.array(["", None]))] == [[], [0, 0, 0]]
+    assert coder.decode_ids(np.empty(0, np.int32), np.zeros(3, np.int64)) == [b"", b""]
+
+
+def test_ids_are_decoded_in_pieces_and_in_any_order_of_the_engine(library, monkeypatch):
+    coder = bpe.DuckBpe(RANKS, public_tokenizers.PATTERN)
+    texts = [prose(k, 60) for k in range(9)] + ["", "日本語" * 40]
+    packed = [np.array(library.encode_ordinary(t), "<i4").tobytes() for t in texts]
+    monkeypatch.setattr(bpe, "IDS_AT_ONCE", 50)
+    assert coder.decode(packed) == [t.encode() for t in texts]
+    monkeypatch.setattr(bpe, "DECODE", bpe.DECODE.replace("ORDER BY spot", "ORDER BY spot DESC"))
+    assert coder.decode(packed) == [t.encode() for t in texts]

@@ -17,36 +17,44 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Recent, text_slices, units, worker_state
+from tidemark.llm.common import Recent, array_slices, binaries, gathered, text_bytes, unit_bounds, worker_state
 
 CACHE_BYTES = 80 << 20  # of known units in one generation
-WORDS_AT_ONCE = 10_000
-IDS_AT_ONCE = 1 << 21  # of decimals made at once
+WORD_BYTES = 1 << 19  # of words merged by one query
+IDS_AT_ONCE = 1 << 20  # of decimals made, and ids decoded, at once
 TEXT_BYTES = 2 << 20  # of texts handled at once
+WHITE = "\t\n\v\f\r "
 
 ENCODE = """
-WITH RECURSIVE state(step, word, ids) AS (
-    SELECT 0, word, ids FROM words
+WITH RECURSIVE state(word, ids, done) AS (
+    SELECT word, ids, false FROM words
     UNION ALL
-    SELECT step + 1, word, ids[:(best % 65536) - 1] || [(best // 65536)::INT] || ids[(best % 65536) + 2:]
-    FROM state JOIN (
+    SELECT word, CASE WHEN best IS NULL THEN ids
+                 ELSE ids[:(best % 65536) - 1] || [(best // 65536)::INT] || ids[(best % 65536) + 2:] END, best IS NULL
+    FROM state LEFT JOIN (
         SELECT word, min(merged::BIGINT * 65536 + spot) AS best
         FROM (SELECT word, generate_subscripts(ids, 1) AS spot, unnest(ids)::BIGINT * 4194304 + unnest(ids[2:]) AS pair
-              FROM state WHERE len(ids) > 1) JOIN merges USING (pair)
+              FROM state WHERE len(ids) > 1 AND NOT done) JOIN merges USING (pair)
         GROUP BY word) USING (word)
+    WHERE NOT done
 )
-SELECT word, arg_max(ids, step) AS ids FROM state GROUP BY word ORDER BY word
+SELECT ids FROM state WHERE done ORDER BY word
 """
 ENCODE_LONG = ENCODE.replace("65536", "4294967296")  # positions of words over 65,535 bytes
 
 DECODE = """
-SELECT doc, string_agg(letters, '' ORDER BY spot) AS letters FROM ids JOIN vocabulary USING (id) GROUP BY doc ORDER BY doc
+SELECT string_agg(letters, '') AS letters, list(spot) AS spots, doc
+FROM (SELECT doc, spot, letters FROM ids JOIN vocabulary USING (id) ORDER BY spot) GROUP BY doc ORDER BY doc
+"""
+DECODE_SORTING = """
+SELECT string_agg(letters, '' ORDER BY spot) AS letters, doc FROM ids JOIN vocabulary USING (id) GROUP BY doc ORDER BY doc
 """
 
 
@@ -64,32 +72,26 @@ class Decimals:
     """Ids as decimals joined by spaces, for many ids at once."""
 
     def __init__(self, n_ids: int):
-        self.digits = np.char.add(np.arange(n_ids).astype("S"), b" ")
-        self.sizes = np.char.str_len(self.digits).astype(np.int8)
-        self.digits = self.digits.view(np.uint8).reshape(n_ids, -1)
-        self.places = np.arange(self.digits.shape[1], dtype=np.int8)
+        self.digits = pa.array([b"%d " % i for i in range(n_ids)], pa.large_binary())
 
     def letters(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
-        """The ids, a space after each, and the length of each with its space."""
-        sizes = self.sizes[ids]
-        return self.digits[ids][self.places < sizes[:, None]].tobytes(), sizes
+        """The ids, a space after each, and the bounds between them."""
+        return gathered(self.digits, pa.array(ids))
 
-    def digest(self, packed: bytes) -> str:
+    def digest(self, ids: np.ndarray) -> str:
         """The SHA-256 of one sequence's decimals, a piece of it at a time."""
-        ids, sha = np.frombuffer(packed, "<i4"), hashlib.sha256()
+        sha = hashlib.sha256()
         for at in range(0, len(ids), IDS_AT_ONCE):
             letters = self.letters(ids[at : at + IDS_AT_ONCE])[0]
             sha.update(letters if at + IDS_AT_ONCE < len(ids) else letters[:-1])
         return sha.hexdigest()
 
-    def digests(self, packed: list[bytes]) -> list[str]:
-        """The SHA-256 of every sequence's decimals."""
-        counts = [len(p) // 4 for p in packed]
-        if sum(counts) > IDS_AT_ONCE:
-            return list(map(self.digest, packed))
-        letters, sizes = self.letters(np.frombuffer(b"".join(packed), "<i4"))
-        ends = np.append(0, np.cumsum(sizes, dtype=np.int64))[np.cumsum(counts)].tolist()
-        return [hashlib.sha256(letters[a : max(a, b - 1)]).hexdigest() for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+    def digests(self, ids: np.ndarray, bounds: np.ndarray) -> list[str]:
+        """The SHA-256 of every sequence's decimals; the sequences lie between neighbouring bounds."""
+        if len(ids) > IDS_AT_ONCE:
+            return [self.digest(ids[a:b]) for a, b in pairwise(bounds.tolist())]
+        letters, places = self.letters(ids)
+        return [hashlib.sha256(letters[a : max(a, b - 1)]).hexdigest() for a, b in pairwise(places[bounds].tolist())]
 
 
 class DuckBpe:
@@ -133,8 +135,10 @@ class DuckBpe:
     def encode_packed(self, words: list[bytes]) -> list[bytes]:
         """Ids of each non-empty word, merged on its own, as packed 32-bit integers."""
         out = []
-        for at in range(0, len(words), WORDS_AT_ONCE):
-            some = words[at : at + WORDS_AT_ONCE]
+        ends = np.cumsum(list(map(len, words)), dtype=np.int64)
+        cuts = (np.flatnonzero(np.diff(ends // WORD_BYTES)) + 1).tolist()
+        for start, end in pairwise([0, *cuts, len(words)] if words else []):
+            some = words[start:end]
             sizes = np.array(list(map(len, some)), np.int64)
             flat = self.single[np.frombuffer(b"".join(some), np.uint8)]
             offsets = np.append(0, np.cumsum(sizes)).astype(np.int32)
@@ -145,48 +149,72 @@ class DuckBpe:
             )
             query = ENCODE if sizes.max() < 65536 else ENCODE_LONG
             ids = self.db.sql(query).to_arrow_table()["ids"].combine_chunks()
-            ends = (4 * np.append(0, np.cumsum(pa.compute.list_value_length(ids).to_numpy()))).tolist()
+            bounds = (4 * np.append(0, np.cumsum(pa.compute.list_value_length(ids).to_numpy()))).tolist()
             letters = ids.flatten().to_numpy().astype("<i4").tobytes()
-            out += [letters[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+            out += [letters[a:b] for a, b in pairwise(bounds)]
         return out
 
     def encode_words(self, words: list[bytes]) -> list[list[int]]:
         return [np.frombuffer(p, "<i4").tolist() for p in self.encode_packed(words)]
 
+    def pieces(self, parts: list[str]) -> tuple[list[str], list[str], np.ndarray]:
+        """The units in another order, the pattern's matches in all of them, and the bounds of each unit's matches.
+
+        Units that begin with white space and end without are searched as one text, which `units` may cut again.
+        """
+        joined, alone = [], []
+        for u in parts:
+            (joined if u[0] in WHITE and not u[-1].isspace() else alone).append(u)
+        found = self.pattern.findall("".join(joined))
+        ends, stops = (np.cumsum(list(map(len, x)), dtype=np.int64) for x in (joined, found))
+        counts = np.searchsorted(stops, ends, "right")
+        if not np.array_equal(np.append(0, stops)[counts], ends):  # a match over an end, or letters without a match
+            joined, alone, found, counts = [], parts, [], counts[:0]
+        single = list(map(self.pattern.findall, alone))
+        bounds = np.concatenate([[0], counts, len(found) + np.cumsum(list(map(len, single)), dtype=np.int64)])
+        return joined + alone, found + list(chain.from_iterable(single)), bounds
+
     def _learn(self, missing: list[str]) -> None:
         known = self.recent.known
-        pieces = [self.pattern.findall(u) for u in missing]
-        words = self.recent.missing(set().union(*pieces))
+        parts, pieces, bounds = self.pieces(missing)
+        words = self.recent.missing(set(pieces))
         known.update(zip(words, self.encode_packed([w.encode() for w in words]), strict=True))
-        get = known.__getitem__
-        known.update((u, b"".join(map(get, p))) for u, p in zip(missing, pieces, strict=True) if len(p) > 1)
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Each text's ids as packed 32-bit integers."""
-        parts = [units(t) for t in texts]
-        here = set().union(*parts)
-        self._learn(self.recent.missing(here))
-        get = self.recent.known.__getitem__
-        out = [b"".join(map(get, p)) for p in parts]
+        packed = list(map(known.__getitem__, pieces))
+        known.update((u, b"".join(packed[a:b])) for u, (a, b) in zip(parts, pairwise(bounds.tolist()), strict=True) if b - a > 1)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, and the bounds between the texts."""
+        letters, bounds = text_bytes(texts)
+        places, first = unit_bounds(letters, bounds)
+        parts = binaries(letters, places).dictionary_encode()
+        here = parts.dictionary.cast(pa.large_string()).to_numpy(zero_copy_only=False).tolist()
+        found = list(map(self.recent.known.get, here))
+        self._learn(self.recent.missing({u for u, ids in zip(here, found, strict=True) if ids is None}))
+        known = self.recent.known
+        found = [known[u] if ids is None else ids for u, ids in zip(here, found, strict=True)]
+        packed, ends = gathered(pa.array(found, pa.large_binary()), parts.indices)
         self.recent.trim(here)
-        return out
+        return np.frombuffer(packed, "<i4"), ends[first] // 4
 
     def decode(self, packed: list[bytes]) -> list[bytes]:
         """The bytes of each id sequence."""
-        sizes = np.array([len(p) // 4 for p in packed], np.int64)
-        total = int(sizes.sum())
-        out = [b""] * len(packed)
-        if total:
-            self._view(
-                "ids",
-                doc=pa.array(np.repeat(np.arange(len(packed), dtype=np.int32), sizes)),
-                spot=pa.array(np.arange(total, dtype=np.int32)),
-                id=pa.array(np.frombuffer(b"".join(packed), "<i4")),
-            )
+        sizes = [len(p) // 4 for p in packed]
+        return self.decode_ids(np.frombuffer(b"".join(packed), "<i4"), np.append(0, np.cumsum(sizes, dtype=np.int64)))
+
+    def decode_ids(self, ids: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+        """The bytes of the id sequences between neighbouring bounds."""
+        docs = np.repeat(np.arange(len(bounds) - 1, dtype=np.int32), np.diff(bounds))
+        out = [[] for _ in range(len(bounds) - 1)]
+        for at in range(0, len(ids), IDS_AT_ONCE):
+            some = ids[at : at + IDS_AT_ONCE]
+            spots = np.arange(len(some), dtype=np.int32)
+            self._view("ids", doc=pa.array(docs[at : at + IDS_AT_ONCE]), spot=pa.array(spots), id=pa.array(some))
             found = self.db.sql(DECODE).to_arrow_table()
+            if not np.array_equal(found["spots"].combine_chunks().flatten().to_numpy(), spots):
+                found = self.db.sql(DECODE_SORTING).to_arrow_table()  # the engine took the sorted rows in another order
             for doc, text in zip(found["doc"].to_pylist(), found["letters"].to_pylist(), strict=True):
-                out[doc] = text.encode("latin-1")
-        return out
+                out[doc].append(text.encode("latin-1"))
+        return list(map(b"".join, out))
 
 
 def bpe(docs: DataFrame, ranks: str, pattern: str, keep_ids: bool = False) -> DataFrame:
@@ -194,18 +222,16 @@ def bpe(docs: DataFrame, ranks: str, pattern: str, keep_ids: bool = False) -> Da
 
     def run(batches):
         coder = worker_state("bpe:" + ranks, lambda: DuckBpe(ranks, pattern))
-        for batch, texts in text_slices(batches, size=TEXT_BYTES):
-            packed = coder.encode([t or "" for t in texts])
-            counts = [len(p) // 4 for p in packed]
+        for batch, texts in array_slices(batches, size=TEXT_BYTES):
+            ids, bounds = coder.encode(texts)
             columns = {
                 "doc_id": batch.column("doc_id"),
-                "n_tokens": pa.array(counts, pa.int64()),
-                "ids_sha256": pa.array(coder.decimals.digests(packed)),
-                "decoded_sha256": pa.array([hashlib.sha256(b).hexdigest() for b in coder.decode(packed)]),
+                "n_tokens": pa.array(np.diff(bounds)),
+                "ids_sha256": pa.array(coder.decimals.digests(ids, bounds)),
+                "decoded_sha256": pa.array([hashlib.sha256(b).hexdigest() for b in coder.decode_ids(ids, bounds)]),
             }
             if keep_ids:
-                ends = np.append(0, np.cumsum(counts)).astype(np.int32)
-                columns["ids"] = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(packed), "<i4")))
+                columns["ids"] = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids))
             yield pa.RecordBatch.from_pydict(columns)
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"

@@ -123,8 +123,8 @@ def release_memory() -> None:
         trim(0)
 
 
-def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text", size: int = SLICE_BYTES):
-    """(slice of the batch, its texts) pieces of about `size` bytes; a null text comes as None."""
+def array_slices(batches: Iterator[pa.RecordBatch], column: str = "text", size: int = SLICE_BYTES):
+    """(slice of the batch, its texts as an Arrow array) pieces of about `size` bytes."""
     drop_others_state()
     release_memory()
     for batch in batches:
@@ -135,7 +135,35 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text", size: i
         piece = (np.cumsum(lengths) - lengths) // size
         cuts = np.flatnonzero(np.diff(piece)) + 1
         for start, end in zip([0, *cuts], [*cuts, len(texts)], strict=True):
-            yield batch.slice(start, end - start), texts.slice(start, end - start).to_pylist()
+            yield batch.slice(start, end - start), texts.slice(start, end - start)
+
+
+def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text", size: int = SLICE_BYTES):
+    """(slice of the batch, its texts) pieces of about `size` bytes; a null text comes as None."""
+    for batch, texts in array_slices(batches, column, size):
+        yield batch, texts.to_pylist()
+
+
+def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The UTF-8 bytes of all texts in one array, and the places in it between the texts; a null text is empty."""
+    plain = pa.compute.fill_null(texts, "").cast(pa.large_binary())
+    _, offsets, letters = plain.buffers()
+    bounds = np.frombuffer(offsets, np.int64)[plain.offset : plain.offset + len(plain) + 1]
+    size = bounds[-1] - bounds[0]
+    return np.frombuffer(letters, np.uint8, size, bounds[0]) if size else np.empty(0, np.uint8), bounds - bounds[0]
+
+
+def binaries(letters: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """The pieces of a byte array between neighbouring bounds."""
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(bounds) - 1, [None, *map(pa.py_buffer, (bounds, letters))])
+
+
+def gathered(values: pa.Array, at: pa.Array) -> tuple[bytes, np.ndarray]:
+    """The large binary values at the given places one after the other, and the bounds between them."""
+    found = values.take(at)
+    _, bounds, letters = found.buffers()
+    bounds = np.frombuffer(bounds, np.int64)[: len(found) + 1]
+    return letters.to_pybytes()[: bounds[-1]] if bounds[-1] else b"", bounds
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -255,6 +283,33 @@ def units(text: str) -> list[str]:
     return [u for u in STABLE_CUT.split(text) if u]
 
 
+ASCII_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+RARE_ENDS = np.array([int.from_bytes(c.encode()) for c in map(chr, range(0x3001)) if RARE_SPACE.match(c)])
+
+
+def after_rare_space(letters: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether each of the places (above 0) in UTF-8 bytes follows a character of RARE_SPACE."""
+    code, rare = np.zeros(len(at), np.int64), np.zeros(len(at), bool)
+    for back in (1, 2, 3):
+        code += letters[np.maximum(at - back, 0)].astype(np.int64) << 8 * (back - 1)
+        rare |= (at >= back) & np.isin(code, RARE_ENDS)
+    return rare
+
+
+def unit_bounds(letters: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bounds of the `units` of all texts in their UTF-8 bytes, and the number of units before each of the texts' bounds."""
+    space = ASCII_SPACE[letters]
+    cut = space.copy()
+    cut[1:] &= ~space[:-1]
+    cut[:1] = False
+    before = np.flatnonzero(cut) - 1
+    unsure = before[(letters[before] >= 0x80) | (letters[before] >> 2 == 0x1C >> 2)] + 1
+    cut[unsure[after_rare_space(letters, unsure)]] = False
+    cut[bounds[bounds < len(letters)]] = True
+    places = np.append(np.flatnonzero(cut), len(letters))
+    return places, np.searchsorted(places, bounds)
+
+
 #: Lower-case letters of one code point each that normalisation leaves as they are.
 PLAIN_WORD = re.compile(r"[a-z\xdf-\xf6\xf8-\xff]+")
 PLAIN_UNIT = re.compile(r" ?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
