@@ -202,3 +202,53 @@ def test_ids_are_decoded_in_pieces_and_in_any_order_of_the_engine(library, monke
     assert coder.decode(packed) == [t.encode() for t in texts]
     monkeypatch.setattr(bpe, "DECODE", bpe.DECODE.replace("ORDER BY spot", "ORDER BY spot DESC"))
     assert coder.decode(packed) == [t.encode() for t in texts]
+
+
+def test_words_in_bytes_equal_the_words_of_texts():
+    import pyarrow as pa
+
+    from tidemark.llm.common import text_bytes
+
+    def plain(text):
+        raw = text.encode()
+        return raw.split() if b"<|" in raw else [w.lower() if w.isascii() else w for w in raw.split()]
+
+    texts = [*ODD, None, *SPACES, "", "A <|B C|> Dé", "Zé ZE @[`{ <", "|X Y", "<", "|Q", prose(3, 50)]
+    for some in (texts, texts[::-1], [], ["", None], *([t] for t in texts)):
+        words, places, first = tokenfiles.cut_words(*text_bytes(pa.array(["left OUT<|", *some], pa.string())[1:]))
+        cut = [words[a:b].tobytes() for a, b in zip(places[:-1], places[1:], strict=True)]
+        assert [cut[a:b] for a, b in zip(first[:-1], first[1:], strict=True)] == [plain(t or "") for t in some]
+
+
+class CountedTokenizer:
+    def __init__(self, tokenizer):
+        self.tokenizer, self.asked = tokenizer, []
+        self.model = self
+
+    def tokenize(self, word):
+        self.asked.append(word)
+        return self.tokenizer.model.tokenize(word)
+
+    def encode_batch_fast(self, words, **how):
+        self.asked += words
+        return self.tokenizer.encode_batch_fast(words, **how)
+
+
+def test_letters_are_looked_up_once_whatever_their_case_and_marks(monkeypatch):
+    tokenizer = Tokenizer.from_file(WORD_BPE)
+    encoder = tokenfiles.WordEncoder(WORD_BPE)
+    encoder.tokenizer = CountedTokenizer(tokenizer)
+    texts = [f"{w}{m}" for w in ("hören", "Hören", "ÉTÉ", "été", "Straße", "plain", "PLAIN") for m in ("", ".", ",!!", "$$$", "<|", "'s.", "1")]
+    texts += [" ".join(texts), "<| " + " ".join(texts)]
+    assert [np.frombuffer(x, encoder.dtype).tolist() for x in encoder.encode(texts)] == [ids_of(tokenizer, t) for t in texts]
+    assert len(encoder.encode(texts)) == len(texts)
+    assert len(encoder.tokenizer.asked) <= 4 + 4 + 2 * 7  # letters, marks, and words that are neither
+
+    monkeypatch.setattr(tokenfiles, "CACHE_WORDS", 40)
+    encoder = tokenfiles.WordEncoder(WORD_BPE)
+    encoder.tokenizer = CountedTokenizer(tokenizer)
+    letters = "abcdefghij"
+    for a in letters:
+        encoder.encode(["common"])
+        encoder.encode([" ".join(f"{a}{b}{c}" for b in letters[:3] for c in letters)])
+    assert encoder.tokenizer.asked.count("common</w>" if "common</w>" in encoder.tokenizer.asked else "common") == 1

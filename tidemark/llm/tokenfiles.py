@@ -16,8 +16,10 @@ follow each other in the order of their texts; an empty table writes no part and
 
 from __future__ import annotations
 
+import re
 import uuid
 import zlib
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -25,10 +27,53 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import PLAIN_WORD, byte_letters, text_slices, worker_state
+from tidemark.llm.common import (
+    ASCII_SPACE,
+    PLAIN_WORD,
+    Recent,
+    array_slices,
+    binaries,
+    byte_letters,
+    gathered,
+    text_bytes,
+    worker_state,
+)
 from tidemark.session import shared_path
 
-CACHE_WORDS = 400_000
+CACHE_WORDS = 400_000  # in one generation; long words count as several
+TEXT_BYTES = 2 << 20  # of texts handled at once
+
+#: Letters that normalisation only lowers, and marks that make one piece of their own.
+LETTERS_AND_MARKS = re.compile(r"([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([!-&(-/:-@\[-`{-~]*)")
+
+
+def word_weight(word: bytes) -> int:
+    return 1 + len(word) // 100
+
+
+def cut_words(letters: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The words of all texts without the white space between them, their bounds, and the number of words before each of the texts' bounds.
+
+    The tokenizer lowers case itself, after composing letters; only the spelling of its special
+    strings matters, and that of words with other characters, which may compose in one case only.
+    So the words of plain ASCII are lowered, but in texts with "<|".
+    """
+    inside = ~ASCII_SPACE[letters]
+    start = inside.copy()
+    start[1:] &= ~inside[:-1]
+    begins = bounds[bounds < len(letters)]
+    start[begins] = inside[begins]
+    first = np.searchsorted(np.flatnonzero(start), bounds)
+    words = letters[inside]
+    places = np.append(np.flatnonzero(start[inside]), len(words))
+    kept = np.zeros(len(places), bool)
+    kept[np.searchsorted(places, np.flatnonzero(words >= 0x80), "right") - 1] = True
+    special = np.flatnonzero((letters[:-1] == ord("<")) & (letters[1:] == ord("|")))
+    for text in np.unique(np.searchsorted(bounds, special[~np.isin(special + 1, bounds)], "right") - 1):
+        kept[first[text] : first[text + 1]] = True
+    capitals = np.flatnonzero(words - np.uint8(ord("A")) < 26)
+    words[capitals[~kept[np.searchsorted(places, capitals, "right") - 1]]] |= 0x20
+    return words, places, first
 
 
 class WordEncoder:
@@ -42,48 +87,48 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.known: dict[bytes, bytes] = {}
+        self.recent = Recent(CACHE_WORDS, word_weight)
         self.spelled = byte_letters("".join(filter(PLAIN_WORD.fullmatch, map(chr, range(256)))))
 
-    def words(self, text: str) -> list[bytes]:
-        raw = text.encode()
-        # The tokenizer lowers case itself, after composing letters; only the spelling of its special
-        # strings matters, and that of words with other characters, which may compose in one case only.
-        if b"<|" in raw:
-            return raw.split()
-        if raw.isascii():
-            return raw.lower().split()
-        return [w.lower() if w.isascii() else w for w in raw.split()]
-
-    def learn(self, missing: set[bytes]) -> None:
-        known, dtype, model, spelled = self.known, self.dtype, self.tokenizer.model, self.spelled
-        whole, rest, joined = PLAIN_WORD.fullmatch, [], []
+    def learn(self, missing: list[bytes]) -> None:
+        known, model, spelled = self.recent.known, self.tokenizer.model, self.spelled
+        bases, rest, joined = set(), set(), []
         for word in missing:
-            text = word.decode()
-            if whole(text):  # lower-case letters: normalised, and one piece
-                known[word] = np.array([t.id for t in model.tokenize(text.translate(spelled))], dtype).tobytes()
-            elif text[-1] in ".," and whole(text[:-1]):
-                joined.append(word)  # letters and one mark are two pieces
-            else:
-                rest.append(word)
-        bases = {w[:-1] for w in joined}.union({b".", b","} if joined else ()).difference(known)
-        if bases:
-            self.learn(bases)
-        known.update((w, known[w[:-1]] + known[w[-1:]]) for w in joined)
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in rest], add_special_tokens=False)
-        known.update((w, np.array(e.ids, dtype).tobytes()) for w, e in zip(rest, found, strict=True))
+            found = LETTERS_AND_MARKS.fullmatch(word.decode())
+            if found is None:
+                rest.add(word)
+                continue
+            base, marks = found.group(1).lower().encode(), found.group(2).encode()
+            bases.add(base)  # lower-case letters: normalised, and one piece
+            if marks:
+                rest.add(marks)
+            if marks or base != word:
+                joined.append((word, base, marks))
+        bases, rest = self.recent.missing(bases), self.recent.missing(rest)
+        ids = [[t.id for t in model.tokenize(w.decode().translate(spelled))] for w in bases]
+        ids += [e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in rest], add_special_tokens=False)]
+        packed = np.fromiter(chain.from_iterable(ids), self.dtype).tobytes()
+        ends = (np.cumsum([0, *map(len, ids)]) * self.dtype.itemsize).tolist()
+        known.update((w, packed[a:b]) for w, (a, b) in zip(bases + rest, pairwise(ends), strict=True))
+        known.update((w, known[base] + known[marks] if marks else known[base]) for w, base, marks in joined)
+
+    def encode_array(self, texts: pa.Array) -> tuple[bytes, np.ndarray]:
+        """Packed ids of all texts, and the bounds between the texts, in ids."""
+        words, places, first = cut_words(*text_bytes(texts))
+        parts = binaries(words, places).dictionary_encode()
+        here = parts.dictionary.to_numpy(zero_copy_only=False).tolist()
+        found = list(map(self.recent.known.get, here))
+        self.learn(self.recent.missing({w for w, ids in zip(here, found, strict=True) if ids is None}))
+        known = self.recent.known
+        found = [known[w] if ids is None else ids for w, ids in zip(here, found, strict=True)]
+        packed, ends = gathered(pa.array(found, pa.large_binary()), parts.indices)
+        self.recent.trim(here)
+        return packed, ends[first] // self.dtype.itemsize
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Packed ids of each text."""
-        parts = [self.words(t) for t in texts]
-        here = set().union(*parts)
-        missing = here.difference(self.known)
-        self.learn(missing)
-        get = self.known.__getitem__
-        out = [b"".join(map(get, words)) for words in parts]
-        if len(self.known) > CACHE_WORDS:  # keep what this slice used: the common words are in it
-            self.known = {w: self.known[w] for w in here}
-        return out
+        packed, bounds = self.encode_array(pa.array(texts, pa.large_string()))
+        return [packed[a:b] for a, b in pairwise((bounds * self.dtype.itemsize).tolist())]
 
 
 def _filesystem(path: str):
@@ -97,23 +142,22 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int) -
 
     def run(batches):
         encoder = worker_state("words:" + tokenizer, lambda: WordEncoder(tokenizer))
-        end = np.array([end_id], encoder.dtype).tobytes()
         part = TaskContext.get().partitionId()
         files, root = _filesystem(path)
         files.create_dir(root)
         own = f"{root}/.{part}-{uuid.uuid4().hex}"
         sinks, offset, nulls, n_docs = None, 0, 0, 0
-        for batch, texts in text_slices(batches):
+        for batch, texts in array_slices(batches, size=TEXT_BYTES):
             if sinks is None:
                 sinks = {kind: files.open_output_stream(f"{own}.{kind}") for kind in ("bin", "idx", "doc")}
                 sinks["idx"].write(np.zeros(1, "<u8").tobytes())
-            encoded = [ids + end for ids in encoder.encode([t or "" for t in texts])]
-            sizes = np.array(list(map(len, encoded)), np.uint64) // np.uint64(encoder.dtype.itemsize)
-            sinks["bin"].write(b"".join(encoded))
-            sinks["idx"].write((np.cumsum(sizes) + np.uint64(offset)).astype("<u8").tobytes())
+            packed, bounds = encoder.encode_array(texts)
+            tokens = np.insert(np.frombuffer(packed, encoder.dtype), bounds[1:], end_id)  # after each document
+            sinks["bin"].write(tokens.tobytes())
+            sinks["idx"].write((bounds[1:] + np.arange(1, len(bounds)) + offset).astype("<u8").tobytes())
             ids = batch.column("doc_id")
             sinks["doc"].write(ids.fill_null(0).to_numpy(zero_copy_only=False).astype("<i8").tobytes())
-            offset, nulls, n_docs = offset + int(sizes.sum()), nulls + ids.null_count, n_docs + len(texts)
+            offset, nulls, n_docs = offset + len(tokens), nulls + ids.null_count, n_docs + len(texts)
         if sinks is None:
             return
         for kind, sink in sinks.items():
