@@ -259,6 +259,27 @@ def test_linkage_equals_a_plain_version(spark, monkeypatch, kind, few):
     assert {r["id"]: r["cluster"] for r in linkage.clusters(rows, tree, height).collect() if r["id"] != 999} == label
 
 
+def test_linkage_meets_few_points_and_takes_few_jobs(spark, monkeypatch):
+    """Leaves meet only with the points near their sides, and the number of jobs does not grow with rounds over all points."""
+    rng = np.random.default_rng(21)
+    points = np.stack([np.round(rng.random(1500) * 300, 2), rng.integers(0, 8, 1500)], 1).astype(float)
+    points[1400:1450] = points[:50]
+    reached = []
+    real = linkage.meetings
+    monkeypatch.setattr(linkage, "meetings", lambda *a: reached.append(real(*a)) or reached[-1])
+    odd = [(5000, [None, 1.0]), (5001, [float("nan"), 1.0])]
+    spark.sparkContext.setJobGroup("linkage", "linkage")
+    links = sorted((r["dist"], r["a"], r["b"]) for r in linkage.spanning_tree(frame(spark, points, odd), n_centers=15).collect())
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("linkage")
+    spark.sparkContext.setJobGroup("other", "other")
+    want = plain_tree(points)
+    assert [d for d, _, _ in links] == pytest.approx([d for d, _, _ in want])
+    assert [x[1:] for x in links if x[0]] == [x[1:] for x in want if x[0]]
+    (pairs,) = reached
+    assert len(pairs[0]) < 15 * 14 and max(pairs[2]) < 20
+    assert len(jobs) < 40  # each round over all points took some twenty
+
+
 def test_linkage_of_one_or_no_point(spark):
     assert linkage.spanning_tree(frame(spark, [])).count() == 0
     assert linkage.spanning_tree(frame(spark, [[1.0, 2.0]])).count() == 0
