@@ -95,6 +95,38 @@ def test_recall_at_twenty_thousand_rows(spark):
     assert hashing.compared(asked, rows).first()["n"] < len(exact) * len(points) / 10
 
 
+def test_searches_write_no_copies_per_cell(spark, monkeypatch):
+    """On vectors without clusters nearly all cells are visited; queries are still written once, not once per cell."""
+    points = np.random.default_rng(14).normal(size=(900, 12))
+    rows, sizes, real = frame(spark, points), [], neighbors.via_table
+
+    def counted(df, name):
+        out = real(df, name)
+        sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(neighbors, "via_table", counted)
+    assert got(neighbors.knn_join(rows, rows, 2, True, n_centers=30)) == plain_nearest(points, k=2)
+    assert max(sizes) <= 900
+
+
+def test_blocks_are_read_where_files_cannot_be_mapped(spark, monkeypatch):
+    from pyarrow import fs
+
+    points = np.random.default_rng(15).normal(size=(200, 3))
+    _, _, blocks = neighbors.prepared(frame(spark, points), 1, 4, 16)
+    shelf = neighbors.shelved(blocks, 3)
+
+    def held():
+        opened = {}
+        return sorted((i, *v) for c in np.unique(shelf.cells) for ids, vecs in shelf.blocks(c, opened) for i, v in zip(ids.tolist(), vecs.tolist()))
+
+    mapped = held()
+    assert mapped == [(i, *p) for i, p in enumerate(points.tolist())]
+    monkeypatch.setattr(neighbors, "filesystem", lambda path: (fs.SubTreeFileSystem("/", fs.LocalFileSystem()), path.removeprefix("file:").lstrip("/")))
+    assert held() == mapped
+
+
 def test_buckets_keep_their_size(spark):
     sizes = []
     for n in (1000, 4000):

@@ -21,7 +21,7 @@ from pyspark.ml.recommendation import ALS
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import shared_path, via_table
+from tidemark.session import filesystem, shared_path, via_table
 
 CHUNK = 1 << 20  # ratings solved at once, besides a single user or item with more
 AT_ONCE = 1 << 17  # ratings multiplied out at once
@@ -60,12 +60,6 @@ class Factors(NamedTuple):
         files.delete_dir(root)
 
 
-def filesystem(path: str):
-    from pyarrow import fs
-
-    return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
-
-
 def mapped(path: str, n: int, rank: int) -> np.ndarray:
     """The file as a matrix: mapped into memory where it is local, read otherwise."""
     files, name = filesystem(path)
