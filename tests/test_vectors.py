@@ -108,6 +108,9 @@ def test_searches_write_no_copies_per_cell(spark, monkeypatch):
     monkeypatch.setattr(neighbors, "via_table", counted)
     assert got(neighbors.knn_join(rows, rows, 2, True, n_centers=30)) == plain_nearest(points, k=2)
     assert max(sizes) <= 900
+    sizes.clear()
+    assert neighbors.knn_approx(rows, rows, 2, 10, True, n_centers=30).count() == 1800
+    assert max(sizes) <= 900
 
 
 def test_blocks_are_read_where_files_cannot_be_mapped(spark, monkeypatch):
