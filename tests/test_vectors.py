@@ -46,6 +46,24 @@ def test_mean_squared_distance_far_from_the_origin(spark, offset):
         assert rows[q]["nearest_dist"] == pytest.approx(np.sqrt(d2.min()))
 
 
+def test_distance_profile_measures_every_pair(spark):
+    """Distances are measured for all pairs of rows of different ids; repeated ids are one point, missing numbers have no distance."""
+    points = np.round(np.random.default_rng(6).random((90, 2)) * 10, 1)
+    extra = [(3, [50.0, 50.0]), (4, [float(x) for x in points[4]]), (200, [None, 1.0]), (None, [0.0, 0.0]), (201, None)]
+    rows = [*enumerate(points), (3, np.array([50.0, 50.0])), (4, points[4])]
+    got = {r["id"]: r for r in neighbors.distance_profile(frame(spark, points, extra), block_rows=16).collect()}
+    assert set(got) == {*range(90), 200}
+    for q in range(90):
+        pairs = [(float(np.sqrt(((p - o) ** 2).sum())), j) for i, p in rows if i == q for j, o in rows if j != q]
+        assert (got[q]["nearest_dist"], got[q]["nearest"]) == min(pairs)
+        assert got[q]["mean_square"] == pytest.approx(np.mean([d * d for d, _ in pairs]))
+    assert got[200][1:] == (None, None, None)
+    blocks = neighbors.packed(frame(spark, points).withColumn("cell", F.lit(0)), ["cell"], 16)
+    shelf = neighbors.shelved(blocks.select("cell", "ids", "flat"), 2)
+    measured = [neighbors.profile(0, ids, vecs, shelf, {})["n"].sum() for ids, vecs in shelf.blocks(0, {})]
+    assert sum(measured) == 90 * 89
+
+
 def clustered(n, seed, width=6):
     rng = np.random.default_rng(seed)
     middles = rng.normal(size=(40, width)) * 100
