@@ -312,6 +312,21 @@ def test_linkage_equals_a_plain_version(spark, monkeypatch, kind, few):
     assert {r["id"]: r["cluster"] for r in linkage.clusters(rows, tree, height).collect() if r["id"] != 999} == label
 
 
+def test_small_buckets_are_cut_by_one_task(spark, monkeypatch):
+    """Buckets cut within a task are those that rounds over all buckets make, and take fewer tables."""
+    rows, names, real = frame(spark, clustered(900, 17, 4)), [], hashing.via_table
+    monkeypatch.setattr(hashing, "via_table", lambda df, name: names.append(name) or real(df, name))
+    found, written = [], []
+    for held in (hashing.HELD, 40):  # at 40 most cuts are made by rounds
+        monkeypatch.setattr(hashing, "HELD", held)
+        pairs = hashing.candidate_blocks(rows.where("id % 3 = 0"), rows, 2, 4, 8, 1)
+        met = {(q, i) for r in pairs.collect() for q in r.qids for i in r.ids}
+        found.append((met, sorted(map(tuple, hashing.nearest_of(pairs, 2, True).collect()))))
+        written.append(len(names))
+        names.clear()
+    assert found[0] == found[1] and written[0] < written[1]
+
+
 def test_linkage_meets_few_points_and_takes_few_jobs(spark, monkeypatch):
     """Leaves meet only with the points near their sides, and the number of jobs does not grow with rounds over all points."""
     rng = np.random.default_rng(21)
